@@ -16,6 +16,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, f) -> Column:
+    """``f(value)`` with ``value`` evaluated once, however often ``f`` uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def trim(c) -> Column:
     return F.btrim(col(c), F.lit(TRIM_CHARS))
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from docloom import constants as K
 from docloom.functions import ids
-from docloom.functions.text import col, decode_entities, one_line, slug, trim
+from docloom.functions.text import col, decode_entities, let, one_line, slug, trim
 
 _URL = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 
@@ -182,15 +182,20 @@ def _rebuild(a: Column) -> Column:
     return F.when((host(a) != "") & scheme(a).isin("http", "https"), url)
 
 
-def with_normalized_url(df: DataFrame, href, base, out: str) -> DataFrame:
-    """Add ``out``: the clean absolute URL, NULL for fragments, other schemes, broken input.
+def normalize_url(href, base) -> Column:
+    """Clean absolute URL, NULL for fragments, other schemes and broken input.
 
-    Staged as three projections so each step is computed once per row.
+    Each step is bound to a lambda variable, so it is evaluated once per row even when the
+    optimizer copies the expression into a pushed-down filter.
     """
-    h, a = "__href", "__absolute"
-    df = df.withColumn(h, _clean_href(href))
-    df = df.withColumn(a, F.when(_usable_href(F.col(h)), absolutize(F.col(h), base)))
-    return df.withColumn(out, _rebuild(F.col(a))).drop(h, a)
+    return let(
+        _clean_href(href),
+        lambda h: let(F.when(_usable_href(h), absolutize(h, base)), _rebuild),
+    )
+
+
+def with_normalized_url(df: DataFrame, href, base, out: str) -> DataFrame:
+    return df.withColumn(out, normalize_url(href, base))
 
 
 def normalize_host(value) -> Column:

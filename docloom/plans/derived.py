@@ -238,3 +238,40 @@ updates AS (
     l_orderkey * 100 + l_linenumber
   FROM lineitem JOIN supplier ON s_suppkey = l_suppkey)
 """
+
+
+def service_markdown():
+    """Markdown as a parse service would return it for a page: menus, images, repeats, footer."""
+    labels = F.regexp_extract_all("html", F.lit('<a href="([^"]*)">([^<]*)</a>'), F.lit(2))
+    hrefs = F.regexp_extract_all("html", F.lit('<a href="([^"]*)">([^<]*)</a>'), F.lit(1))
+    nav = F.array_join(
+        F.zip_with(
+            labels, hrefs,
+            lambda a, b: F.concat(F.lit("- ["), a, F.lit(" "), a, F.lit("...]("), F.translate(b, "/", "\\"), F.lit(")")),
+        ),
+        "\n",
+    )
+    paras = F.regexp_extract_all("html", F.lit("<p>(?:<b>)?([^<]+)"), F.lit(1))
+    h1 = F.regexp_extract("html", "<h1>([^<]*)</h1>", 1)
+    return F.concat(
+        F.lit("<!-- image -->\r\n[](kosong)"), nav, F.lit("\n\n[Unduh "), F.element_at(labels, 1),
+        F.lit("](unduh.pdf)\n\n![logo](x.png)\n\n#### Tautan Cepat\n\n# "), h1, F.lit("\n\n"),
+        F.array_join(F.transform(paras, lambda p, i: F.concat(p, F.when(i % 3 == 0, F.lit("\n3 / page")).otherwise(F.lit("")))), "\n\n"),
+        F.lit("\n\n"), F.replace(F.element_at(paras, 1), F.lit(' '), F.lit('  ')), F.lit("\n\n"), F.element_at(paras, 1),
+        F.lit("\n\n[Beranda Beranda](\\)\n\n## Kontak Kami Semua\n\nJl. Merdeka No. 7\n12\n\n© 2025 X\n\n(021) 3450038\n\n[Telp](tel:021)"),
+    )
+
+
+SERVICE_SQL = """
+svc AS (
+  SELECT page_id, '<!-- image -->' || chr(13) || chr(10) || '[](kosong)' || array_to_string(list_transform(
+      list_zip(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2), regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1)),
+      lambda z: '- [' || z[1] || ' ' || z[1] || '...](' || replace(z[2], '/', '\\') || ')'), chr(10))
+    || chr(10) || chr(10) || '[Unduh ' || regexp_extract(html, '<a href="([^"]*)">([^<]*)</a>', 2) || '](unduh.pdf)'
+    || E'\\n\\n![logo](x.png)\\n\\n#### Tautan Cepat\\n\\n# ' || regexp_extract(html, '<h1>([^<]*)</h1>', 1) || chr(10) || chr(10)
+    || array_to_string(list_transform(regexp_extract_all(html, '<p>(?:<b>)?([^<]+)', 1),
+      lambda p, i: p || CASE WHEN (i - 1) % 3 = 0 THEN E'\\n3 / page' ELSE '' END), E'\\n\\n')
+    || E'\\n\\n' || replace(regexp_extract(html, '<p>(?:<b>)?([^<]+)', 1), ' ', '  ') || E'\\n\\n' || regexp_extract(html, '<p>(?:<b>)?([^<]+)', 1)
+    || E'\\n\\n[Beranda Beranda](' || chr(92) || E')\\n\\n## Kontak Kami Semua\\n\\nJl. Merdeka No. 7\\n12\\n\\n© 2025 X\\n\\n(021) 3450038\\n\\n[Telp](tel:021)' AS md
+  FROM pages)
+"""

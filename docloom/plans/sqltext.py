@@ -102,3 +102,81 @@ def label(u: str) -> str:
 
 
 DOC_URL = "'https://' || source || '.example.com/dokumen/' || doc_id"
+
+
+def noise(p: str) -> str:
+    """The noise rules on a prepared line held in SQL expression ``p``."""
+    q = lambda s: s.replace("'", "''")
+    words = f"regexp_split_to_array({p}, '{WS}+')"
+    word = r"[\p{L}\p{M}\p{N}\p{Pc}]"
+    prefixes = " OR ".join(f"starts_with({p}, '{q(x)}')" for x in K.NOISE_PREFIXES)
+    return f"""({p} = '' OR ({p} NOT LIKE '%|%' AND regexp_matches({p}, '^[\\-–—_=*.·•~^\\\\s]+$'))
+      OR {in_list(p, K.NOISE_LINES)}
+      OR (len({words}) >= 2 AND regexp_matches({words}[1], '^[\\p{{L}}\\p{{N}}]+$') AND len(list_filter({words}[2:],
+          lambda w: NOT (starts_with(w, {words}[1]) AND regexp_matches(substr(w, length({words}[1]) + 1), '^{word}*$')))) = 0)
+      OR (len({words}) BETWEEN 2 AND 4 AND {words}[1] <> '' AND len(list_filter(
+          list_transform({words}[2:], lambda w: regexp_replace(w, '[.…]+$', '')),
+          lambda w: w <> '' AND (starts_with({words}[1], w) OR starts_with(w, {words}[1])))) > 0)
+      OR (length({p}) <= 160 AND regexp_matches({p}, 'all rights reserved|Â©|©|\\bver(?:si)?[.]?{WS}*[0-9]+(?:[.][0-9]+)+'))
+      OR regexp_matches({p}, '^[\\p{{L}}\\p{{N}}._%+\\-]+@[\\p{{L}}\\p{{N}}.\\-]+[.][\\p{{L}}]{{2,}}$')
+      OR regexp_matches({p}, '^(?:jl[.]?|jalan){WS}+.{{0,80}}\\bno[.]?{WS}*[0-9]+')
+      OR regexp_matches({p}, '^menampilkan{WS}+[0-9]+{WS}*[-–]{WS}*[0-9]+{WS}+dari{WS}+total{WS}+[0-9]+$')
+      OR regexp_matches({p}, '^[0-9]+{WS}*/{WS}*(?:page|halaman)$')
+      OR regexp_matches({p}, '^(?:[-*+]{WS}*)?[0-9]{{1,3}}$') OR {prefixes})"""
+
+
+def plain_line(x: str) -> str:
+    return f"lower({trim(rep(x, '^' + WS + '*(?:[-*+]|[0-9]+[.)])' + WS + '+', '', ''))})"
+
+
+def replace_each(t: str, pattern: str, group: int, f) -> str:
+    """Replace every match: split, capture, zip; ``f`` maps the SQL of a capture to SQL."""
+    p = pattern.replace("'", "''")
+    return (
+        f"array_to_string(list_transform(list_zip(regexp_split_to_array({t}, '{p}'), "
+        f"regexp_extract_all({t}, '{p}', {group})), lambda z: z[1] || CASE WHEN z[2] IS NULL THEN '' "
+        f"ELSE {f('z[2]')} END), '')"
+    )
+
+
+def tidy_label(x: str) -> str:
+    t = f"rtrim({rep(collapse(x), r'(?:[.][.][.]|…)+$', '')})"
+    w = f"string_split({t}, ' ')"
+    keep = (
+        f"list_max(list_transform({w}, lambda v, i: CASE WHEN i > 1 AND NOT starts_with("
+        f"lower({w}[1]), lower(v)) THEN i ELSE 1 END))"
+    )
+    return f"array_to_string({w}[1:{keep}], ' ')"
+
+
+def fix_target(x: str) -> str:
+    t = trim(f"replace({x}, '\\', '/')")
+    return (
+        f"CASE WHEN {t} = '' OR {t} LIKE '/%' OR {t} LIKE '#%' OR "
+        f"regexp_matches({t}, '(?i)^[a-z][a-z0-9+.-]*:') THEN {t} ELSE '/' || {t} END"
+    )
+
+
+def block_kind(b: str) -> str:
+    """``navigasi``, ``label`` or ``isi`` of a block held in SQL expression ``b``."""
+    r = rep(b, r"\[[^\]\n]*\]\([^)\n]*\)", " ")
+    r = rep(r, r"[#*_`>|~]+", " ")
+    r = rep(r, rf"(?m)^{WS}*(?:[-*+]|[0-9]+[.)]){WS}+", " ")
+    r = collapse(r)
+    n = f"len(regexp_extract_all({b}, '\\]\\([^)\\n]*\\)'))"
+    labels = f"regexp_extract_all({b}, '\\[([^\\]\\n]*)\\]\\([^)\\n]*\\)', 1)"
+    targets = f"regexp_extract_all({b}, '\\]\\(([^)\\n]*)\\)', 1)"
+    vocab = (
+        f"(len({labels}) > 0 AND len(list_filter({labels}, lambda x: NOT "
+        f"{in_list('lower(' + tidy_label('x') + ')', K.NOISE_LINES)})) = 0)"
+    )
+    contact = (
+        f"len(list_filter({targets}, lambda x: NOT regexp_matches({trim('x')}, "
+        f"'(?i)^(?:tel|mailto|sms|whatsapp):'))) = 0"
+    )
+    return f"""CASE WHEN {trim(b)} = '' OR regexp_matches({trim(b)}, '^#{{1,6}}{WS}') OR {trim(b)} LIKE '|%' THEN 'isi'
+      WHEN {n} > 0 AND length({r}) <= {K.NAV_RESIDUE_CHARS} AND NOT regexp_matches({r}, '[.!?:;]$') THEN
+        CASE WHEN length({r}) = 0 AND ({n} >= 2 OR {vocab} OR {contact}) THEN 'label' ELSE 'navigasi' END
+      WHEN {n} = 0 AND length({r}) BETWEEN 1 AND {K.LABEL_CHARS} AND len(string_split({r}, ' ')) <= {K.LABEL_WORDS}
+        AND (NOT regexp_matches({r}, '[0-9]') OR regexp_matches({r}, '^[0-9\\s()+\\-.,/–—]+$')) THEN 'label'
+      ELSE 'isi' END"""
