@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docloom import constants as K
-from docloom.functions.text import col, collapse, rtrim, trim
+from docloom.functions.text import col, collapse, let, rtrim, trim
 
 # fixed values: patterns of the cleaning rules (Java syntax, Unicode classes on)
 LIST_MARK = r"(?U)^\s*(?:[-*+]|\d+[.)])\s+"
@@ -35,15 +35,26 @@ def _starts_or_prefixes(first: Column, other: Column) -> Column:
     return (other != "") & (first.startswith(other) | other.startswith(first))
 
 
+def _repeats_first_word(words: Column) -> Column:
+    """Two to four words where a later one starts with the first one, or the reverse."""
+    first = F.get(words, F.lit(0))
+    return (
+        F.size(words).between(2, 4)
+        & (first != "")
+        & F.exists(
+            F.slice(words, 2, 3),
+            lambda w: let(
+                F.regexp_replace(w, r"[.…]+$", ""), lambda x: _starts_or_prefixes(first, x)
+            ),
+        )
+    )
+
+
 def is_noise_plain(plain) -> Column:
     """The ordered noise rules on an already prepared line."""
     p = col(plain)
-    words = F.split(p, r"(?U)\s+")
-    first = F.get(words, F.lit(0))
-    repeats = F.exists(
-        F.slice(words, 2, 3),
-        lambda w: _starts_or_prefixes(first, F.regexp_replace(w, r"[.…]+$", "")),
-    )
+    words = F.split(p, r"(?U)\s+", 6)
+    repeats = let(words, _repeats_first_word)
     prefix = F.lit(False)
     for x in K.NOISE_PREFIXES:
         prefix = prefix | p.startswith(x)
@@ -52,7 +63,7 @@ def is_noise_plain(plain) -> Column:
         | (~p.contains("|") & p.rlike(SEPARATOR))
         | p.isin(K.NOISE_LINES)
         | p.rlike(REPEATED_WORD)
-        | (F.size(words).between(2, 4) & (first != "") & repeats)
+        | repeats
         | ((F.length(p) <= 160) & p.rlike(FOOTER))
         | p.rlike(EMAIL)
         | p.rlike(STREET)
@@ -64,13 +75,16 @@ def is_noise_plain(plain) -> Column:
 
 
 def is_noise_line(line) -> Column:
-    return is_noise_plain(plain_line(line))
+    return let(plain_line(line), is_noise_plain)
 
 
 def tidy_label(label) -> Column:
     """Cut ellipses, then drop trailing words that repeat or abbreviate the first word."""
     t = rtrim(F.regexp_replace(collapse(label), r"(?:\.\.\.|…)+$", ""))
-    words = F.split(t, " ")
+    return let(F.split(t, " "), _without_repeats)
+
+
+def _without_repeats(words: Column) -> Column:
     first = F.lower(F.get(words, F.lit(0)))
     keep = F.array_max(
         F.transform(
@@ -99,7 +113,10 @@ def tidy_link_labels(text) -> Column:
 
 
 def fix_target(target) -> Column:
-    t = trim(F.translate(col(target), "\\", "/"))
+    return let(trim(F.translate(col(target), "\\", "/")), _rooted)
+
+
+def _rooted(t: Column) -> Column:
     keep = (t == "") | t.startswith("/") | t.startswith("#") | t.rlike(r"(?i)^[a-z][a-z0-9+.\-]*:")
     return F.when(keep, t).otherwise(F.concat(F.lit("/"), t))
 
@@ -126,7 +143,13 @@ def block_kind(block) -> Column:
     """``navigasi`` (links only), ``label`` (short caption) or ``isi`` (content)."""
     b = col(block)
     t = trim(b)
-    residue = residue_text(b)
+    content = (t == "") | t.rlike(r"(?U)^#{1,6}\s") | t.startswith("|")
+    return F.when(content, F.lit("isi")).otherwise(
+        let(residue_text(b), lambda r: _kind_by_residue(b, r))
+    )
+
+
+def _kind_by_residue(b: Column, residue: Column) -> Column:
     size = F.length(residue)
     links = F.regexp_count(b, F.lit(LINK_TARGET))
     labels = F.regexp_extract_all(b, F.lit(r"\[([^\]\n]*)\]\([^)\n]*\)"), F.lit(1))
@@ -135,15 +158,14 @@ def block_kind(block) -> Column:
     )
     targets = F.regexp_extract_all(b, F.lit(r"\]\(([^)\n]*)\)"), F.lit(1))
     contact = F.forall(targets, lambda x: trim(x).rlike("(?i)^(?:tel|mailto|sms|whatsapp):"))
-    only_links = (links > 0) & (size <= K.NAV_RESIDUE_CHARS) & ~residue.rlike("[.!?:;]$")
-    short = (links == 0) & size.between(1, K.LABEL_CHARS)
+    only_links = (size <= K.NAV_RESIDUE_CHARS) & (links > 0) & ~residue.rlike("[.!?:;]$")
+    menu = (size == 0) & ((links >= 2) | vocabulary | contact)
+    short = size.between(1, K.LABEL_CHARS) & (links == 0)
     few_words = F.size(F.split(residue, " ")) <= K.LABEL_WORDS
     no_digits = ~residue.rlike(r"(?U)\d") | residue.rlike(r"(?U)^[\d\s()+\-.,/–—]+$")
     return (
-        F.when(t == "", F.lit("isi"))
-        .when(t.rlike(r"(?U)^#{1,6}\s") | t.startswith("|"), F.lit("isi"))
-        .when(only_links & (size == 0) & ((links >= 2) | vocabulary | contact), F.lit("label"))
-        .when(only_links, F.lit("navigasi"))
+        F.when(size > max(K.NAV_RESIDUE_CHARS, K.LABEL_CHARS), F.lit("isi"))
+        .when(only_links, F.when(menu, F.lit("label")).otherwise(F.lit("navigasi")))
         .when(short & few_words & no_digits, F.lit("label"))
         .otherwise(F.lit("isi"))
     )
@@ -171,7 +193,12 @@ def link_ratio(text) -> Column:
     """Share of the non-space characters that is markup."""
     total = F.length(F.regexp_replace(col(text), r"(?U)\s+", ""))
     real = F.length(F.regexp_replace(plain_text(text), r"(?U)\s+", ""))
-    return F.when((total == 0) | (real >= total), F.lit(0.0)).otherwise((total - real) / total)
+    return let(
+        F.struct(total.alias("t"), real.alias("r")),
+        lambda n: F.when((n["t"] == 0) | (n["r"] >= n["t"]), F.lit(0.0)).otherwise(
+            (n["t"] - n["r"]) / n["t"]
+        ),
+    )
 
 
 def clean_chunk_text(text) -> Column:

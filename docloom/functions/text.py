@@ -108,7 +108,10 @@ def _entity_map() -> Column:
 
 
 def _decode_entity(e: Column) -> Column:
-    name = F.substring(e, 2, 1 << 20).substr(F.lit(1), F.length(e) - 2)
+    return let(F.regexp_replace(e, "[&;]", ""), lambda name: _decode_name(e, name))
+
+
+def _decode_name(e: Column, name: Column) -> Column:
     number = F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 8), 16, 10)).otherwise(
         F.substring(name, 2, 8)
     ).cast("int")

@@ -20,8 +20,9 @@ def _service(spark, sf):
 @query(
     "noise_lines",
     f"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x FROM documents),
-    p AS (SELECT doc_id, x, {S.plain_line('x')} AS p FROM l)
-    SELECT doc_id, count(*) AS baris, count(*) FILTER ({S.trim('x')} <> '' AND {S.noise('p')}) AS noise,
+    p0 AS MATERIALIZED (SELECT doc_id, x, {S.plain_line('x')} AS p FROM l),
+    p AS MATERIALIZED (SELECT *, {S.words('p')} AS kw FROM p0)
+    SELECT doc_id, count(*) AS baris, count(*) FILTER ({S.trim('x')} <> '' AND {S.noise('p', 'kw')}) AS noise,
       count(*) FILTER ({S.trim('x')} = '') AS kosong FROM p GROUP BY 1""",
 )
 def noise_lines(spark, sf):
@@ -58,8 +59,10 @@ e AS (SELECT page_id, komentar, gambar, len(regexp_extract_all(t, '\[[ \t]*\]\([
   {S.rep('t', r'\[[ \t]*\]\([^)\n]*\)', '')} AS t FROM d),
 f AS (SELECT page_id, komentar, gambar, label_kosong, {S.replace_each('t', r'\[([^\]\n]+)\]', 1, lambda m: "'[' || " + S.tidy_label(m) + " || ']'")} AS t FROM e),
 l AS (SELECT page_id, unnest(string_split(t, chr(10))) AS x, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM f),
-n AS (SELECT page_id, i, CASE WHEN {S.trim('x')} = '' THEN '' ELSE {S.rep('x', '[ \t\n\r]+$', '')} END AS x,
-  {S.trim('x')} <> '' AND {S.noise(S.plain_line('x'))} AS noise FROM l),
+p0 AS MATERIALIZED (SELECT *, {S.plain_line('x')} AS p FROM l),
+p1 AS MATERIALIZED (SELECT *, {S.words('p')} AS kw FROM p0),
+n AS MATERIALIZED (SELECT page_id, i, CASE WHEN {S.trim('x')} = '' THEN '' ELSE {S.rep('x', '[ \t\n\r]+$', '')} END AS x,
+  {S.trim('x')} <> '' AND {S.noise('p', 'kw')} AS noise FROM p1),
 k AS (SELECT page_id, i, x, sum(CASE WHEN x = '' THEN 1 ELSE 0 END) OVER (PARTITION BY page_id ORDER BY i) AS g
   FROM n WHERE NOT noise),
 blk AS (SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY g) AS no, b FROM (
@@ -162,7 +165,9 @@ def empty_headings(spark, sf):
     "boilerplate_lines",
     f"""WITH {SERVICE_SQL}, l AS (SELECT page_id, unnest(string_split({S.norm_ws('md')}, chr(10))) AS x,
         generate_subscripts(string_split({S.norm_ws('md')}, chr(10)), 1) AS i FROM svc),
-    n AS (SELECT page_id, i, x, {S.trim('x')} <> '' AND {S.noise(S.plain_line('x'))} AS noise FROM l),
+    p0 AS MATERIALIZED (SELECT *, {S.plain_line('x')} AS p FROM l),
+    p1 AS MATERIALIZED (SELECT *, {S.words('p')} AS kw FROM p0),
+    n AS MATERIALIZED (SELECT page_id, i, x, {S.trim('x')} <> '' AND {S.noise('p', 'kw')} AS noise FROM p1),
     k AS (SELECT page_id, i, x, sum(CASE WHEN x = '' THEN 1 ELSE 0 END) OVER (PARTITION BY page_id ORDER BY i) AS g FROM n WHERE NOT noise),
     b AS (SELECT page_id, g, string_agg(x, chr(10) ORDER BY i) AS b FROM k WHERE x <> '' GROUP BY 1, 2),
     h AS (SELECT page_id, g, b, length({S.ext('b', '^' + S.WS + '{0,3}(#{1,6})' + S.WS + '+')}) AS t FROM b),

@@ -104,10 +104,13 @@ def label(u: str) -> str:
 DOC_URL = "'https://' || source || '.example.com/dokumen/' || doc_id"
 
 
-def noise(p: str) -> str:
-    """The noise rules on a prepared line held in SQL expression ``p``."""
+def words(p: str) -> str:
+    return f"regexp_split_to_array({p}, '{WS}+')"
+
+
+def noise(p: str, words: str) -> str:
+    """The noise rules on a prepared line ``p`` and its word list, both plain columns."""
     q = lambda s: s.replace("'", "''")
-    words = f"regexp_split_to_array({p}, '{WS}+')"
     word = r"[\p{L}\p{M}\p{N}\p{Pc}]"
     prefixes = " OR ".join(f"starts_with({p}, '{q(x)}')" for x in K.NOISE_PREFIXES)
     return f"""({p} = '' OR ({p} NOT LIKE '%|%' AND regexp_matches({p}, '^[\\-–—_=*.·•~^\\\\s]+$'))
