@@ -117,9 +117,16 @@ def clean_query(q) -> Column:
             _url_decode(F.regexp_extract(p, "^[^=]*=(.*)$", 1)).alias("v"),
         ),
     )
+    rendered = let(pairs, _rendered_pairs)
+    return F.when(col(q) == "", F.lit("")).otherwise(
+        F.concat(F.when(rendered != "", F.lit("?")).otherwise(F.lit("")), rendered)
+    )
+
+
+def _rendered_pairs(pairs: Column) -> Column:
     keys = F.array_sort(F.array_distinct(F.transform(pairs, lambda p: p["k"])))
     keys = F.filter(keys, lambda k: ~k.isin(K.TRACKING_PARAMS))
-    rendered = F.array_join(
+    return F.array_join(
         F.transform(
             keys,
             lambda k: F.concat(
@@ -130,9 +137,6 @@ def clean_query(q) -> Column:
         ),
         "&",
     )
-    return F.when(F.coalesce(rendered, F.lit("")) == "", F.lit("")).otherwise(
-        F.concat(F.lit("?"), rendered)
-    )
 
 
 def absolutize(href, base) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from docloom import constants as K
 from docloom.functions import ids
 from docloom.functions import markdown as M
-from docloom.functions.text import TRIM_CHARS, blank_to_null, col, normalize_whitespace
+from docloom.functions.text import TRIM_CHARS, blank_to_null, col, let, normalize_whitespace
 from docloom.functions.urls import hostname
 
 
@@ -83,38 +83,42 @@ def reject_reason(piece: Column, content: Column, o: ChunkOptions) -> Column:
 
 
 def with_windows(df: DataFrame, markdown: str, o: ChunkOptions) -> DataFrame:
-    """Add ``potongan``: array of windows with content, reject reason, heading and page."""
+    """Add ``potongan``: windows with content, reject reason, heading and page; and
+    ``judul_pertama``: the first heading.
+
+    One expression with bound parts: a column used inside a lambda would be worked out again
+    for every window once the optimizer moves the expression into a filter.
+    """
     df = df.withColumn("__win", windows(markdown, o.size, o.overlap))
-    df = df.withColumn("__found", M.headings(markdown))
-    df = df.withColumn("__heads", M.heading_texts("__found"))
-    df = df.withColumn("__marks", M.page_marks("__found"))
-    df = df.withColumn(
-        "__win",
-        F.transform(
-            "__win",
-            lambda w: F.struct(
+
+    def piece(w, marks):
+        return let(
+            M.clean_chunk_text(w["text"]),
+            lambda content: F.struct(
                 w["start"].alias("start"),
                 w["text"].alias("text"),
-                M.clean_chunk_text(w["text"]).alias("content"),
+                content.alias("content"),
+                reject_reason(w["text"], content, o).alias("alasan"),
+                M.heading_at(marks["h"], w["start"], F.length(w["text"])).alias("heading"),
+                M.page_at(marks["p"], w["start"]).alias("page"),
             ),
-        ),
+        )
+
+    marks = let(
+        M.headings(markdown),
+        lambda f: F.struct(M.heading_texts(f).alias("h"), M.page_marks(f).alias("p")),
     )
-    return df.withColumn(
-        "potongan",
-        F.transform(
-            "__win",
-            lambda w: F.struct(
-                w["start"].alias("start"),
-                w["text"].alias("text"),
-                w["content"].alias("content"),
-                reject_reason(w["text"], w["content"], o).alias("alasan"),
-                M.heading_at("__heads", w["start"], F.length(w["text"])).alias("heading"),
-                M.page_at("__marks", w["start"]).alias("page"),
-            ),
+    built = let(
+        marks,
+        lambda m: F.struct(
+            F.transform("__win", lambda w: piece(w, m)).alias("potongan"),
+            F.get(m["h"], F.lit(0))["text"].alias("judul_pertama"),
         ),
-    ).withColumn("__first_heading", F.get("__heads", F.lit(0))["text"]).drop(
-        "__win", "__found", "__heads", "__marks"
     )
+    df = df.withColumn("__c", built)
+    return df.withColumns(
+        {"potongan": F.col("__c.potongan"), "judul_pertama": F.col("__c.judul_pertama")}
+    ).drop("__win", "__c")
 
 
 def section_label(document_type, year) -> Column:
@@ -150,7 +154,7 @@ def build_chunks(
         ids.document_id(url).alias("document_id"),
         F.col(title).alias("title"),
         F.col(url).alias("url"),
-        F.coalesce(section_label("document_type", "year"), F.col("__first_heading")).alias("section"),
+        F.coalesce(section_label("document_type", "year"), F.col("judul_pertama")).alias("section"),
         payload_document_type("document_type").alias("document_type"),
         *[blank_to_null(F.col(c).cast("string")).alias(c) for c in ["province", "city", "year"]],
         hostname(url).alias("source"),
@@ -162,7 +166,9 @@ def build_chunks(
         F.lit(stamp).alias("updated_at"),
         F.filter("potongan", lambda w: w["alasan"].isNull()).alias("__ok"),
     )
-    c = d.select("*", F.posexplode("__ok").alias("chunk_no", "__w")).drop("__ok")
+    # the outer form keeps the optimizer from evaluating the windows a second time as a filter
+    c = d.select("*", F.posexplode_outer("__ok").alias("chunk_no", "__w")).drop("__ok")
+    c = c.filter(F.col("chunk_no").isNotNull())
     c = c.select(
         "*",
         ids.chunk_id("document_id", "chunk_no").alias("chunk_id"),

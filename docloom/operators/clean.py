@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from docloom import constants as K
 from docloom.functions import markdown as M
-from docloom.functions.text import normalize_whitespace, rtrim, trim
+from docloom.functions.text import let, normalize_whitespace, rtrim, trim
 
 COUNTERS = [
     "komentar", "gambar", "label_kosong", "baris_noise",
@@ -81,9 +81,12 @@ def first_of_each(blocks: Column) -> Column:
         blocks,
         lambda b: F.struct(b.alias("b"), F.lower(F.regexp_replace(b, r"(?U)\s+", " ")).alias("k")),
     )
-    return F.transform(
-        F.filter(keyed, lambda x, i: F.array_position(keyed["k"], x["k"]) == i + 1),
-        lambda x: x["b"],
+    return let(
+        keyed,
+        lambda ks: F.transform(
+            F.filter(ks, lambda x, i: F.array_position(ks["k"], x["k"]) == i + 1),
+            lambda x: x["b"],
+        ),
     )
 
 
@@ -93,12 +96,15 @@ def drop_empty_headings(blocks: Column) -> Column:
         blocks, lambda b: F.struct(b.alias("b"), M.heading_level(b).alias("h"))
     )
 
-    def stays(x, i):
-        following = F.get(rated, i + 1)["h"]
-        deeper = following.isNotNull() & ((following == 0) | (following > x["h"]))
-        return (x["h"] == 0) | deeper
+    def keep(rs):
+        def stays(x, i):
+            following = F.get(rs, i + 1)["h"]
+            deeper = following.isNotNull() & ((following == 0) | (following > x["h"]))
+            return (x["h"] == 0) | deeper
+
+        return F.transform(F.filter(rs, stays), lambda x: x["b"])
 
-    return F.transform(F.filter(rated, stays), lambda x: x["b"])
+    return let(rated, keep)
 
 
 def with_clean_markdown(df: DataFrame, text: str, out: str = "bersih") -> DataFrame:

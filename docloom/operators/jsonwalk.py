@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from docloom import constants as K
 from docloom.functions import urls as U
-from docloom.functions.text import col, decode_entities, one_line, trim
+from docloom.functions.text import col, decode_entities, let, one_line, trim
 
 
 def dig(json_text, path: str) -> Column:
@@ -207,8 +207,12 @@ def folder_files(html) -> Column:
         F.zip_with(ids1, names1, lambda i, n: F.struct(i.alias("id"), decode_entities(trim(n)).alias("nama"))),
         F.zip_with(ids2, names2, lambda i, n: F.struct(i.alias("id"), decode_entities(trim(n)).alias("nama"))),
     )
-    all_ids = F.concat(ids1, ids2)
-    return F.slice(F.filter(both, lambda x, i: F.array_position(all_ids, x["id"]) == i + 1), 1, 500)
+    return let(
+        both,
+        lambda xs: F.slice(
+            F.filter(xs, lambda x, i: F.array_position(xs["id"], x["id"]) == i + 1), 1, 500
+        ),
+    )
 
 
 def network_log_urls(df: DataFrame, key: str, log: str, page_url: str) -> DataFrame:

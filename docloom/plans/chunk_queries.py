@@ -65,10 +65,10 @@ c1 AS MATERIALIZED (SELECT doc_id, start, p, {S.rep(S.rep(S.rep('p', r'\[([^\]\n
 c2 AS MATERIALIZED (SELECT doc_id, start, p, regexp_split_to_array(t, '#+') AS parts, regexp_extract_all(t, '#+') AS runs FROM c1),
 c3 AS MATERIALIZED (SELECT doc_id, start, p, array_to_string(list_transform(parts, lambda x, i: x || CASE WHEN i <= len(runs)
     THEN repeat('#', least(length(runs[i]), regexp_matches(x, '[\p{{L}}\p{{N}}]$')::INT + regexp_matches(parts[i + 1], '^[\p{{L}}\p{{N}}]')::INT)) ELSE '' END), '') AS t FROM c2),
-c4 AS (SELECT doc_id, start, p, {S.rep(S.rep(S.rep(S.rep('t', r'\*\*([^*\n]+)\*\*', chr(92) + '1'), r'__([^_\n]+)__', chr(92) + '1'), '~~([^~' + chr(92) + 'n]+)~~', chr(92) + '1'), '`([^`' + chr(92) + 'n]+)`', chr(92) + '1')} AS t FROM c3),
-c5 AS (SELECT doc_id, start, p, {S.norm_ws(S.rep('t', r'(?m)^[ \t]{0,3}>[ \t]?', ''))} AS c FROM c4),
-c6 AS (SELECT *, {S.collapse(S.rep(S.rep('p', r'\[([^\]\n]*)\]\([^)\n]*\)', chr(92) + '1'), r'[#*_`>|~]+', ' '))} AS plain FROM c5),
-c7 AS (SELECT *, length({S.rep('p', S.WS + '+', '')}) AS padat, length({S.rep('plain', S.WS + '+', '')}) AS nyata FROM c6),
+c4 AS MATERIALIZED (SELECT doc_id, start, p, {S.rep(S.rep(S.rep(S.rep('t', r'\*\*([^*\n]+)\*\*', chr(92) + '1'), r'__([^_\n]+)__', chr(92) + '1'), '~~([^~' + chr(92) + 'n]+)~~', chr(92) + '1'), '`([^`' + chr(92) + 'n]+)`', chr(92) + '1')} AS t FROM c3),
+c5 AS MATERIALIZED (SELECT doc_id, start, p, {S.norm_ws(S.rep('t', r'(?m)^[ \t]{0,3}>[ \t]?', ''))} AS c FROM c4),
+c6 AS MATERIALIZED (SELECT *, {S.collapse(S.rep(S.rep('p', r'\[([^\]\n]*)\]\([^)\n]*\)', chr(92) + '1'), r'[#*_`>|~]+', ' '))} AS plain FROM c5),
+c7 AS MATERIALIZED (SELECT *, length({S.rep('p', S.WS + '+', '')}) AS padat, length({S.rep('plain', S.WS + '+', '')}) AS nyata FROM c6),
 chunks AS MATERIALIZED (SELECT *, CASE WHEN length(p) < {K.MIN_CHUNK_LENGTH} THEN 'pendek' WHEN length(plain) < {K.MIN_CHUNK_LENGTH} THEN 'tanpa_isi'
   WHEN padat > 0 AND nyata < padat AND (padat - nyata)::DOUBLE / padat > {K.MAX_LINK_RATIO} THEN 'tautan'
   WHEN length(c) < {K.MIN_CHUNK_LENGTH} THEN 'tanpa_isi' END AS alasan FROM c7)
@@ -154,8 +154,8 @@ hd AS MATERIALIZED (SELECT doc_id, o, """ + S.collapse(S.rep(S.ext("x", r"^[ \t]
     FROM piece p LEFT JOIN (SELECT * FROM hd WHERE h <> '') hd ON hd.doc_id = p.doc_id GROUP BY 1, 2""",
 )
 def heading_asof(spark, sf):
-    d = _sections(spark, sf).select("doc_id", F.explode("potongan").alias("w"))
-    return d.select("doc_id", "w.start", "w.heading")
+    d = _sections(spark, sf).select("doc_id", F.explode_outer("potongan").alias("w"))
+    return d.filter("w is not null").select("doc_id", "w.start", "w.heading")
 
 
 def _sections(spark, sf):
@@ -171,8 +171,8 @@ def _sections(spark, sf):
     FROM piece p LEFT JOIN hd ON hd.doc_id = p.doc_id GROUP BY 1, 2""",
 )
 def page_asof(spark, sf):
-    d = _sections(spark, sf).select("doc_id", F.explode("potongan").alias("w"))
-    return d.select("doc_id", "w.start", "w.page")
+    d = _sections(spark, sf).select("doc_id", F.explode_outer("potongan").alias("w"))
+    return d.filter("w is not null").select("doc_id", "w.start", "w.page")
 
 
 @query(

@@ -52,16 +52,17 @@ def token_sets(spark, sf):
     cand AS MATERIALIZED (SELECT s.*, coalesce(c, []) AS c FROM s LEFT JOIN near n ON n.source = s.source AND n.bi = s.i),
     f AS (
       SELECT source, 0::BIGINT AS i, []::BIGINT[] AS acc, []::VARCHAR[] AS fps, []::BIGINT[] AS fpi, NULL::BIGINT AS doc_id,
-        NULL::BOOLEAN AS accepted, NULL AS jenis, NULL::BIGINT AS pertama, NULL::DOUBLE AS skor FROM s GROUP BY 1
+        NULL::BOOLEAN AS accepted, NULL::VARCHAR AS jenis, NULL::BIGINT AS pertama, NULL::DOUBLE AS skor FROM s GROUP BY 1
       UNION ALL
       SELECT source, i, CASE WHEN jenis IS NULL AND nt > 0 THEN list_append(acc, i) ELSE acc END,
         CASE WHEN jenis IS NULL THEN list_append(fps, fp) ELSE fps END, CASE WHEN jenis IS NULL THEN list_append(fpi, i) ELSE fpi END,
         doc_id, jenis IS NULL, jenis, CASE jenis WHEN 'identik' THEN same WHEN 'mirip' THEN best[1] END,
         CASE jenis WHEN 'identik' THEN 1.0 WHEN 'mirip' THEN round(best[2], 4) END
-      FROM (SELECT *, CASE WHEN same IS NOT NULL THEN 'identik' WHEN best IS NOT NULL THEN 'mirip' END AS jenis FROM (
+      FROM (SELECT *, CASE WHEN same IS NOT NULL THEN 'identik' WHEN best[1] > 0 THEN 'mirip' END AS jenis FROM (
         SELECT f.source, c.i, f.acc, f.fps, f.fpi, c.doc_id, c.fp, len(c.t) AS nt,
           f.fpi[list_position(f.fps, c.fp)] AS same,
-          list_reduce(list_filter(c.c, lambda x: list_contains(f.acc[greatest(len(f.acc) - {K.FINGERPRINT_HISTORY} + 1, 1):], x[1])),
+          list_reduce(list_filter(list_prepend((-1::BIGINT, 0::DOUBLE), c.c), lambda x: x[1] = -1 OR
+            list_contains(f.acc[greatest(len(f.acc) - {K.FINGERPRINT_HISTORY} + 1, 1):], x[1])),
             lambda p, q: CASE WHEN q[2] > p[2] THEN q ELSE p END) AS best
         FROM f JOIN cand c ON c.source = f.source AND c.i = f.i + 1)))
     SELECT f.doc_id, f.accepted, f.jenis, p.doc_id AS pertama, f.skor FROM f LEFT JOIN s p ON p.source = f.source AND p.i = f.pertama
