@@ -12,9 +12,13 @@ MEASURES = list(K.ESTIMATE_DEFAULTS)
 
 
 def positive_mean(c) -> Column:
-    """Mean of the values above zero; 0.0 when there are none."""
+    """Mean of the values above zero; 0.0 when there are none.
+
+    Summed as decimals, so the result does not depend on the order rows arrive in.
+    """
     v = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(F.avg(F.when(v > 0, v)), F.lit(0.0))
+    total = F.sum(F.when(v > 0, v.cast("decimal(28,9)"))).cast("double")
+    return F.coalesce(total / F.nullif(F.count_if(v > 0), F.lit(0)), F.lit(0.0))
 
 
 def calibration(metrics: DataFrame, site: str = "site") -> DataFrame:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["text_queries", "page_queries", "clean_queries", "chunk_queries", "dedupe_queries"]
+MODULES = [
+    "text_queries", "page_queries", "clean_queries", "chunk_queries", "dedupe_queries", "report_queries",
+]
 
 
 def all_queries():
