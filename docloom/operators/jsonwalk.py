@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from docloom import constants as K
 from docloom.functions import urls as U
 from docloom.functions.text import col, decode_entities, let, one_line, trim
+from docloom.operators.skew import top_per_key
 
 
 def dig(json_text, path: str) -> Column:
@@ -34,17 +35,20 @@ def _texts(value, depth: int = 0) -> str:
     return "\n\n".join(parts[:200]).strip()
 
 
-@F.pandas_udf("string")
-def flatten_json(texts: pd.Series) -> pd.Series:
+def flatten_json(json_text) -> Column:
     """All text and numbers of a JSON value, joined by blank lines, four levels deep."""
 
-    def one(t):
-        try:
-            return _texts(json.loads(t))
-        except (TypeError, ValueError):
-            return t.strip() if isinstance(t, str) else ""
+    @F.pandas_udf("string")
+    def flat(texts: pd.Series) -> pd.Series:
+        def one(t):
+            try:
+                return _texts(json.loads(t))
+            except (TypeError, ValueError):
+                return t.strip() if isinstance(t, str) else ""
 
-    return texts.map(one)
+        return texts.map(one)
+
+    return flat(col(json_text))
 
 
 def json_objects(df: DataFrame, key: str, text: str, max_depth: int = 8) -> DataFrame:
@@ -151,10 +155,11 @@ def fill_endpoint(template, url, groups=None) -> Column:
         out = F.replace(out, F.lit(k), v)
     if groups is not None:
         for i in range(1, 10):
-            g = F.try_element_at(col(groups), F.lit(i))
-            out = F.when(g.isNotNull(), F.replace(out, F.lit("{%d}" % i), U._rfc3986(g))).otherwise(out)
-    ok = t.rlike("(?i)^https?://") & ~out.rlike(r"(?i)\{[a-z0-9]+\}")
-    return F.when(ok, out).otherwise(F.lit(""))
+            slot = F.lit("{%d}" % i)
+            g = U._rfc3986(F.try_element_at(col(groups), F.lit(i)))
+            out = F.replace(out, slot, F.coalesce(g, slot))
+    filled = let(out, lambda o: F.when(~o.rlike(r"(?i)\{[a-z0-9]+\}"), o).otherwise(F.lit("")))
+    return F.when(t.rlike("(?i)^https?://"), filled).otherwise(F.lit(""))
 
 
 def certificate_hosts(df: DataFrame, key: str, text: str, domain: str) -> DataFrame:
@@ -185,8 +190,6 @@ def candidate_hosts(domains: DataFrame, domain: str, cert: DataFrame | None = No
     d = d.select(domain, "ord", F.concat("p", F.lit("."), F.col(domain)).alias("host"))
     if cert is not None:
         d = d.unionByName(cert.select(domain, F.lit(len(prefixes)).alias("ord"), "host"))
-    from docloom.operators.skew import top_per_key
-
     d = d.groupBy(domain, "host").agg(F.min("ord").alias("ord"))
     return top_per_key(d, [domain], [F.col("ord"), F.col("host")], limit).select(domain, "host")
 
