@@ -40,9 +40,7 @@ def token_sets(spark, sf):
     return d.select("doc_id", F.size("t").alias("jumlah"), F.sha1(F.array_join("t", " ")).alias("sidik"))
 
 
-@query(
-    "near_dup_greedy",
-    f"""WITH RECURSIVE {_TOKENS},
+GREEDY_SQL = f"""{_TOKENS},
     s AS MATERIALIZED (SELECT *, sha1(text) AS fp, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM tok),
     pair AS MATERIALIZED (SELECT a.source, a.i AS ai, b.i AS bi, len(list_intersect(a.t, b.t)) AS k, len(a.t) AS na, len(b.t) AS nb
       FROM s a JOIN s b ON a.source = b.source AND a.i < b.i
@@ -65,6 +63,12 @@ def token_sets(spark, sf):
             list_contains(f.acc[greatest(len(f.acc) - {K.FINGERPRINT_HISTORY} + 1, 1):], x[1])),
             lambda p, q: CASE WHEN q[2] > p[2] THEN q ELSE p END) AS best
         FROM f JOIN cand c ON c.source = f.source AND c.i = f.i + 1)))
+"""
+
+
+@query(
+    "near_dup_greedy",
+    f"""WITH RECURSIVE {GREEDY_SQL}
     SELECT f.doc_id, f.accepted, f.jenis, p.doc_id AS pertama, f.skor FROM f LEFT JOIN s p ON p.source = f.source AND p.i = f.pertama
     WHERE f.doc_id IS NOT NULL""",
 )

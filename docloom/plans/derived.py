@@ -50,9 +50,9 @@ array_to_string(list_transform(string_split(text, chr(10)),
 """
 
 
-def log_lines(spark: SparkSession, sf: str) -> DataFrame:
+def log_lines(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
     """(pos, value): one run-log line per event; runs are hours, sites are users."""
-    e = table(spark, sf, "events")
+    e = table(spark, sf, "events") if events is None else events
     stage = (
         F.when((F.col("event_type") == "view") & (F.col("value") < 3), F.lit("SITE_START"))
         .when(F.col("event_type") == "view", F.lit("FETCH_AFTER"))
