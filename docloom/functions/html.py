@@ -18,14 +18,9 @@ def strip_tags(c) -> Column:
 
 def attribute(tag_text, name: str) -> Column:
     """Value of one attribute of a start tag, '' when it is absent."""
-    c = col(tag_text)
     head = rf"(?is)^<[a-z][^>]*?[\s\"'/]{name}\s*=\s*"
-    return F.coalesce(
-        F.nullif(F.regexp_extract(c, head + r'"([^"]*)"', 1), F.lit("")),
-        F.nullif(F.regexp_extract(c, head + r"'([^']*)'", 1), F.lit("")),
-        F.nullif(F.regexp_extract(c, head + r"([^\s>\"']+)", 1), F.lit("")),
-        F.lit(""),
-    )
+    found = F.regexp_extract(col(tag_text), head + r"""("[^"]*"|'[^']*'|[^\s>"']+)""", 1)
+    return F.regexp_replace(found, "^[\"']|[\"']$", "")
 
 
 def visible_text(html) -> Column:

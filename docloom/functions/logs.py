@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docloom.functions.text import col, one_line
+from docloom.functions.text import col, let, one_line
 
 LINE = r"^\[([^\]]+)\] \[([^\]]+)\] \[([^\]]*)\] \[([A-Z_]+)\]"
 
 
 def field_value(c) -> Column:
     """One value as it is written after ``key=``: '-' for NULL, quoted when needed."""
-    t = F.regexp_replace(col(c).cast("string"), r"\s+", " ")
+    return let(F.regexp_replace(col(c).cast("string"), r"\s+", " "), _written)
+
+
+def _written(t: Column) -> Column:
     quoted = F.concat(F.lit('"'), F.replace(t, F.lit('"'), F.lit("'")), F.lit('"'))
     return (
         F.when(t.isNull(), F.lit("-"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -48,17 +47,23 @@ def normalize_whitespace(c) -> Column:
 
 
 def one_line(c, max_length: int = 160) -> Column:
-    t = trim(F.regexp_replace(col(c), r"[ \t\n\x0B\f\r]+", " "))
-    cut = F.concat(F.substring(t, 1, max_length - 3), F.lit("..."))
-    return F.when(F.length(t) > max_length, cut).otherwise(t)
+    def shorten(t):
+        cut = F.concat(F.substring(t, 1, max_length - 3), F.lit("..."))
+        return F.when(F.length(t) > max_length, cut).otherwise(t)
+
+    return let(trim(F.regexp_replace(col(c), r"[ \t\n\x0B\f\r]+", " ")), shorten)
 
 
 def slug(c, max_length: int = 60) -> Column:
-    t = F.btrim(F.regexp_replace(F.lower(trim(c)), r"[^a-z0-9]+", "-"), F.lit("-"))
-    t = F.when(t == "", F.lit("halaman")).otherwise(t)
-    return F.when(
-        F.length(t) > max_length, F.btrim(F.substring(t, 1, max_length), F.lit("-"))
-    ).otherwise(t)
+    def shorten(t):
+        t = F.when(t == "", F.lit("halaman")).otherwise(t)
+        return F.when(
+            F.length(t) > max_length, F.btrim(F.substring(t, 1, max_length), F.lit("-"))
+        ).otherwise(t)
+
+    return let(
+        F.btrim(F.regexp_replace(F.lower(trim(c)), r"[^a-z0-9]+", "-"), F.lit("-")), shorten
+    )
 
 
 def word_count(c) -> Column:
@@ -102,9 +107,19 @@ def iso_utc(c) -> Column:
 _ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
 
-def _entity_map() -> Column:
-    named = {k[:-1]: v for k, v in html5.items() if k.endswith(";")}
-    return F.from_json(F.lit(json.dumps(named)), "map<string,string>")
+# every named reference of the HTML standard as one string: <1>name<2>characters<1>...
+_NAMED = "\x01" + "\x01".join(
+    f"{k[:-1]}\x02{v}" for k, v in sorted(html5.items()) if k.endswith(";")
+) + "\x01"
+
+
+def _named_reference(name: Column) -> Column:
+    key = F.concat(F.lit("\x01"), name, F.lit("\x02"))
+    at = F.instr(F.lit(_NAMED), key)
+    value = F.substring_index(
+        F.substr(F.lit(_NAMED), at + F.length(key), F.lit(8)), "\x01", 1
+    )
+    return F.when(at > 0, value)
 
 
 def _decode_entity(e: Column) -> Column:
@@ -129,7 +144,7 @@ def _decode_name(e: Column, name: Column) -> Column:
     )
     return F.coalesce(
         F.when(name.startswith("#"), numeric).otherwise(
-            F.coalesce(common, F.element_at(_entity_map(), name))
+            F.coalesce(common, _named_reference(name))
         ),
         e,
     )

@@ -12,7 +12,11 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # text rows are small in bytes and heavy in work: keep partitions for all cores
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64kb",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # do not record a Python stack for every column expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -32,8 +36,22 @@ def build_session(cpus: int = 8, **extra: str) -> SparkSession:
     return spark
 
 
+TEXT_TABLES = ("documents", "pages", "events", "conversations")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a scan that has fewer splits than there are cores.
+
+    Work on text is bound by the CPU, and one small file is one split.  A large input has far
+    more splits than cores and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
