@@ -142,12 +142,11 @@ def summary_metrics(texts: DataFrame, text: str, run: str) -> DataFrame:
 def with_daily_fallback(runs: DataFrame, daily: DataFrame, enough: int = 3) -> DataFrame:
     """Per-run metrics, completed by daily-log runs when there are fewer than ``enough``.
 
-    The count is a one-row aggregate joined to the fallback, so nothing is decided on the driver.
+    The count is a scalar subquery of the same plan, so nothing is decided on the driver.
     """
-    few = runs.agg((F.count("*") < enough).alias("__few"))
+    few = runs.agg((F.count("*") < enough).alias("few"))
     extra = daily.join(runs.select("run_id"), "run_id", "left_anti")
-    extra = extra.join(F.broadcast(few), F.col("__few")).drop("__few")
-    return runs.unionByName(extra)
+    return runs.unionByName(extra.filter(few.scalar()))
 
 
 def estimate(
@@ -164,7 +163,7 @@ def estimate(
         F.struct(*MEASURES).alias("overall")
     )
     one = overall.agg(F.first("overall").alias("overall"))
-    d = sites.join(own, "site_id", "left").join(F.broadcast(one))
+    d = sites.join(own, "site_id", "left").withColumn("overall", one.scalar())
     for m, default in K.ESTIMATE_DEFAULTS.items():
         d = d.withColumn(f"__{m}", F.coalesce(F.col(f"own.{m}"), F.col(f"overall.{m}"), F.lit(default)))
     if pages > 0:

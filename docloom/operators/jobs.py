@@ -21,7 +21,7 @@ def attempts(jobs: DataFrame, job: str, retry_of: str) -> DataFrame:
         F.when(F.col(retry_of).isNull(), 0).otherwise(1).alias("langkah"),
     )
     d = checkpoint(d)
-    while True:
+    for _ in range(64):  # 2**64 retries: more rounds would mean that links form a ring
         up = d.select(
             F.col("job").alias("akar"), F.col("akar").alias("__to"), F.col("langkah").alias("__n")
         )
@@ -37,3 +37,4 @@ def attempts(jobs: DataFrame, job: str, retry_of: str) -> DataFrame:
         d = d.drop("__moved")
         if not moved:
             return d.select("job", "akar", (F.col("langkah") + 1).alias("percobaan"))
+    raise ValueError("retry links form a ring")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docloom import constants as K
@@ -169,6 +170,35 @@ def is_active(last_seen: Column, now: Column) -> Column:
     return F.unix_timestamp(now) - F.unix_timestamp(last_seen) < K.RUN_ACTIVE_SECONDS
 
 
+def activity_runs(
+    events: DataFrame, key: str, ts: str, gap: int = K.RUN_ACTIVE_SECONDS, slice_seconds: int = 600
+) -> DataFrame:
+    """(key, mulai, akhir, kejadian): stretches in which events follow within ``gap`` seconds.
+
+    Two levels, so a key with a third of all events does not fill one task: stretches are
+    built inside slices of time first, then the few stretches per slice are merged per key.
+    """
+
+    def merged(df, part):
+        w = W.partitionBy(*part).orderBy("mulai", "akhir")
+        reach = F.max("akhir").over(w.rowsBetween(W.unboundedPreceding, -1))
+        fresh = (
+            F.col("mulai").cast("timestamp").cast("double") - reach.cast("timestamp").cast("double") < gap
+        )
+        d = df.withColumn("__new", F.when(fresh, 0).otherwise(1))
+        d = d.withColumn("__run", F.sum("__new").over(w))
+        return d.groupBy(*part, "__run").agg(
+            F.min("mulai").alias("mulai"), F.max("akhir").alias("akhir"), F.sum("kejadian").alias("kejadian")
+        ).drop("__run")
+
+    at = F.col(ts).cast("timestamp").cast("double")
+    e = events.select(
+        key, F.floor(at / slice_seconds).alias("__slice"), F.col(ts).alias("mulai"),
+        F.col(ts).alias("akhir"), F.lit(1).alias("kejadian"),
+    )
+    return merged(merged(e, [key, "__slice"]).drop("__slice"), [key])
+
+
 def file_inventory(files: DataFrame) -> DataFrame:
     """(site, run): vector file, export and manifest sizes, newest change, stale export flag.
 

@@ -281,12 +281,9 @@ def live_progress(spark, sf):
     SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS mulai, count(*) AS kejadian FROM s GROUP BY user_id, sesi""",
 )
 def run_active_gap(spark, sf):
-    """Activity runs: events of a site closer than the timeout.  session_window merges in state."""
     e = table(spark, sf, "events").select("user_id", "ts")
-    g = e.groupBy("user_id", F.session_window("ts", f"{K.RUN_ACTIVE_SECONDS} seconds").alias("s")).agg(
-        F.count("*").alias("kejadian")
-    )
-    return g.select("user_id", F.date_format("s.start", "yyyy-MM-dd HH:mm:ss").alias("mulai"), "kejadian")
+    g = R.activity_runs(e, "user_id", "ts")
+    return g.select("user_id", F.date_format("mulai", "yyyy-MM-dd HH:mm:ss").alias("mulai"), "kejadian")
 
 
 @query(
