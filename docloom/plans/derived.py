@@ -205,7 +205,7 @@ def status_updates(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("pesanan "), F.col("o_orderkey").cast("string")).alias("message"),
         F.concat(F.lit("RUN-"), F.col("o_orderkey").cast("string")).alias("run_id"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("last_crawled"),
-        F.col("o_orderkey").alias("seq"),
+        F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("seq"),
     )
     x = table(spark, sf, "lineitem").join(
         table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name"), "l_suppkey"
@@ -218,7 +218,11 @@ def status_updates(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("baris "), F.col("l_linenumber").cast("string")).alias("message"),
         F.concat(F.lit("RUN-"), F.col("l_orderkey").cast("string")).alias("run_id"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("last_crawled"),
-        (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("seq"),
+        # order and line number repeat in the data, so the rest of the row breaks ties
+        F.concat_ws(
+            "-", F.lpad(F.col("l_orderkey").cast("string"), 12, "0"), F.col("l_linenumber").cast("string"),
+            F.date_format("l_shipdate", "yyyy-MM-dd"), "l_returnflag", "l_linestatus",
+        ).alias("seq"),
     )
     return known.unionByName(new)
 
@@ -229,13 +233,13 @@ updates AS (
     o_orderpriority AS document_type,
     CASE o_orderstatus WHEN 'F' THEN 'failed_akses' ELSE 'success' END AS status,
     'pesanan ' || o_orderkey AS message, 'RUN-' || o_orderkey AS run_id,
-    strftime(o_orderdate, '%Y-%m-%d') AS last_crawled, o_orderkey AS seq
+    strftime(o_orderdate, '%Y-%m-%d') AS last_crawled, lpad(o_orderkey::VARCHAR, 12, '0') AS seq
   FROM orders JOIN customer ON c_custkey = o_custkey
   UNION ALL
   SELECT 'https://' || lower(s_name) || '.go.id/', l_suppkey, l_returnflag,
     CASE WHEN l_linestatus = 'F' THEN 'failed_akses' ELSE 'success' END,
     'baris ' || l_linenumber, 'RUN-' || l_orderkey, strftime(l_shipdate, '%Y-%m-%d'),
-    l_orderkey * 100 + l_linenumber
+    lpad(l_orderkey::VARCHAR, 12, '0') || '-' || l_linenumber || '-' || strftime(l_shipdate, '%Y-%m-%d') || '-' || l_returnflag || '-' || l_linestatus
   FROM lineitem JOIN supplier ON s_suppkey = l_suppkey)
 """
 
