@@ -37,6 +37,9 @@ LABEL_CHARS = 20
 LABEL_WORDS = 3
 NAV_RUN_MIN = 2
 
+# --- fixed values: accented letters that count as parts of words --------------
+WORD_LETTERS = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ"
+
 # --- fixed values: titles that name a file kind or a button -------------------
 GENERIC_TITLES = [
     "file", "files", "document", "documents", "dokumen", "berkas", "lampiran",
@@ -113,7 +116,7 @@ TRACKER_PATH_KEYWORDS = [
     "cart", "checkout", "payment", "unsubscribe",
 ]
 EMBEDDED_SOURCES = [("object", "data"), ("embed", "src"), ("iframe", "src"), ("source", "src")]
-DEFAULT_ROBOTS_TOKEN = "crawler-embed"
+DEFAULT_ROBOTS_TOKEN = "docloom"
 
 # --- fixed values: HTML -------------------------------------------------------
 DROP_TAGS = [

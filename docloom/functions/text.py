@@ -7,6 +7,8 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docloom import constants as K
+
 # the characters that trimming removes: space, tab, LF, CR, NUL, VT
 TRIM_CHARS = " \t\n\r\0\x0b"
 
@@ -67,8 +69,9 @@ def slug(c, max_length: int = 60) -> Column:
 
 
 def word_count(c) -> Column:
-    """Words made of letters with optional inner apostrophes, hyphens or digits."""
-    return F.regexp_count(col(c), F.lit(r"[\p{L}\p{N}]+(?:['\-][\p{L}\p{N}]+)*"))
+    """Words: a letter, then letters, apostrophes and hyphens; digits separate words."""
+    letters = f"A-Za-z{K.WORD_LETTERS}"
+    return F.regexp_count(col(c), F.lit(rf"[{letters}][{letters}'\-]*"))
 
 
 def human_bytes(c) -> Column:

@@ -138,7 +138,7 @@ def robots_bodies(spark, sf):
         F.lit("\r\nCrawl-delay: 2\r\nDisallow:\r\n"),
         F.when(
             F.col("page_id") % 2 == 0,
-            F.concat(F.lit("\nUser-agent: Crawler-Embed/1.0\nDisallow: "), b, F.lit(" # khusus\nCrawl-delay: 0.5\n")),
+            F.concat(F.lit("\nUser-agent: Docloom/1.0\nDisallow: "), b, F.lit(" # khusus\nCrawl-delay: 0.5\n")),
         ).otherwise(F.lit("\nUser-agent: lain\nDisallow: /\n")),
     )
     return table(spark, sf, "pages").select("page_id", "url", "html", body.alias("robots"))
@@ -160,7 +160,7 @@ rules AS (
       CASE WHEN page_id % 2 = 0 THEN 1000 ELSE 2000 END AS jeda_ms FROM rules WHERE path <> ''""",
 )
 def robots_parse(spark, sf):
-    d = L.parse_robots(robots_bodies(spark, sf), "robots", "crawler-embed/2.0 (+x)")
+    d = L.parse_robots(robots_bodies(spark, sf), "robots", "docloom/2.0 (+x)")
     d = d.select("page_id", "crawl_delay", F.explode("rules").alias("r"))
     return d.select(
         "page_id", "r.rule_no", "r.allow", "r.path", F.col("crawl_delay").alias("jeda"),
@@ -181,7 +181,7 @@ def robots_parse(spark, sf):
 def robots_allow(spark, sf):
     p = robots_bodies(spark, sf)
     links = L.extract_links(p, "page_id", "url", "html")
-    rules = L.parse_robots(p.select("page_id", "robots"), "robots", "crawler-embed/2.0")
+    rules = L.parse_robots(p.select("page_id", "robots"), "robots", "docloom/2.0")
     return L.check_robots(links, rules, "page_id").select("page_id", "link", F.col("allowed").alias("boleh"))
 
 

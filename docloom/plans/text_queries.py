@@ -112,8 +112,8 @@ def durations(spark, sf):
 
 @query(
     "word_counts",
-    r"""SELECT doc_id, length(text) AS karakter,
-      len(regexp_extract_all(text, '[\p{L}\p{N}]+(?:[''\-][\p{L}\p{N}]+)*')) AS kata FROM documents""",
+    f"""SELECT doc_id, length(text) AS karakter, len(regexp_extract_all(text,
+      '[A-Za-z{K.WORD_LETTERS}][A-Za-z{K.WORD_LETTERS}''\\-]*')) AS kata FROM documents""",
 )
 def word_counts(spark, sf):
     return table(spark, sf, "documents").select(
