@@ -1,7 +1,7 @@
 """Mixing sources to target weights: whole blocks of words by Sainte-Lague apportionment.
 
-DataFrame functions only.  A source's words are cut into blocks of ``block`` words; targets say how many
-blocks each source gives.  Seats go to the highest quotients target / (2 k + 1), first among
+DataFrame functions only.  Words are cut into equal blocks of about ``block`` words (a shard's words
+divided by its whole number of blocks); targets say how many blocks each source gives.  Seats go to the highest quotients target / (2 k + 1), first among
 sources, then among the shards of each source, so every quota is a whole number of blocks and they
 add up.  A shard lays its documents in seeded order on a line and gives whole rounds of all its
 blocks, then the blocks first in a second seeded order.
@@ -32,7 +32,7 @@ class MixOptions:
     weights: Sequence[int] = (5, 2, 1)
     share: float = 1.5
     repeats: int = 2
-    block: int = 256
+    block: int = 128
     shard: int = 1 << 19
     seed: int = 20
 
@@ -108,7 +108,7 @@ def mix(docs: DataFrame, options: MixOptions = MixOptions()) -> DataFrame:
     targets = targets.withColumn("share", F.col("target") / o.block).withColumn("of", F.col("source"))
     sources = apportion(
         targets.drop("source"), [], F.xxhash64("of", F.lit(o.seed)), "share", all_seats,
-        F.ceil(F.col("source_size") / o.block) * o.repeats,
+        (F.floor(F.col("source_size") / o.block) + 1) * o.repeats,
     ).select("of", "source_size", "target", F.col("quota").alias("source_quota"))
     sources = stored(sources, "mix-sources")
     # shards: as many as the source needs, by a hash of the row
@@ -116,30 +116,33 @@ def mix(docs: DataFrame, options: MixOptions = MixOptions()) -> DataFrame:
     d = d.withColumn("shard", F.pmod(F.xxhash64("place", F.lit(o.seed + 1)), F.ceil(F.col("source_size") / o.shard).cast("long") + F.lit(1)))
     shards = d.groupBy("source", "shard").agg(
         F.sum("size").alias("shard_size"), F.first("source_size").alias("source_size"), F.first("source_quota").alias("source_quota"))
+    # equal blocks of about the wished size; a shard without words has none
+    whole = F.greatest(F.round(F.col("shard_size") / o.block), F.lit(1)).cast("long")
+    shards = shards.withColumn("blocks", F.when(F.col("shard_size") > 0, whole).otherwise(F.lit(0)).cast("long"))
     shards = shards.withColumn("share", F.col("source_quota") * F.col("shard_size") / F.greatest(F.col("source_size"), F.lit(1)))
     shards = apportion(
-        shards, ["source"], F.col("shard"), "share", F.col("source_quota"), F.ceil(F.col("shard_size") / o.block) * o.repeats,
-    ).select(F.col("source").alias("s_source"), F.col("shard").alias("s_shard"), "shard_size", "quota")
+        shards, ["source"], F.col("shard"), "share", F.col("source_quota"), F.col("blocks") * o.repeats,
+    ).select(F.col("source").alias("s_source"), F.col("shard").alias("s_shard"), "shard_size", "blocks", "quota")
     # a document's words on the line of its shard, and the blocks they lie in
     line = W.partitionBy("source", "shard").orderBy("place", "doc_id", "mark").rowsBetween(W.unboundedPreceding, W.currentRow)
     d = d.join(shards, F.col("source").eqNullSafe(F.col("s_source")) & (F.col("shard") == F.col("s_shard"))).drop("s_source", "s_shard")
     d = stored(d.withColumn("last", F.sum("size").over(line)).withColumn("first", F.col("last") - F.col("size")), "mix-line")
-    blocks = F.ceil(F.col("shard_size") / o.block).cast("long")
-    d = d.withColumn("rounds", F.when(blocks > 0, F.floor(F.col("quota") / blocks)).otherwise(0)).withColumn("more", F.col("quota") - F.col("rounds") * blocks)
+    d = d.withColumn("rounds", F.when(F.col("blocks") > 0, F.floor(F.col("quota") / F.col("blocks"))).otherwise(0))
+    d = d.withColumn("more", F.col("quota") - F.col("rounds") * F.col("blocks"))
     # the block order of a shard needs its number of blocks only
-    numbers = d.groupBy("source", "shard").agg(F.first("shard_size").alias("shard_size"), F.first("more").alias("more")).filter("more > 0")
+    numbers = d.groupBy("source", "shard").agg(F.first("blocks").alias("blocks"), F.first("more").alias("more")).filter("more > 0")
     order = W.partitionBy("source", "shard").orderBy(F.xxhash64("source", "shard", "b", F.lit(o.seed + 2)), "b")
-    picked = numbers.select("source", "shard", "more", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("b"))
+    picked = numbers.select("source", "shard", "more", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"))
     picked = picked.withColumn("r", F.row_number().over(order)).filter("r <= more")
     chosen = picked.groupBy("source", "shard").agg(F.sort_array(F.collect_list("b")).alias("chosen")).select(
         F.col("source").alias("c_source"), F.col("shard").alias("c_shard"), "chosen")
     d = d.join(chosen, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("shard") == F.col("c_shard")), "left")
-    at = F.sequence(F.floor(F.col("first") / o.block), F.floor((F.col("last") - 1) / o.block))
-    inside = F.aggregate(
-        F.array_intersect(at, F.coalesce("chosen", F.array().cast("array<bigint>"))), F.lit(0).cast("long"),
-        lambda acc, b: acc + F.least(F.col("last"), (b + 1) * o.block) - F.greatest(F.col("first"), b * o.block),
-    )
-    taken = F.when(F.col("size") > 0, F.col("rounds") * F.col("size") + inside).otherwise(0).cast("long")
+    # block b holds the words from b * shard_size div blocks on; word x lies in block ceil((x + 1) * blocks / shard_size) - 1
+    at = F.expr("sequence(((first + 1) * blocks + shard_size - 1) div shard_size - 1, (last * blocks + shard_size - 1) div shard_size - 1)")
+    inside = F.expr("""aggregate(array_intersect(CASE WHEN size > 0 THEN at END, coalesce(chosen, cast(array() AS array<bigint>))), 0L,
+        (acc, b) -> acc + least(last, ((b + 1) * shard_size) div blocks) - greatest(first, (b * shard_size) div blocks))""")
+    d = d.withColumn("at", F.when(F.col("size") > 0, at))
+    taken = F.when(F.col("size") > 0, F.col("rounds") * F.col("size") + F.coalesce(inside, F.lit(0))).otherwise(0).cast("long")
     return d.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["suffix_tree"]
+MODULES = ["suffix_tree", "simhash", "toxicity", "mixing"]
 
 
 def all_queries():
