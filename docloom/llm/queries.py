@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["suffix_tree", "simhash", "toxicity", "mixing"]
+MODULES = ["suffix_tree", "simhash", "toxicity", "line_dedup", "decontamination", "mixing"]
 
 
 def all_queries():
