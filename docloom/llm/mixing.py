@@ -92,7 +92,7 @@ def apportion(parties: DataFrame, within: list[str], key: Column, share: str, se
 
 
 def mix(docs: DataFrame, options: MixOptions = MixOptions()) -> DataFrame:
-    """``doc_id, source, size, source_size, target, taken`` for each row of ``docs(doc_id, text, source)``.
+    """``doc_id, source, mark, size, source_size, target, taken`` for each row of ``docs(doc_id, text, source)``.
 
     ``taken``: words of this row that the mix takes, repeats counted, at most ``repeats`` times its
     size.  A null text has size 0 and is never taken; null sources are one source, the last; rows
@@ -143,13 +143,18 @@ def mix(docs: DataFrame, options: MixOptions = MixOptions()) -> DataFrame:
         (acc, b) -> acc + least(last, ((b + 1) * shard_size) div blocks) - greatest(first, (b * shard_size) div blocks))""")
     d = d.withColumn("at", F.when(F.col("size") > 0, at))
     taken = F.when(F.col("size") > 0, F.col("rounds") * F.col("size") + F.coalesce(inside, F.lit(0))).otherwise(0).cast("long")
-    return d.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
+    return d.select("doc_id", "source", "mark", "size", "source_size", "target", taken.alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, options: MixOptions = MixOptions()) -> DataFrame:
-    """The rows of ``docs`` that the mix takes, with ``size, target, taken``; a row is known by its id and content."""
-    m = mix(docs, options).filter("taken > 0")
-    return m
+    """The rows of ``docs`` that the mix takes, with ``mix_size, mix_target, mix_taken`` added.
+
+    Rows that are equal in id and text are taken alike, with the largest of their counts.
+    """
+    mark = F.xxhash64("text", F.lit(options.seed))
+    taken = mix(docs, options).filter("taken > 0").groupBy(F.col("doc_id").alias("m_id"), F.col("mark").alias("m_mark")).agg(
+        F.max("size").alias("mix_size"), F.max("target").alias("mix_target"), F.max("taken").alias("mix_taken"))
+    return docs.join(taken, docs["doc_id"].eqNullSafe(taken["m_id"]) & (mark == F.col("m_mark"))).drop("m_id", "m_mark")
 
 
 @query("op8_sainte_lague_mix")

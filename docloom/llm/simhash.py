@@ -230,10 +230,15 @@ def near_duplicates(docs: DataFrame, options: SimhashOptions = SimhashOptions())
 
 
 def keep_one_of_each(docs: DataFrame, options: SimhashOptions = SimhashOptions()) -> DataFrame:
-    """The rows of ``docs`` whose id is the least of its class; of repeated ids and null ids all rows stay or go together."""
-    found = near_duplicates(docs.select("doc_id", "text"), options)
-    first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("first_id")).distinct()
-    return docs.join(first, docs["doc_id"].eqNullSafe(first["first_id"]), "left_semi")
+    """The rows of ``docs`` whose id is the least of its class; all columns as they are.
+
+    Rows that share an id stay or go together, of those that are equal in id and text one stays.
+    """
+    found = stored(near_duplicates(docs.select("doc_id", "text"), options), "simhash-kept")
+    first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("first_id")).count()
+    once, more = first.filter("count = 1").select("first_id"), first.filter("count > 1").select("first_id")
+    same = docs["doc_id"].eqNullSafe(F.col("first_id"))
+    return docs.join(once, same, "left_semi").union(docs.join(more, same, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 @query("op2_simhash_near_dedup")

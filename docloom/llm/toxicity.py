@@ -325,6 +325,29 @@ def _scores(shared):
     return run
 
 
+def _drop(shared, at: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        g = shared.value
+        for b in batches:
+            x = np.array([g.features(t.as_py()) for t in b.column(at)]).reshape(b.num_rows, len(SCORED) + 1)
+            yield b.filter(pa.array(g.score(x) < 0.5))
+
+    return run
+
+
+def fit(docs: DataFrame, labels: DataFrame, options: ToxicityOptions = ToxicityOptions()) -> Grammar:
+    """Learn from the labels of ``docs`` outside the held-out fold (crc32(doc_id) mod 5 is 0)."""
+    known = labels.filter("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
+    d = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter(crc_mod(F.col("doc_id"), 5) != 0)
+    return learn(d.join(known, "doc_id"), options)
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, options: ToxicityOptions = ToxicityOptions()) -> DataFrame:
+    """The rows of ``docs`` that score under 0.5, all columns as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, options))
+    return docs.mapInArrow(_drop(shared, docs.columns.index("text")), docs.schema)
+
+
 def score_documents(docs: DataFrame, labels: DataFrame, options: ToxicityOptions = ToxicityOptions()) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for each row of ``docs(doc_id, text)``.
 
@@ -333,9 +356,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, options: ToxicityOptions
     contradicting labels of one id the larger counts; null labels count as none.  Further columns are ignored.
     """
     d = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"))
-    known = labels.filter("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
-    g = learn(d.filter(~F.col("held_out")).select("doc_id", "text").join(known, "doc_id"), options)
-    shared = docs.sparkSession.sparkContext.broadcast(g)
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, options))
     out = d.mapInArrow(_scores(shared), "doc_id long, held_out boolean, score double")
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
