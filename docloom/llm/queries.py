@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["suffix_tree", "simhash", "toxicity", "line_dedup", "decontamination", "mixing", "html_blocks"]
+MODULES = ["suffix_tree", "simhash", "toxicity", "line_dedup", "quality_rules", "decontamination", "mixing", "html_blocks"]
 
 
 def all_queries():
