@@ -148,7 +148,7 @@ def _key_rows(o: LineOptions):
                     if len(line) >= o.edit_chars:
                         lines.setdefault(line_id(line), line)
                         size += len(line)
-                if size > 4_000_000:
+                if size > 1_000_000:
                     yield from emit(lines, seen)
                     lines, size = {}, 0
         if lines:
@@ -199,9 +199,38 @@ def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = rows[last]
 
 
-def within(a: list[str], b: list[str], tau: int) -> np.ndarray:
+def within(a: list[str], b: list[str], tau: int, cells: int = 2_000_000) -> np.ndarray:
     """Edit distance of each pair where it is at most ``tau``, else ``tau + 1``.
 
+    What both lines share at their ends is cut off first; pairs of like length go together,
+    ``cells`` symbols at a time.
+    """
+    left, right = [], []
+    for s, t in zip(a, b):
+        x, y = (np.frombuffer(v.encode("utf-32-le", "surrogatepass"), np.uint32) for v in (s, t))
+        m = min(len(x), len(y))
+        differ = np.flatnonzero(x[:m] != y[:m])
+        head = int(differ[0]) if len(differ) else m
+        m -= head
+        differ = np.flatnonzero(x[len(x) - m :] != y[len(y) - m :])
+        tail = m - 1 - int(differ[-1]) if len(differ) else m
+        left.append(x[head : len(x) - tail])
+        right.append(y[head : len(y) - tail])
+    size = np.array([max(len(x), len(y)) for x, y in zip(left, right)], np.int64)
+    order, result, i = np.argsort(size, kind="stable"), np.zeros(len(size), np.int64), 0
+    while i < len(order):
+        n = 1
+        while i + n < len(order) and (n + 1) * (size[order[i + n]] + 1) <= cells:
+            n += 1
+        part = order[i : i + n]
+        result[part] = _in_step([left[k] for k in part], [right[k] for k in part], tau)
+        i += n
+    return result
+
+
+def _in_step(a: list[np.ndarray], b: list[np.ndarray], tau: int) -> np.ndarray:
+    """Edit distances up to ``tau`` by a banded automaton, all pairs in step.
+
     One word of ``2 tau + 1`` bits for each number of errors: bit d is set if some alignment of the first j
     symbols of b ends on diagonal d of the band with that many errors.  All pairs step through j
     together; a pair without a set bit is dropped.
@@ -216,8 +245,8 @@ def within(a: list[str], b: list[str], tau: int) -> np.ndarray:
     x = np.full((n, wide + band + tau), 0xFFFFFFFF, np.uint32)  # a from column tau on; two fillers that equal nothing
     y = np.full((n, wide + 1), 0xFFFFFFFE, np.uint32)
     for i in rows.tolist():
-        x[i, tau : tau + la[i]] = np.frombuffer(a[i].encode("utf-32-le", "surrogatepass"), np.uint32)
-        y[i, : lb[i]] = np.frombuffer(b[i].encode("utf-32-le", "surrogatepass"), np.uint32)
+        x[i, tau : tau + la[i]] = a[i]
+        y[i, : lb[i]] = b[i]
     weights = 1 << np.arange(band, dtype=np.int64)
     full = (1 << band) - 1
     state = [np.full(n, 1 << tau, np.int64)]
