@@ -369,15 +369,37 @@ def _group_links(o: LineOptions):
     return run
 
 
-def _texts(o: LineOptions):
+FILTER_BITS = 24  # of the slot filter: 2 MB, whatever the input
+
+
+def slot_filter(ids: DataFrame) -> np.ndarray:
+    """Bits of the slots ``id mod 2^24`` that occur: a filter of fixed size in front of the join on ids.
+
+    It only spares rows; where most slots are taken it lets everything pass.
+    """
+    slot = F.pmod(F.col("id"), F.lit(1 << FILTER_BITS)) + 1
+    parts = ids.groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+    out = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
+    for bucket, bits in parts.collect():
+        at = (bucket - 1) * 4096
+        out[at : at + len(bits)] = np.frombuffer(bits, np.uint8)
+    return out
+
+
+def _texts(o: LineOptions, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
         for b in batches:
             found: dict[int, str] = {}
             for text in b.column(0):
                 for line in lines_of(text.as_py()):
                     if len(line) >= o.edit_chars:
                         found.setdefault(line_id(line), line)
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.string())], names=["of", "text"])
+            ids = np.array(list(found), np.int64)
+            slot = ids & ((1 << FILTER_BITS) - 1)
+            hit = np.flatnonzero(bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)
+            lines = list(found.values())
+            yield pa.RecordBatch.from_arrays([pa.array(ids[hit]), pa.array([lines[i] for i in hit], pa.string())], names=["of", "text"])
 
     return run
 
@@ -390,7 +412,8 @@ def edit_links(texts: DataFrame, options: LineOptions = LineOptions()) -> DataFr
     shared = keys.mapInArrow(_shared_keys, "key long, id long, index int").groupBy("key", "id").agg(F.max("index").alias("index"))
     shared = stored(shared, "line-keys")
     wanted = shared.select("id").distinct()
-    lines = texts.mapInArrow(_texts(o), "of long, text string").join(wanted, F.col("of") == F.col("id"), "left_semi")
+    bits = texts.sparkSession.sparkContext.broadcast(slot_filter(wanted))
+    lines = texts.mapInArrow(_texts(o, bits), "of long, text string").join(wanted, F.col("of") == F.col("id"), "left_semi")
     lines = lines.groupBy("of").agg(F.first("text").alias("line"))
     large = shared.groupBy("key").count().filter(F.col("count") > o.chunk)
     large = large.select(F.col("key").alias("k"), F.ceil(F.col("count") / o.chunk).cast("int").alias("g"))
