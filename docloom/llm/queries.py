@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["suffix_tree", "simhash", "toxicity", "line_dedup", "quality_rules", "decontamination", "mixing", "html_blocks"]
+MODULES = [
+    "suffix_tree", "simhash", "toxicity", "line_dedup", "quality_rules", "language_id", "decontamination", "mixing",
+    "license_scan", "html_blocks",
+]
 
 
 def all_queries():
