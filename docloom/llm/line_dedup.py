@@ -458,13 +458,13 @@ def drop_repeated_lines(docs: DataFrame, options: LineOptions = LineOptions()) -
     A text whose lines all go becomes empty; texts that lose nothing stay as they are, null too.  A
     column ``n_chars`` follows the text.
     """
-    gone = near_lines(docs, options).filter(~F.col("first")).groupBy(F.col("doc_id").alias("gone_id")).agg(F.collect_set("line_no").alias("gone"))
-    d = docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]), "left")
-    kept = F.filter(F.split(F.col("text"), "\n"), lambda line, i: ~F.array_contains(F.col("gone"), i))
-    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    gone = near_lines(docs, options).filter(~F.col("first")).groupBy(F.col("doc_id").alias("__gone_id")).agg(F.collect_set("line_no").alias("__gone"))
+    d = docs.join(gone, docs["doc_id"].eqNullSafe(gone["__gone_id"]), "left")
+    kept = F.filter(F.split(F.col("text"), "\n"), lambda line, i: ~F.array_contains(F.col("__gone"), i))
+    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     out = d.withColumn("text", text)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+        out = out.withColumn("n_chars", F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return out.select(docs.columns)
 
 

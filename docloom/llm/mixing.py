@@ -152,9 +152,9 @@ def mixed_documents(docs: DataFrame, options: MixOptions = MixOptions()) -> Data
     Rows that are equal in id and text are taken alike, with the largest of their counts.
     """
     mark = F.xxhash64("text", F.lit(options.seed))
-    taken = mix(docs, options).filter("taken > 0").groupBy(F.col("doc_id").alias("m_id"), F.col("mark").alias("m_mark")).agg(
+    taken = mix(docs, options).filter("taken > 0").groupBy(F.col("doc_id").alias("__m_id"), F.col("mark").alias("__m_mark")).agg(
         F.max("size").alias("mix_size"), F.max("target").alias("mix_target"), F.max("taken").alias("mix_taken"))
-    return docs.join(taken, docs["doc_id"].eqNullSafe(taken["m_id"]) & (mark == F.col("m_mark"))).drop("m_id", "m_mark")
+    return docs.join(taken, docs["doc_id"].eqNullSafe(taken["__m_id"]) & (mark == F.col("__m_mark"))).drop("__m_id", "__m_mark")
 
 
 @query("op8_sainte_lague_mix")

@@ -235,9 +235,9 @@ def keep_one_of_each(docs: DataFrame, options: SimhashOptions = SimhashOptions()
     Rows that share an id stay or go together, of those that are equal in id and text one stays.
     """
     found = stored(near_duplicates(docs.select("doc_id", "text"), options), "simhash-kept")
-    first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("first_id")).count()
-    once, more = first.filter("count = 1").select("first_id"), first.filter("count > 1").select("first_id")
-    same = docs["doc_id"].eqNullSafe(F.col("first_id"))
+    first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("__first_id")).count()
+    once, more = first.filter("count = 1").select("__first_id"), first.filter("count > 1").select("__first_id")
+    same = docs["doc_id"].eqNullSafe(F.col("__first_id"))
     return docs.join(once, same, "left_semi").union(docs.join(more, same, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
