@@ -17,11 +17,12 @@ from docloom.operators.skew import ordered_slices
 from docloom.session import checkpoint
 
 
-def content_tokens(markdown, limit: int = K.FINGERPRINT_TOKENS) -> Column:
-    """First ``limit`` distinct words of three or more characters, link addresses ignored."""
+def content_tokens(markdown, limit: int | None = None) -> Column:
+    """Distinct words of three or more characters, link addresses ignored; the first ``limit`` if given."""
     t = F.regexp_replace(col(markdown), r"!?\[([^\]]*)\]\([^)]*\)", "$1")
     words = F.split(F.lower(t), r"[^\p{L}\p{N}]+")
-    return F.slice(F.array_distinct(F.filter(words, lambda w: F.length(w) >= 3)), 1, limit)
+    distinct = F.array_distinct(F.filter(words, lambda w: F.length(w) >= 3))
+    return distinct if limit is None else F.slice(distinct, 1, limit)
 
 
 def first_copies(docs: DataFrame, site: str, seq: str, markdown: str) -> DataFrame:
@@ -91,7 +92,7 @@ def _scan_segment(threshold: float, history: int):
                     score = common / (len(tokens) + len(other) - common)
                     if score > best:
                         best, first = score, near[number][1]
-                kind = "mirip" if best >= threshold else None
+                kind = "mirip" if first is not None and best >= threshold else None
             if kind is None:
                 seen[d.fp] = d.url
                 if tokens:
@@ -143,8 +144,11 @@ def greedy_duplicates(
     threshold: float = K.DUPLICATE_SIMILARITY,
     history: int = K.FINGERPRINT_HISTORY,
     segment_rows: int = 5000,
+    tokens: int | None = K.FINGERPRINT_TOKENS,
 ) -> DataFrame:
-    """Arrival-ordered duplicate decision for every document.
+    """Arrival-ordered duplicate decision with a short memory (``history`` documents, ``tokens`` words).
+
+    The compatible form; ``all_duplicates`` has no limits.
 
     A document is dropped when its text equals that of an accepted document at another
     address, or when its words are similar to one of the last ``history`` accepted documents
@@ -163,7 +167,7 @@ def greedy_duplicates(
         F.col(seq).cast("long").alias("seq"),
         F.col(url).alias("url"),
         content_sha1(markdown).alias("fp"),
-        content_tokens(markdown).alias("tokens"),
+        content_tokens(markdown, tokens).alias("tokens"),
     )
     slices = max(1, math.ceil(docs.count() / segment_rows))
     d = ordered_slices(d, ["site"], [F.col("seq")], slices).withColumnRenamed("__slice", "seg")
@@ -208,3 +212,80 @@ def greedy_duplicates(
     return result.filter(F.col("accepted").isNotNull()).select(
         F.col("site").alias(site), F.col("seq").alias(seq), "url", "accepted", "jenis", "url_pertama", "skor"
     )
+
+
+def similar_texts(texts: DataFrame, threshold: float) -> DataFrame:
+    """(site, a, b, score) with ``a < b``: nodes whose word sets have a Jaccard of at least ``threshold``, above 0.
+
+    ``texts`` has (site, node, tokens).  Prefix filter over words ordered rarest first: similar sets share
+    one of their first ``n - ceil(threshold n) + 1`` words, so common words never become join keys.
+    Sets travel once more to verify the candidates.
+    """
+    n = F.size("tokens")
+    sized = texts.filter(n > 0)
+    seen = sized.select("site", "node", F.explode("tokens").alias("t"))
+    often = seen.groupBy("t").agg(F.count("*").alias("df"))
+    ranked = seen.join(often, "t").groupBy("site", "node").agg(F.array_sort(F.collect_list(F.struct("df", "t"))).alias("r"))
+    size = F.size("r")
+    keep = size - F.ceil(F.lit(threshold) * size - 1e-9).cast("int") + 1
+    prefix = ranked.select("site", "node", size.alias("n"), F.explode(F.slice("r", F.lit(1), F.least(keep, size))).alias("p"))
+    prefix = prefix.select("site", "node", "n", F.col("p.t").alias("t"))
+    a, b = prefix.alias("a"), prefix.alias("b")
+    near = (F.col("a.n") >= threshold * F.col("b.n") - 1e-9) & (F.col("b.n") >= threshold * F.col("a.n") - 1e-9)
+    same = (F.col("a.site") == F.col("b.site")) & (F.col("a.t") == F.col("b.t"))
+    pairs = a.join(b, same & (F.col("a.node") < F.col("b.node")) & near)
+    pairs = pairs.select(F.col("a.site").alias("site"), F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+    sets = sized.select("site", "node", "tokens")
+    pairs = pairs.join(sets.select("site", F.col("node").alias("a"), F.col("tokens").alias("ta")), ["site", "a"])
+    pairs = pairs.join(sets.select("site", F.col("node").alias("b"), F.col("tokens").alias("tb")), ["site", "b"])
+    common = F.size(F.array_intersect("ta", "tb"))
+    score = common / (F.size("ta") + F.size("tb") - common)
+    return pairs.select("site", "a", "b", score.alias("score")).filter((F.col("score") >= threshold) & (F.col("score") > 0))
+
+
+def all_duplicates(
+    docs: DataFrame, site: str, seq: str, url: str, markdown: str, threshold: float = K.DUPLICATE_SIMILARITY
+) -> DataFrame:
+    """Arrival-ordered duplicate decision over whole texts and all earlier documents of a site.
+
+    The rule of ``greedy_duplicates`` without its limits.  Equal texts are one node of a graph, and only
+    similar nodes are joined by an edge, so what is decided in order is that sparse graph: a node
+    is accepted once all earlier neighbours are dropped, and dropped once one is accepted.  Each
+    round decides every node whose earlier neighbours are decided and keeps the open edges only.
+    """
+    d = docs.select(
+        F.col(site).cast("string").alias("site"), F.col(seq).cast("long").alias("seq"), F.col(url).alias("url"),
+        content_sha1(markdown).alias("fp"), content_tokens(markdown).alias("tokens"),
+    )
+    texts = checkpoint(d.groupBy("site", "fp").agg(F.min("seq").alias("node"), F.min_by("url", "seq").alias("first_url"), F.first("tokens").alias("tokens")))
+    none = texts.select("site", F.col("node").alias("a"), F.col("node").alias("b"), F.lit(0.0).alias("score")).limit(0)
+    edges = checkpoint(similar_texts(texts.select("site", "node", "tokens"), threshold) if threshold < 1.0 else none)
+    open_edges, dropped = edges.select("site", "a", "b"), None
+    while True:
+        # earliest open nodes: they have edges, none of them from an earlier open node
+        later = open_edges.select("site", F.col("b").alias("a")).distinct()
+        free = open_edges.select("site", "a").distinct().join(later, ["site", "a"], "left_anti")
+        gone = checkpoint(open_edges.join(free, ["site", "a"], "left_semi").select("site", "b").distinct())
+        if gone.isEmpty():
+            break
+        dropped = gone if dropped is None else checkpoint(dropped.union(gone))
+        rest = open_edges.join(free, ["site", "a"], "left_anti")
+        rest = rest.join(gone, ["site", "b"], "left_anti").join(gone.select("site", F.col("b").alias("a")), ["site", "a"], "left_anti")
+        open_edges = checkpoint(rest.select("site", "a", "b"))
+    dropped = (edges.select("site", "b").limit(0) if dropped is None else dropped).select("site", F.col("b").alias("node"), F.lit(True).alias("gone"))
+    nodes = texts.join(dropped, ["site", "node"], "left").select("site", "fp", "node", "first_url", F.coalesce("gone", F.lit(False)).alias("gone"))
+    # accepted neighbours of dropped nodes, in either direction
+    both = edges.select("site", F.col("b").alias("node"), F.col("a").alias("other"), "score").union(
+        edges.select("site", F.col("a").alias("node"), F.col("b").alias("other"), "score"))
+    kept = nodes.filter(~F.col("gone")).select("site", F.col("node").alias("other"), F.col("first_url").alias("other_url"))
+    near = both.join(dropped.drop("gone"), ["site", "node"], "left_semi").join(kept, ["site", "other"])
+    near = near.groupBy("site", "node").agg(F.collect_list(F.struct((-F.col("score")).alias("s"), "other", "other_url")).alias("near"))
+    out = d.drop("tokens").join(nodes, ["site", "fp"]).join(near, ["site", "node"], "left")
+    best = F.array_min(F.filter("near", lambda x: x["other"] < F.col("seq")))
+    same = ~F.col("gone") & (F.col("url") != F.col("first_url"))
+    score = F.when(same, F.lit(1.0)).when(F.col("gone"), F.floor(-best["s"] * 10000 + 0.5) / 10000)
+    return out.select(
+        F.col("site").alias(site), F.col("seq").alias(seq), "url", (~F.col("gone") & ~same).alias("accepted"),
+        F.when(same, F.lit("identik")).when(F.col("gone"), F.lit("mirip")).alias("jenis"),
+        F.when(same, F.col("first_url")).when(F.col("gone"), best["other_url"]).alias("url_pertama"), score.alias("skor"),
+    )

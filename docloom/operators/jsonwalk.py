@@ -21,28 +21,42 @@ def dig(json_text, path: str) -> Column:
     return F.get_json_object(col(json_text), "$" + steps)
 
 
-def _texts(value, depth: int = 0) -> str:
+def number_text(value: int | float) -> str:
+    """Number as text: whole floats without a fraction, at most 14 digits, exponents as in ``1.0E+20``."""
+    if isinstance(value, int) and -(1 << 63) <= value < 1 << 63:
+        return str(value)
+    digits, _, power = format(float(value), ".14G").partition("E")
+    if not power:
+        return digits
+    return f"{digits if '.' in digits else digits + '.0'}E{'+' if int(power) >= 0 else '-'}{abs(int(power))}"
+
+
+def _texts(value, depth: int, max_depth: int | None, max_parts: int | None) -> str:
     if isinstance(value, bool):
         return ""
     if isinstance(value, str):
         return value.strip()
     if isinstance(value, (int, float)):
-        return str(value)
-    if not isinstance(value, (dict, list)) or depth > 4:
+        return number_text(value)
+    if not isinstance(value, (dict, list)) or max_depth is not None and depth > max_depth:
         return ""
     items = value.values() if isinstance(value, dict) else value
-    parts = [t for t in (_texts(v, depth + 1) for v in items) if t]
-    return "\n\n".join(parts[:200]).strip()
+    parts = [t for t in (_texts(v, depth + 1, max_depth, max_parts) for v in items) if t]
+    return "\n\n".join(parts[:max_parts]).strip()
+
 
+def flatten_json(json_text, max_depth: int | None = 4, max_parts: int | None = None) -> Column:
+    """All text and numbers of a JSON value, joined by blank lines.
 
-def flatten_json(json_text) -> Column:
-    """All text and numbers of a JSON value, joined by blank lines, four levels deep."""
+    ``max_depth``: levels below the top that are read, None for all (the default is the depth the flattened
+    form has); ``max_parts``: parts of one level, None for all.
+    """
 
     @F.pandas_udf("string")
     def flat(texts: pd.Series) -> pd.Series:
         def one(t):
             try:
-                return _texts(json.loads(t))
+                return _texts(json.loads(t), 0, max_depth, max_parts)
             except (TypeError, ValueError):
                 return t.strip() if isinstance(t, str) else ""
 
@@ -51,81 +65,143 @@ def flatten_json(json_text) -> Column:
     return flat(col(json_text))
 
 
-def json_objects(df: DataFrame, key: str, text: str, max_depth: int = 8) -> DataFrame:
-    """(key, level, path, obj): every object and list of each JSON text, level by level.
+def _string_fields(value, max_depth: int | None) -> list[list[tuple[str, str]]]:
+    """Per object or list, in document order, a node before its children: its fields that hold text."""
+    out, todo = [], [(value, 0)]
+    while todo:
+        node, depth = todo.pop()
+        pairs = list(node.items() if isinstance(node, dict) else enumerate(node))
+        fields = [(str(k), v.strip()) for k, v in pairs if isinstance(v, str) and v.strip()]
+        if fields:
+            out.append(fields)
+        if max_depth is None or depth < max_depth:
+            todo += [(v, depth + 1) for _, v in reversed(pairs) if isinstance(v, (dict, list))]
+    return out
 
-    One explode per level over VARIANT values; ``max_depth`` bounds the levels, as a recursive
-    walk would, and levels without children end early by producing no rows.
-    """
-    root = df.select(
-        key, F.array(F.lit(0).cast("long")).alias("path"), F.try_parse_json(text).alias("node")
-    ).filter(F.col("node").isNotNull())
-    kind = F.schema_of_variant("node")
-    level = root.filter(kind.startswith("OBJECT") | kind.startswith("ARRAY"))
-    levels = [level.withColumn("level", F.lit(0))]
-    for depth in range(1, max_depth + 1):
-        level = (
-            level.lateralJoin(
-                df.sparkSession.tvf.variant_explode(F.col("node").outer()).select(
-                    F.col("pos").cast("long").alias("__pos"), F.col("value").alias("__child")
-                )
-            )
-            .select(key, F.concat("path", F.array("__pos")).alias("path"), F.col("__child").alias("node"))
-            .filter(kind.startswith("OBJECT") | kind.startswith("ARRAY"))
+
+def string_fields(json_text, max_depth: int | None = None) -> Column:
+    """array<array<struct(name, v)>>: the text fields of every object and list of a JSON text, in one pass."""
+
+    @F.pandas_udf("array<array<struct<name:string,v:string>>>")
+    def walk(texts: pd.Series) -> pd.Series:
+        def one(t):
+            try:
+                root = json.loads(t)
+            except (TypeError, ValueError):
+                return []
+            found = _string_fields(root, max_depth) if isinstance(root, (dict, list)) else []
+            return [[{"name": k, "v": v} for k, v in fields] for fields in found]
+
+        return texts.map(one)
+
+    return walk(col(json_text))
+
+
+def _is_document(url) -> Column:
+    probe = F.when(col(url).rlike("(?i)^https?://"), col(url)).otherwise(F.concat(F.lit("http://contoh.test"), col(url)))
+    return U.is_document_link(probe)
+
+
+def _node_title(fields) -> Column:
+    """Title among the text fields of one node: a usual title field first, then the first readable text."""
+
+    def ranked(f, i):
+        v, name = f["v"], F.lower(f["name"])
+        path_like = (
+            v.rlike("(?i)^https?://") | v.startswith("/") | v.rlike(r"(?i)^[a-z0-9._%/\-]+\.(pdf|docx?|xlsx?|pptx?|rtf)$")
         )
-        levels.append(level.withColumn("level", F.lit(depth)))
-    out = levels[0]
-    for x in levels[1:]:
-        out = out.unionByName(x)
-    return out
+        named = F.array_position(F.lit(K.TITLE_KEYS), name).cast("int")
+        any_text = ~name.isin(K.SKIP_TITLE_KEYS) & (F.length(v) >= 3)
+        rank = F.when(named > 0, named).when(any_text, F.lit(1000))
+        usable = ~path_like & ~F.lower(v).isin(K.GENERIC_TITLES) & rank.isNotNull()
+        return F.when(usable, F.struct(rank.alias("rank"), i.alias("i"), v.alias("v")))
+
+    return F.coalesce(F.array_min(F.transform(fields, ranked))["v"], F.lit(""))
 
 
-def json_files(df: DataFrame, key: str, text: str, max_depth: int = 8) -> DataFrame:
+def json_files(df: DataFrame, key: str, text: str, max_depth: int | None = None) -> DataFrame:
     """(key, url, judul): every document address in a JSON text, with the title beside it.
 
-    Absolute addresses are kept; paths get a leading slash.  The first mention of an address
-    keeps its title.
+    Absolute addresses are kept; paths get a leading slash.  The first mention of an address in
+    document order keeps its title.  ``max_depth``: levels below the top, None for all.
     """
-    objects = json_objects(df, key, text, max_depth)
-    fields = objects.lateralJoin(
-        df.sparkSession.tvf.variant_explode(F.col("node").outer()).select(
-            F.col("pos").alias("i"),
-            F.coalesce(F.col("key"), F.col("pos").cast("string")).alias("name"),
-            F.when(
-                F.schema_of_variant("value") == "STRING",
-                trim(F.variant_get("value", "$", "string")),
-            ).alias("v"),
-        )
-    ).filter(F.col("v") != "")
-    path_like = (
-        F.col("v").rlike("(?i)^https?://")
-        | F.col("v").startswith("/")
-        | F.col("v").rlike(r"(?i)^[a-z0-9._%/\-]+\.(pdf|docx?|xlsx?|pptx?|rtf)$")
-    )
-    generic = F.lower(F.col("v")).isin(K.GENERIC_TITLES)
-    name = F.lower("name")
-    named = F.array_position(F.lit(K.TITLE_KEYS), name)
-    any_text = ~name.isin(K.SKIP_TITLE_KEYS) & (F.length("v") >= 3)
-    order = F.when(named > 0, F.struct(named.cast("int"), F.col("i"))).when(
-        any_text, F.struct(F.lit(1000), F.col("i"))
-    )
-    order = F.when(~path_like & ~generic, order)
-    at = [key, "level", "path"]
-    titles = fields.groupBy(*at).agg(
-        F.min_by("v", order).alias("title"),
-        F.collect_list(F.struct("i", "v")).alias("values"),
-    )
-    f = titles.select(*at, "title", F.explode("values").alias("x"))
+    nodes = df.select(key, F.posexplode(string_fields(text, max_depth)).alias("node", "fields"))
+    nodes = nodes.withColumn("judul", one_line(_node_title("fields"), 240))
+    f = nodes.select(key, "node", "judul", F.posexplode("fields").alias("i", "x"))
     v = F.col("x.v")
-    absolute = v.rlike("(?i)^https?://")
     rooted = F.concat(F.lit("/"), F.regexp_replace(v, "^/+", ""))
-    url = F.when(absolute, v).when(v.startswith("/"), v).when(~v.rlike(r"\s"), rooted)
-    f = f.select(*at, F.col("x.i").alias("i"), one_line(F.coalesce("title", F.lit("")), 240).alias("judul"), url.alias("url"))
-    probe = F.when(F.col("url").rlike("(?i)^https?://"), F.col("url")).otherwise(
-        F.concat(F.lit("http://contoh.test"), F.col("url"))
-    )
-    f = f.filter(F.col("url").isNotNull() & U.is_document_link(probe))
-    return f.groupBy(key, "url").agg(F.min_by("judul", F.struct("path", "i")).alias("judul"))
+    url = F.when(v.rlike("(?i)^https?://") | v.startswith("/"), v).when(~v.rlike(r"\s"), rooted)
+    f = f.select(key, "node", "i", "judul", url.alias("url"))
+    f = f.filter(F.col("url").isNotNull() & _is_document("url"))
+    return f.groupBy(key, "url").agg(F.min_by("judul", F.struct("node", "i")).alias("judul"))
+
+
+def _at(value, path: str):
+    for step in (k for k in path.split(".") if k.strip()):
+        step = step.strip()
+        if isinstance(value, dict):
+            value = value.get(step)
+        elif isinstance(value, list) and step.isdigit() and int(step) < len(value):
+            value = value[int(step)]
+        else:
+            return None
+    return value
+
+
+def _rule_items(root, rule: dict, max_depth: int | None) -> list[tuple[str, str]]:
+    """(link, title) of the items that a document rule names, in document order."""
+    link_field, children = rule.get("link_field", "file"), rule.get("children_field", "children")
+    title_field, out = rule.get("title_field", ""), []
+
+    def consider(item):
+        link = _at(item, link_field) if link_field else None
+        if isinstance(link, str) and link.strip():
+            title = _at(item, title_field) if title_field else None
+            if isinstance(title, bool) or not isinstance(title, (str, int, float)):
+                title = "1" if title is True else ""
+            out.append((link.strip(), title if isinstance(title, str) else number_text(title)))
+
+    start = _at(root, rule["items_field"]) if rule.get("items_field") else root
+    todo = [(start, None, 0)]  # a list to walk, or an item to read and then its children
+    while todo:
+        node, item, depth = todo.pop()
+        if item is not None:
+            consider(item)
+            below = _at(item, children) if children else None
+            if isinstance(below, (dict, list)):
+                todo.append((below, None, depth + 1))
+            continue
+        if not isinstance(node, (dict, list)) or max_depth is not None and depth > max_depth:
+            continue
+        if isinstance(node, dict) and link_field in node:
+            consider(node)
+        inner = list(node.values() if isinstance(node, dict) else node)
+        todo += [(None, x, depth) for x in reversed(inner) if isinstance(x, (dict, list))]
+    return out
+
+
+def rule_files(df: DataFrame, key: str, text: str, endpoint: str, rule: dict, max_depth: int | None = None) -> DataFrame:
+    """(key, url, judul): documents that a rule finds in a JSON answer, one row per address and answer.
+
+    ``rule``: ``items_field``, ``children_field``, ``link_field``, ``title_field`` (dotted paths), ``base_url`` and
+    ``extensions``; without extensions every document address counts.  The first mention keeps its title.
+    """
+
+    @F.pandas_udf("array<struct<link:string,title:string>>")
+    def items(texts: pd.Series) -> pd.Series:
+        def one(t):
+            try:
+                return [{"link": a, "title": b} for a, b in _rule_items(json.loads(t), rule, max_depth)]
+            except (TypeError, ValueError):
+                return []
+
+        return texts.map(one)
+
+    d = df.select(key, col(endpoint).alias("__endpoint"), F.posexplode(items(col(text))).alias("i", "x"))
+    d = d.withColumn("url", file_url(F.col("x.link"), F.lit(rule.get("base_url", "")), "__endpoint")).filter("url <> ''")
+    wanted = [e.strip().lower() for e in rule.get("extensions", []) if e.strip()]
+    d = d.filter(U.extension("url").isin(wanted) if wanted else _is_document("url"))
+    return d.groupBy(key, "url").agg(F.min_by(one_line(F.col("x.title"), 240), "i").alias("judul"))
 
 
 def file_url(link, base, endpoint) -> Column:
@@ -154,10 +230,8 @@ def fill_endpoint(template, url, groups=None) -> Column:
     for k, v in values.items():
         out = F.replace(out, F.lit(k), v)
     if groups is not None:
-        for i in range(1, 10):
-            slot = F.lit("{%d}" % i)
-            g = U._rfc3986(F.try_element_at(col(groups), F.lit(i)))
-            out = F.replace(out, slot, F.coalesce(g, slot))
+        numbered = F.transform(col(groups), lambda g, i: F.struct(F.concat(F.lit("{"), (i + 1).cast("string"), F.lit("}")).alias("slot"), U._rfc3986(g).alias("g")))
+        out = F.aggregate(numbered, out, lambda acc, n: F.replace(acc, n["slot"], n["g"]))
     filled = let(out, lambda o: F.when(~o.rlike(r"(?i)\{[a-z0-9]+\}"), o).otherwise(F.lit("")))
     return F.when(t.rlike("(?i)^https?://"), filled).otherwise(F.lit(""))
 

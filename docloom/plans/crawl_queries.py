@@ -211,6 +211,80 @@ def json_walk_files(spark, sf):
     return J.json_files(_answers(spark, sf), "page_id", "badan")
 
 
+def _mixed_answers(spark, sf):
+    """JSON answers whose fields are not in name order: nested objects, lists, numbers, unnamed titles."""
+    i = F.col("page_id").cast("string")
+    inner = F.struct(
+        F.concat(F.lit("Zona "), i).alias("zeta"), F.concat(F.lit("Alfa "), i).alias("alpha"), F.concat(F.lit("/x/"), i, F.lit(".pdf")).alias("f"),
+        F.struct(F.array(F.concat(F.lit("/y/"), i, F.lit(".xlsx")), F.concat(F.lit("/x/"), i, F.lit(".pdf"))).alias("b")).alias("a"),
+    )
+    doc = F.struct(
+        F.struct(F.struct(F.array(inner).alias("isi")).alias("z")).alias("y"), F.lit(5.0).alias("n"), F.lit(1e20).alias("besar"),
+        F.struct(F.lit("url").alias("type"), F.concat(F.lit("Beta "), i).alias("ket"), F.concat(F.lit("https://x.example/x/"), i, F.lit(".pdf")).alias("link")).alias("b"),
+    )
+    return table(spark, sf, "pages").select("page_id", "url", F.to_json(doc).alias("badan"))
+
+
+@query(
+    "json_walk_order",
+    """SELECT page_id, '/x/' || page_id || '.pdf' AS url, 'Zona ' || page_id AS judul FROM pages
+    UNION ALL SELECT page_id, '/y/' || page_id || '.xlsx', '' FROM pages
+    UNION ALL SELECT page_id, 'https://x.example/x/' || page_id || '.pdf', 'Beta ' || page_id FROM pages""",
+)
+def json_walk_order(spark, sf):
+    """The title is the first readable field of the object, in document order, at any depth."""
+    return J.json_files(_mixed_answers(spark, sf), "page_id", "badan")
+
+
+@query(
+    "json_numbers",
+    """SELECT page_id, 'Zona ' || page_id || E'\\n\\nAlfa ' || page_id || E'\\n\\n/x/' || page_id || E'.pdf\\n\\n/y/' || page_id || E'.xlsx\\n\\n/x/' || page_id
+      || E'.pdf\\n\\n5\\n\\n1.0E+20\\n\\nurl\\n\\nBeta ' || page_id || E'\\n\\nhttps://x.example/x/' || page_id || '.pdf' AS teks FROM pages""",
+)
+def json_numbers(spark, sf):
+    return _mixed_answers(spark, sf).select("page_id", J.flatten_json("badan", max_depth=None).alias("teks"))
+
+
+@query(
+    "document_rules",
+    """SELECT page_id, 'https://dok.example/x/' || page_id || '.pdf' AS url, 'Zona ' || page_id AS judul FROM pages
+    UNION ALL SELECT page_id, 'https://x.example/b/' || page_id || '.docx', '' FROM pages
+    UNION ALL SELECT page_id, 'https://dok.example/c/' || page_id || '.pdf', '7' FROM pages""",
+)
+def document_rules(spark, sf):
+    """Items, children, links and titles by the dotted paths of a rule; other extensions stay out."""
+    i = F.col("page_id").cast("string")
+    leaf = F.struct(F.struct(F.concat(F.lit("c/"), i, F.lit(".pdf")).alias("file")).alias("attr"), F.lit(7.0).alias("name"))
+    second = F.struct(F.struct(F.concat(F.lit("https://x.example/b/"), i, F.lit(".docx")).alias("file")).alias("attr"), F.array(leaf).alias("kids"))
+    item = F.struct(F.concat(F.lit("Zona "), i).alias("name"), F.struct(F.concat(F.lit("/x/"), i, F.lit(".pdf")).alias("file")).alias("attr"), F.array(second).alias("kids"))
+    other = F.struct(F.struct(F.concat(F.lit("/x/"), i, F.lit(".zip")).alias("file")).alias("attr"))
+    again = F.struct(F.lit("Lain").alias("name"), F.struct(F.concat(F.lit("/x/"), i, F.lit(".pdf")).alias("file")).alias("attr"))
+    body = F.to_json(F.struct(F.struct(F.struct(item.alias("a"), other.alias("b"), again.alias("c")).alias("rows")).alias("data")))
+    rule = {
+        "items_field": "data.rows", "children_field": "kids", "link_field": "attr.file", "title_field": "name",
+        "base_url": "https://dok.example/", "extensions": ["pdf", "DOCX "],
+    }
+    p = table(spark, sf, "pages").select("page_id", "url", body.alias("badan"))
+    return J.rule_files(p, "page_id", "badan", "url", rule)
+
+
+@query(
+    "rule_groups_all",
+    r"""SELECT page_id, regexp_extract(url, '^(https?)://([^/]+)/([a-z]{2})/([0-9]+)', ['a', 'b', 'c', 'd']).b || '|' ||
+      regexp_extract(url, '^(https?)://([^/]+)/([a-z]{2})/([0-9]+)', ['a', 'b', 'c', 'd']).d AS grup,
+      CASE WHEN regexp_matches(url, '^(https?)://([^/]+)/([a-z]{2})/([0-9]+)') THEN 'https://api.example/' || regexp_extract(url, '^(https?)://([^/]+)/([a-z]{2})/([0-9]+)', 3) || '/'
+        || regexp_extract(url, '^(https?)://([^/]+)/([a-z]{2})/([0-9]+)', 4) ELSE '' END AS endpoint FROM pages""",
+)
+def rule_groups_all(spark, sf):
+    """A rule with four groups and a named one of Java's own syntax; the template uses the last two."""
+    patterns = [r"^(https?)://([^/(]+)/(?<bahasa>[a-z]{2})/([0-9]++)"]
+    g = RU.rule_groups("url", patterns)
+    return table(spark, sf, "pages").select(
+        "page_id", F.concat_ws("|", F.coalesce(F.get(g, F.lit(1)), F.lit("")), F.coalesce(F.get(g, F.lit(3)), F.lit(""))).alias("grup"),
+        J.fill_endpoint(F.lit("https://api.example/{3}/{4}"), "url", g).alias("endpoint"),
+    )
+
+
 @query(
     "json_flatten",
     """SELECT page_id, 'ok' || E'\\n\\nfile\\n\\nJudul ' || page_id || E'\\n\\n/files/' || page_id || E'.pdf\\n\\nAnak\\n\\nhttps://x.example/unduh?id='

@@ -21,26 +21,32 @@ def exact_dup_first(spark, sf):
 
 
 # first mention of every word keeps its place
-_TOKENS = rf"""
+def tokens_sql(limit):
+    return rf"""
 w AS (SELECT doc_id, unnest(l) AS x, generate_subscripts(l, 1) AS i FROM (SELECT doc_id, regexp_split_to_array(
   lower({S.rep('text', r'!?\[([^\]]*)\]\([^)]*\)', chr(92) + '1')}), '[^\p{{L}}\p{{N}}]+') AS l FROM documents)),
 u AS (SELECT doc_id, x, min(i) AS i FROM w WHERE length(x) >= 3 GROUP BY 1, 2),
 ranked AS MATERIALIZED (SELECT doc_id, x, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS rn FROM u),
-tok AS MATERIALIZED (SELECT d.doc_id, source, text, coalesce(list(x ORDER BY rn) FILTER (rn <= {K.FINGERPRINT_TOKENS}), []) AS t
+tok AS MATERIALIZED (SELECT d.doc_id, source, text, coalesce(list(x ORDER BY rn) FILTER (rn <= {limit}), []) AS t
   FROM documents d LEFT JOIN ranked r ON r.doc_id = d.doc_id GROUP BY 1, 2, 3)
 """
 
 
+_TOKENS = tokens_sql(K.FINGERPRINT_TOKENS)
+NO_LIMIT = 1_000_000_000  # in the SQL only: beyond any text and any table
+
+
 @query(
     "token_sets",
     f"WITH {_TOKENS} SELECT doc_id, len(t) AS jumlah, sha1(array_to_string(t, ' ')) AS sidik FROM tok",
 )
 def token_sets(spark, sf):
-    d = documents(spark, sf).select("doc_id", D.content_tokens("text").alias("t"))
+    d = documents(spark, sf).select("doc_id", D.content_tokens("text", K.FINGERPRINT_TOKENS).alias("t"))
     return d.select("doc_id", F.size("t").alias("jumlah"), F.sha1(F.array_join("t", " ")).alias("sidik"))
 
 
-GREEDY_SQL = f"""{_TOKENS},
+def greedy_sql(tokens, history):
+    return f"""{tokens_sql(tokens)},
     s AS MATERIALIZED (SELECT *, sha1(text) AS fp, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM tok),
     pair AS MATERIALIZED (SELECT a.source, a.i AS ai, b.i AS bi, len(list_intersect(a.t, b.t)) AS k, len(a.t) AS na, len(b.t) AS nb
       FROM s a JOIN s b ON a.source = b.source AND a.i < b.i
@@ -60,12 +66,15 @@ GREEDY_SQL = f"""{_TOKENS},
         SELECT f.source, c.i, f.acc, f.fps, f.fpi, c.doc_id, c.fp, len(c.t) AS nt,
           f.fpi[list_position(f.fps, c.fp)] AS same,
           list_reduce(list_filter(list_prepend((-1::BIGINT, 0::DOUBLE), c.c), lambda x: x[1] = -1 OR
-            list_contains(f.acc[greatest(len(f.acc) - {K.FINGERPRINT_HISTORY} + 1, 1):], x[1])),
+            list_contains(f.acc[greatest(len(f.acc) - {history} + 1, 1):], x[1])),
             lambda p, q: CASE WHEN q[2] > p[2] THEN q ELSE p END) AS best
         FROM f JOIN cand c ON c.source = f.source AND c.i = f.i + 1)))
 """
 
 
+GREEDY_SQL = greedy_sql(K.FINGERPRINT_TOKENS, K.FINGERPRINT_HISTORY)
+
+
 @query(
     "near_dup_greedy",
     f"""WITH RECURSIVE {GREEDY_SQL}
@@ -80,6 +89,30 @@ def near_dup_greedy(spark, sf):
     )
 
 
+@query(
+    "near_dup_greedy_unlimited",
+    f"""WITH RECURSIVE {greedy_sql(NO_LIMIT, NO_LIMIT)}
+    SELECT f.doc_id, f.accepted, f.jenis, p.doc_id AS pertama, f.skor FROM f LEFT JOIN s p ON p.source = f.source AND p.i = f.pertama
+    WHERE f.doc_id IS NOT NULL""",
+)
+def near_dup_greedy_unlimited(spark, sf):
+    """Whole texts against all earlier documents of the site."""
+    d = D.all_duplicates(documents(spark, sf), "source", "doc_id", "url", "text")
+    return d.select(
+        "doc_id", "accepted", "jenis",
+        F.regexp_extract("url_pertama", "([0-9]+)$", 1).try_cast("long").alias("pertama"), "skor",
+    )
+
+
+@query(
+    "token_sets_whole",
+    f"WITH {tokens_sql(NO_LIMIT)} SELECT doc_id, len(t) AS jumlah, sha1(array_to_string(t, ' ')) AS sidik FROM tok",
+)
+def token_sets_whole(spark, sf):
+    d = documents(spark, sf).select("doc_id", D.content_tokens("text").alias("t"))
+    return d.select("doc_id", F.size("t").alias("jumlah"), F.sha1(F.array_join("t", " ")).alias("sidik"))
+
+
 @query(
     "duplicate_counts",
     """SELECT source, count(*) AS dokumen, count(DISTINCT sha1(text)) AS unik, count(*) - count(DISTINCT sha1(text)) AS salinan

@@ -14,7 +14,7 @@ from docloom.functions.titles import with_title
 from docloom.functions.urls import hostname
 from docloom.operators.chunk import ChunkOptions, build_chunks
 from docloom.operators.clean import cleaned_or_fallback
-from docloom.operators.dedupe import greedy_duplicates
+from docloom.operators.dedupe import all_duplicates, greedy_duplicates
 from docloom.operators.htmlmd import html_to_markdown
 from docloom.sources.services import embed, hash_embedding
 from docloom.session import checkpoint, table
@@ -26,7 +26,7 @@ class IngestOptions:
     clean: bool = True
     drop_duplicates: bool = True
     similarity: float = K.DUPLICATE_SIMILARITY
-    history: int = K.FINGERPRINT_HISTORY
+    history: int | None = None  # documents remembered; None compares with all, over whole texts
     stamp: str = "1970-01-01T00:00:00.000Z"
 
 
@@ -45,9 +45,9 @@ def prepared_documents(pages: DataFrame, o: IngestOptions = IngestOptions()) ->
     d = checkpoint(d.select("page_id", "site", "url", "title", "markdown"))
     if not o.drop_duplicates:
         return d
-    kept = greedy_duplicates(
-        d, "site", "page_id", "url", "markdown", o.similarity, o.history
-    ).filter("accepted")
+    names = ("site", "page_id", "url", "markdown")
+    marks = all_duplicates(d, *names, o.similarity) if o.history is None else greedy_duplicates(d, *names, o.similarity, o.history)
+    kept = marks.filter("accepted")
     return d.join(kept.select("page_id"), "page_id", "left_semi")
 
 

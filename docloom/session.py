@@ -15,6 +15,8 @@ SETTINGS = {
     # text rows are small in bytes and heavy in work: keep partitions for all cores
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64kb",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoints of earlier rounds go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # do not record a Python stack for every column expression
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -36,22 +38,15 @@ def build_session(cpus: int = 8, **extra: str) -> SparkSession:
     return spark
 
 
-TEXT_TABLES = ("documents", "pages", "events", "conversations")
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of a scan that has fewer splits than there are cores.
-
-    Work on text is bound by the CPU, and one small file is one split.  A large input has far
-    more splits than cores and is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+#: Set to a number to deal the rows of every scanned table out to that many partitions.  For single
+#: files of one row group, which are one split whatever the settings; unset, no scan is shuffled.
+SCAN_PARTITIONS = "docloom.scan.partitions"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread(df) if name in TEXT_TABLES else df
+    wished = spark.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(wished)) if wished else df
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

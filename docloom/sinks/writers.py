@@ -114,7 +114,7 @@ def upload_points(
                         ok, error = True, None
                         break
                     except Exception as e:  # any failure of the remote side counts
-                        error = str(e)[:200]
+                        error = str(e)
                         if attempt < retries and delay_ms > 0:
                             time.sleep(delay_ms / 1000)
                 rows.append((batch, n, ok, error))
