@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from docloom import constants as K
 from docloom.functions import urls as U
+from docloom.functions.decisions import extension_allowed
 from docloom.functions.text import col, decode_entities, let, one_line, trim
 from docloom.operators.skew import top_per_key
 
@@ -199,8 +200,7 @@ def rule_files(df: DataFrame, key: str, text: str, endpoint: str, rule: dict, ma
 
     d = df.select(key, col(endpoint).alias("__endpoint"), F.posexplode(items(col(text))).alias("i", "x"))
     d = d.withColumn("url", file_url(F.col("x.link"), F.lit(rule.get("base_url", "")), "__endpoint")).filter("url <> ''")
-    wanted = [e.strip().lower() for e in rule.get("extensions", []) if e.strip()]
-    d = d.filter(U.extension("url").isin(wanted) if wanted else _is_document("url"))
+    d = d.filter(extension_allowed("url", rule.get("extensions", [])))
     return d.groupBy(key, "url").agg(F.min_by(one_line(F.col("x.title"), 240), "i").alias("judul"))
 
 

@@ -227,3 +227,42 @@ def file_inventory(files: DataFrame) -> DataFrame:
     return g.withColumn("basi", stale).withColumn(
         "perlu_ekspor", F.col("__j").isNotNull() & ~fresh
     ).drop("__j", "__e")
+
+
+#: Counters of a run, per site, with the label of the summary row that totals them.
+COUNTERS = {
+    "url_diproses": "URL masuk antrean", "url_dilewati": "URL dilewati", "gagal_unduh": "URL gagal unduh", "parse_service": "Parse via /parse",
+    "parse_fallback": "Parse fallback lokal", "parse_gagal": "Parse gagal", "konten_api": "Konten via API situs", "render_js": "Halaman dirender (JS)",
+    "render_gagal": "Render gagal", "dokumen_auto_gagal": "Penemuan dokumen gagal", "konten_duplikat": "Konten duplikat dilewati",
+    "dokumen": "Dokumen tersimpan", "chunk": "Chunk dibentuk", "vektor": "Vektor berhasil", "vektor_gagal": "Vektor gagal", "byte": "Total byte HTML",
+    "durasi": "Durasi",
+}
+
+
+def run_counters(events: DataFrame, site: str, kind: str, amount: str) -> DataFrame:
+    """One row per site with all counters, from counted events (site, kind, amount).
+
+    Sums are combined before the shuffle, so a hot site sends a row for each task.
+    """
+    sums = [F.coalesce(F.sum(F.when(F.col(kind) == c, F.col(amount))), F.lit(0)) for c in COUNTERS]
+    cast = [F.round(s, 2).cast("double") if c == "durasi" else s.cast("long") for s, c in zip(sums, COUNTERS)]
+    return events.groupBy(site).agg(*[s.alias(c) for s, c in zip(cast, COUNTERS)])
+
+
+def summary_of(counters: DataFrame) -> DataFrame:
+    """(baris, nilai): the number of sites, then the total of each counter."""
+    total = counters.agg(F.count("*").cast("double").alias("Site diproses"), *[F.coalesce(F.sum(c), F.lit(0)).cast("double").alias(label) for c, label in COUNTERS.items()])
+    return total.unpivot([], total.columns, "baris", "nilai")
+
+
+def discovery_log(found: DataFrame, domain: str, candidates: DataFrame, stamp: str) -> DataFrame:
+    """One log row per searched domain: sites found, hosts tried, and the sites as JSON.
+
+    ``found`` has the domain and any details; a domain without a site has an empty list.
+    """
+    details = [c for c in found.columns if c != domain]
+    sites = found.groupBy(domain).agg(F.sort_array(F.collect_list(F.struct(*details))).alias("situs"))
+    tried = candidates.groupBy(domain).agg(F.count("*").alias("jumlah_kandidat"))
+    d = tried.join(sites, domain, "left").withColumn("situs", F.coalesce("situs", F.array().cast(sites.schema["situs"].dataType)))
+    log = F.to_json(F.struct(F.col(domain).alias("domain"), "situs"))
+    return d.select(domain, F.size("situs").alias("jumlah_ditemukan"), "jumlah_kandidat", log.alias("log"), F.lit(stamp).alias("created_at"))
