@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docloom import constants as K
+from docloom.functions.arrays import starts_of
 from docloom.functions.text import col, collapse, let, rtrim, trim
 
 # fixed values: patterns of the cleaning rules (Java syntax, Unicode classes on)
@@ -228,26 +229,19 @@ def headings(markdown) -> Column:
     md = col(markdown)
     between = F.split(md, HEADING, -1)
     lines = F.regexp_extract_all(md, F.lit(HEADING), F.lit(0))
-    empty = F.array().cast("array<struct<offset:int,text:string>>")
-    start = F.struct(F.lit(0).alias("pos"), empty.alias("found"))
-
-    def step(acc, pair):
-        offset = acc["pos"] + F.length(pair["gap"])
-        entry = F.struct(
-            offset.cast("int").alias("offset"),
-            F.regexp_replace(pair["line"], r"^[ \t]{0,3}#{1,6}[ \t]+", "").alias("text"),
-        )
-        return F.struct(
-            (offset + F.length(pair["line"])).cast("int").alias("pos"),
-            F.concat(acc["found"], F.array(entry)).alias("found"),
-        )
-
     pairs = F.filter(
-        F.zip_with(between, lines, lambda g, x: F.struct(g.alias("gap"), x.alias("line"))),
+        F.zip_with(between, lines, lambda g, x: F.struct(F.length(g).alias("gap"), x.alias("line"))),
         lambda p: p["line"].isNotNull(),
     )
-    found = F.aggregate(pairs, start, step, lambda acc: acc["found"])
-    return found
+    starts = starts_of(F.transform(pairs, lambda p: p["gap"] + F.length(p["line"])))
+    return F.zip_with(
+        starts,
+        pairs,
+        lambda s, p: F.struct(
+            (s + p["gap"]).cast("int").alias("offset"),
+            F.regexp_replace(p["line"], r"^[ \t]{0,3}#{1,6}[ \t]+", "").alias("text"),
+        ),
+    )
 
 
 def heading_texts(found) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docloom import constants as K
 from docloom.functions import markdown as M
+from docloom.functions.arrays import first_places
 from docloom.functions.text import let, normalize_whitespace, rtrim, trim
 
 COUNTERS = [
@@ -41,53 +42,29 @@ def drop_navigation_runs(blocks: Column) -> Column:
             (F.regexp_count(b, F.lit("\n")) + 1).alias("n"),
         ),
     )
-    none = F.array().cast("array<string>")
-    start = F.struct(
-        none.alias("kept"), none.alias("run"), F.lit(0).alias("weight"), F.lit(0).alias("dropped")
-    )
+    def weighed(rs):
+        def stays(x, i):
+            # lines of the run around a block; every block has one at least, so few neighbours decide
+            weight = x["n"]
+            for side in (-1, 1):
+                joined = F.lit(True)
+                for k in range(1, K.NAV_RUN_MIN):
+                    near = F.get(rs, i + side * k)
+                    joined = joined & F.coalesce(near["k"] == "navigasi", F.lit(False))
+                    weight = weight + F.when(joined, near["n"]).otherwise(0)
+            return (x["k"] != "label") & ((x["k"] != "navigasi") | (weight < K.NAV_RUN_MIN))
 
-    def closed(acc):
-        long = acc["weight"] >= K.NAV_RUN_MIN
-        kept = F.when(long, acc["kept"]).otherwise(F.concat(acc["kept"], acc["run"]))
-        return kept, acc["dropped"] + F.when(long, F.size(acc["run"])).otherwise(0)
-
-    def step(acc, x):
-        kept, dropped = closed(acc)
-        label = x["k"] == "label"
-        in_run = F.struct(
-            acc["kept"].alias("kept"),
-            F.concat(acc["run"], F.array(x["b"])).alias("run"),
-            (acc["weight"] + x["n"]).alias("weight"),
-            acc["dropped"].alias("dropped"),
-        )
-        outside = F.struct(
-            F.when(label, kept).otherwise(F.concat(kept, F.array(x["b"]))).alias("kept"),
-            none.alias("run"),
-            F.lit(0).alias("weight"),
-            (dropped + label.cast("int")).alias("dropped"),
-        )
-        return F.when(x["k"] == "navigasi", in_run).otherwise(outside)
-
-    def finish(acc):
-        kept, dropped = closed(acc)
-        return F.struct(kept.alias("kept"), dropped.alias("dropped"))
-
-    return F.aggregate(rated, start, step, finish)
+        kept = F.transform(F.filter(rs, stays), lambda x: x["b"])
+        return let(kept, lambda ks: F.struct(ks.alias("kept"), (F.size(rs) - F.size(ks)).alias("dropped")))
+
+    return let(rated, weighed)
 
 
 def first_of_each(blocks: Column) -> Column:
     """Blocks whose text (case and spacing ignored) was not seen before in the document."""
-    keyed = F.transform(
-        blocks,
-        lambda b: F.struct(b.alias("b"), F.lower(F.regexp_replace(b, r"(?U)\s+", " ")).alias("k")),
-    )
-    return let(
-        keyed,
-        lambda ks: F.transform(
-            F.filter(ks, lambda x, i: F.array_position(ks["k"], x["k"]) == i + 1),
-            lambda x: x["b"],
-        ),
-    )
+    keys = F.transform(blocks, lambda b: F.lower(F.regexp_replace(b, r"(?U)\s+", " ")))
+    both = F.struct(blocks.alias("b"), keys.alias("k"))
+    return let(both, lambda x: F.transform(first_places(x["k"]), lambda i: F.get(x["b"], i)))
 
 
 def drop_empty_headings(blocks: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docloom import constants as K
 from docloom.functions import ids
+from docloom.functions.arrays import packed
 from docloom.functions.text import col
 from docloom.operators.skew import running_row_number
 
@@ -15,26 +16,9 @@ def pack_batches(lengths, max_items: int = K.EMBED_MAX_CHUNKS, max_chars: int =
     """array<int> of batch numbers for one document's chunk lengths, greedily packed.
 
     A new batch starts when the current one is full or would pass ``max_chars``; an oversized
-    chunk travels alone.  Batches never cross documents, so the fold stays in the row.
+    chunk travels alone.  Batches never cross documents, so the work stays in the row.
     """
-    start = F.struct(
-        F.array().cast("array<int>").alias("out"),
-        F.lit(0).alias("no"), F.lit(0).alias("n"), F.lit(0).alias("chars"),
-    )
-
-    def step(acc, size):
-        full = (acc["n"] > 0) & (acc["n"] >= max_items)
-        if max_chars > 0:
-            full = full | ((acc["n"] > 0) & (acc["chars"] + size > max_chars))
-        no = acc["no"] + full.cast("int")
-        return F.struct(
-            F.concat(acc["out"], F.array(no)).alias("out"),
-            no.alias("no"),
-            (F.when(full, 0).otherwise(acc["n"]) + 1).alias("n"),
-            (F.when(full, 0).otherwise(acc["chars"]) + size).alias("chars"),
-        )
-
-    return F.aggregate(col(lengths), start, step, lambda a: a["out"])
+    return packed(lengths, max_items, max_chars)
 
 
 def zip_embeddings(chunks, embeddings) -> Column:
