@@ -96,14 +96,18 @@ def test_suffix_tree_base(spark, sf, docs):
     assert np.mean(better) > 0.05  # held-out texts are likelier than by single words
 
 
+def blocks_of(spark, texts):
+    d = spark.createDataFrame([(i, t, False) for i, t in enumerate(texts)], "doc_id long, text string, held_out boolean").repartition(3)
+    return d.mapInArrow(suffix_tree._block_rows(suffix_tree.TreeOptions(block_bytes=2000)), suffix_tree.BLOCK_SCHEMA)
+
+
 def test_suffix_tree_sums_to_one(spark):
     rng = random.Random(2)
     texts = [" ".join(["to be or not to be"] * 3 + [rng.choice(["that", "this", "x"])] + [rng.choice("abcde") for _ in range(5)]) for _ in range(60)]
-    d = spark.createDataFrame([(t,) for t in texts], "text string")
     counts = Counter(w for t in texts for w in [*suffix_tree.split_words(t), b""])
     vocab = spark.createDataFrame([(w.decode(), c) for w, c in counts.items()], "word string, c long")
     n, v = sum(counts.values()), len(counts)
-    tree = suffix_tree.grow(d, vocab, n, v, suffix_tree.TreeOptions(p_min=1e-3, divergence=1.0))
+    tree = suffix_tree.grow(blocks_of(spark, texts), vocab, n, v, suffix_tree.TreeOptions(p_min=1e-3, divergence=1.0))
     assert sum(k.sum() for k in tree.kept) > 3
 
     def log_prob(context, word):
@@ -122,7 +126,7 @@ def test_suffix_tree_counts_are_exact(spark):
     texts = [" ".join(rng.choice("aabbbc") for _ in range(40)) for _ in range(20)]
     counts = Counter(w for t in texts for w in [*suffix_tree.split_words(t), b""])
     vocab = spark.createDataFrame([(w.decode(), c) for w, c in counts.items()], "word string, c long")
-    tree = suffix_tree.grow(spark.createDataFrame([(t,) for t in texts], "text string"), vocab, sum(counts.values()), len(counts), suffix_tree.TreeOptions(p_min=1e-9))
+    tree = suffix_tree.grow(blocks_of(spark, texts), vocab, sum(counts.values()), len(counts), suffix_tree.TreeOptions(p_min=1e-9))
     grams = [Counter() for _ in range(4)]
     for t in texts:
         ws = [*suffix_tree.split_words(t), b""]
