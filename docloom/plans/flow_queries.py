@@ -45,9 +45,14 @@ def ingest_documents(spark, sf):
     )
 
 
-@query("vector_records")
+@query(
+    "vector_records",
+    f"""WITH RECURSIVE src AS MATERIALIZED (SELECT doc_id, {S.norm_ws('text')} AS md FROM documents), {windows_sql('src', SIZE, OVERLAP)}, {_CLEAN}
+    SELECT {S.uuid5(S.DOC_URL)} AS document_id, row_number() OVER (PARTITION BY doc_id ORDER BY start) - 1 AS chunk_no, sha256(c) AS checksum, 64 AS dimensi
+    FROM chunks JOIN documents USING (doc_id) WHERE alasan IS NULL""",
+)
 def vector_records(spark, sf):
-    """Embedded chunks of all documents; the vectors come from a digest, not from SQL."""
+    """Chunks of all documents with their vectors; the vectors come from a digest, SQL knows their length."""
     d = documents(spark, sf).withColumn("title", F.col("url"))
     c = C.build_chunks(d, "1970-01-01T00:00:00.000Z", C.ChunkOptions(SIZE, OVERLAP), markdown="text")
     e = embed(c, "content")
