@@ -16,11 +16,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docloom.llm.common import crc_mod, read
 from docloom.llm.registry import query
+from docloom.operators.skew import top_per_key
 
 NO_LETTERS = re.compile(r"[\W\d_]+")
 UNKNOWN = "und"
@@ -137,9 +137,10 @@ def fit(labelled: DataFrame, options: LanguageOptions = LanguageOptions()) -> Mo
     priors = d.groupBy("lang").count().limit(o.languages + 1).collect()
     if len(priors) > o.languages:
         raise ValueError(f"more than {o.languages} languages")
-    first = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = d.select("doc_id", "lang").withColumn("r", F.row_number().over(first)).filter(F.col("r") <= o.per_language).select("doc_id", "lang").distinct()
-    rows = d.join(chosen.select(F.col("doc_id").alias("c_id"), F.col("lang").alias("c_lang")), F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("lang") == F.col("c_lang")), "left_semi")
+    # two rounds, so that no language is ranked in one task; the chosen are at most per_language * languages rows
+    chosen = top_per_key(d.select("doc_id", "lang").distinct(), ["lang"], [F.xxhash64("doc_id"), F.col("doc_id")], o.per_language)
+    chosen = F.broadcast(chosen.select(F.col("doc_id").alias("c_id"), F.col("lang").alias("c_lang")))
+    rows = d.join(chosen, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("lang") == F.col("c_lang")), "left_semi")
     part = rows.select("lang", "text").mapInArrow(_counts(o), "lang string, slot int, n long")
     table = part.groupBy("lang", "slot").agg(F.sum("n").alias("n")).toPandas()  # slots by languages at most
     languages = sorted(r["lang"] for r in priors)
