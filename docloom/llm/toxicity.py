@@ -287,12 +287,10 @@ def logistic(x: np.ndarray, y: np.ndarray, steps: int = 30, ridge: float = 1.0)
     return w
 
 
-def learn(labelled: DataFrame, options: ToxicityOptions = ToxicityOptions()) -> Grammar:
-    """Fit a grammar to ``labelled(doc_id, text, toxic)``; no or one-sided labels give the prior weights."""
-    o, spark = options, labelled.sparkSession
-    chosen = labelled.filter("toxic is not null").select("doc_id", "toxic").orderBy(F.xxhash64(F.col("doc_id")), "doc_id").limit(o.sample)
-    rows = labelled.join(chosen.select("doc_id").distinct(), "doc_id", "left_semi").filter("toxic is not null")
-    rows = rows.select("text", F.col("toxic").cast("int")).mapInArrow(_marks, "text string, toxic int, mark long")
+def learn(sample: DataFrame, options: ToxicityOptions = ToxicityOptions()) -> Grammar:
+    """Fit a grammar to ``sample(text, toxic)``; no or one-sided labels give the prior weights."""
+    o, spark = options, sample.sparkSession
+    rows = sample.select("text", F.col("toxic").cast("int")).mapInArrow(_marks, "text string, toxic int, mark long")
     rows = stored(rows.dropDuplicates(["mark", "toxic"]).select("text", "toxic"), "toxic-sample")
     sizes = dict(rows.groupBy("toxic").count().collect())
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
@@ -337,9 +335,12 @@ def _drop(shared, at: int):
 
 def fit(docs: DataFrame, labels: DataFrame, options: ToxicityOptions = ToxicityOptions()) -> Grammar:
     """Learn from the labels of ``docs`` outside the held-out fold (crc32(doc_id) mod 5 is 0)."""
+    o = options
     known = labels.filter("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
     d = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter(crc_mod(F.col("doc_id"), 5) != 0)
-    return learn(d.join(known, "doc_id"), options)
+    # the sample is chosen from ids alone; at most o.sample of them are broadcast to the texts
+    chosen = known.join(d.select("doc_id"), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(o.sample)
+    return learn(d.join(F.broadcast(chosen), "doc_id"), o)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, options: ToxicityOptions = ToxicityOptions()) -> DataFrame:
