@@ -258,13 +258,15 @@ def certificate_hosts(df: DataFrame, key: str, text: str, domain: str) -> DataFr
 
 
 def candidate_hosts(domains: DataFrame, domain: str, cert: DataFrame | None = None, limit: int = 80) -> DataFrame:
-    """(domain, host): heuristic prefixes first, then certificate hosts, at most ``limit`` each."""
+    """(domain, host): heuristic prefixes first, then certificate hosts, at most ``limit`` each; 0 for all."""
     prefixes = ["", *K.DISCOVERY_PREFIXES]
     d = domains.select(domain, F.posexplode(F.lit(prefixes)).alias("ord", "p")).filter(F.col("p") != "")
     d = d.select(domain, "ord", F.concat("p", F.lit("."), F.col(domain)).alias("host"))
     if cert is not None:
         d = d.unionByName(cert.select(domain, F.lit(len(prefixes)).alias("ord"), "host"))
     d = d.groupBy(domain, "host").agg(F.min("ord").alias("ord"))
+    if limit <= 0:
+        return d.select(domain, "host")
     return top_per_key(d, [domain], [F.col("ord"), F.col("host")], limit).select(domain, "host")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from docloom.operators.skew import running_row_number
 from docloom import constants as K
 from docloom.functions import logs as L
 from docloom.functions.urls import host
@@ -49,6 +50,15 @@ def run_details(runs: DataFrame) -> DataFrame:
     return runs.groupBy("tanggal", "site_id").agg(F.sort_array(F.collect_list(entry)).alias("detail"))
 
 
+def run_detail_rows(runs: DataFrame) -> DataFrame:
+    """The same detail as rows, (tanggal, site_id, urutan, run): numbered without collecting a group.
+
+    Row numbers run in two levels over range slices, so a site with very many runs is no single task.
+    """
+    order = [F.col(c) for c in ("run_id", "dokumen", "chunk", "vektor", "push_terkirim", "push_gagal")]
+    return running_row_number(runs, ["tanggal", "site_id"], order, "urutan")
+
+
 def grand_total(daily: DataFrame) -> DataFrame:
     """One row of sums; failed pushes are not part of the total."""
     return daily.agg(

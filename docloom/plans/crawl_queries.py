@@ -378,6 +378,23 @@ def candidate_hosts(spark, sf):
     return J.candidate_hosts(d, "domain", None, 20)
 
 
+@query(
+    "candidate_hosts_cert",
+    f"""WITH p AS (SELECT unnest({K.DISCOVERY_PREFIXES}) AS p),
+    d AS (SELECT n_nationkey, lower(replace(n_name, ' ', '')) || '.test' AS domain FROM nation)
+    SELECT domain, p || '.' || domain AS host FROM d, p UNION SELECT domain, 'h' || (c_custkey % 50) || '.' || domain FROM d JOIN customer ON c_nationkey = n_nationkey
+    UNION SELECT domain, '{K.DISCOVERY_PREFIXES[0]}.' || domain FROM d""",
+)
+def candidate_hosts_cert(spark, sf):
+    """Heuristic and certificate hosts together, each once, without a limit."""
+    domain = F.concat(F.lower(F.replace("n_name", F.lit(" "), F.lit(""))), F.lit(".test"))
+    d = table(spark, sf, "nation").select(F.col("n_nationkey").alias("k"), domain.alias("domain"))
+    c = table(spark, sf, "customer").select(F.col("c_nationkey").alias("k"), F.concat(F.lit("h"), (F.col("c_custkey") % 50).cast("string"), F.lit(".")).alias("h"))
+    cert = d.join(c, "k").select("domain", F.concat("h", "domain").alias("host"))
+    cert = cert.unionByName(d.select("domain", F.concat(F.lit(K.DISCOVERY_PREFIXES[0] + "."), "domain").alias("host")))
+    return J.candidate_hosts(d.select("domain").distinct(), "domain", cert, 0)
+
+
 @query(
     "folder_listing",
     """WITH f AS (SELECT page_id, md5(url) AS a, md5(url || 'x') AS b FROM pages)

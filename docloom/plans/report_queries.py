@@ -247,6 +247,37 @@ def manifest_fallback(spark, sf):
     return u.select("site_id", "run_id", "tanggal", "site_name", "dokumen", "chunk", "vektor")
 
 
+@query(
+    "manifest_union",
+    f"""WITH {D.MANIFEST_SQL}, x AS (SELECT site_id, run_id, tanggal, site_name, dokumen, chunk, vektor FROM manifests WHERE site_id IN ('situs-1', 'situs-2', 'situs-3')),
+    f AS (SELECT site_id, run_id, tanggal, dokumen, chunk, vektor FROM x WHERE dokumen % 2 = 0 UNION ALL SELECT 'situs-' || n_nationkey, 'RUN-baru', '2030-01-01', 1, 2, 3 FROM nation)
+    SELECT * FROM x UNION ALL SELECT f.site_id, f.run_id, f.tanggal, CASE WHEN n_nationkey % 2 = 0 THEN n_name WHEN n_nationkey % 3 = 0 THEN 'host-' || n_nationkey ELSE f.site_id END,
+      f.dokumen, f.chunk, f.vektor FROM f JOIN nation ON 'situs-' || n_nationkey = f.site_id
+      WHERE NOT EXISTS (SELECT 1 FROM x WHERE x.site_id = f.site_id AND x.run_id = f.run_id)
+        AND NOT EXISTS (SELECT 1 FROM x WHERE x.site_id = f.site_id AND x.run_id = '' AND x.tanggal = f.tanggal)""",
+)
+def manifest_union(spark, sf):
+    """Both sides of the union: manifest rows as they are, log rows only where no manifest covers them."""
+    cols = ["site_id", "run_id", "tanggal", "dokumen", "chunk", "vektor"]
+    x = D.manifests(spark, sf).filter(F.col("site_id").isin("situs-1", "situs-2", "situs-3")).select(*cols, "site_name", "push_terkirim", "push_gagal")
+    n = table(spark, sf, "nation").select((F.col("n_nationkey")).alias("k"), "n_name")
+    site = F.concat(F.lit("situs-"), F.col("k").cast("string"))
+    new = n.select(site.alias("site_id"), F.lit("RUN-baru").alias("run_id"), F.lit("2030-01-01").alias("tanggal"), *[F.lit(i).cast("long").alias(c) for i, c in ((1, "dokumen"), (2, "chunk"), (3, "vektor"))])
+    host = F.regexp_extract("site_id", "([0-9]+)$", 1)
+    log = x.filter("dokumen % 2 = 0").select(*cols).unionByName(new).withColumn("host", F.when(host.cast("int") % 3 == 0, F.concat(F.lit("host-"), host)).otherwise(F.lit("")))
+    names = n.select(site.alias("site_id"), F.when(F.col("k") % 2 == 0, F.col("n_name")).otherwise(F.lit("")).alias("nama"))
+    return R.combined_runs(x, log, names).select("site_id", "run_id", "tanggal", "site_name", "dokumen", "chunk", "vektor")
+
+
+@query(
+    "run_detail_rows",
+    f"""WITH {D.MANIFEST_SQL} SELECT tanggal, site_id, run_id, dokumen, row_number() OVER (PARTITION BY tanggal, site_id
+      ORDER BY run_id, dokumen, chunk, vektor, push_terkirim, push_gagal) AS urutan FROM manifests""",
+)
+def run_detail_rows(spark, sf):
+    return R.run_detail_rows(D.manifests(spark, sf)).select("tanggal", "site_id", "run_id", "dokumen", "urutan")
+
+
 @query(
     "run_ids_union",
     f"""WITH {D.LOG_SQL}, n AS (SELECT run_id || '.txt' AS f FROM log UNION ALL SELECT run_id || '.jsonl' FROM log WHERE stage = 'DOC_AFTER'
@@ -459,6 +490,18 @@ def calibration_fallback(spark, sf):
     return E.with_daily_fallback(own, daily, 1000000).select("run_id", "site")
 
 
+@query(
+    "calibration_enough",
+    f"""WITH {_FOLD} SELECT run_id, site FROM fold WHERE run_id < 'RUN-20240103-000000' AND (SELECT count(*) FROM fold WHERE run_id < 'RUN-20240103-000000') >= 3
+    UNION ALL SELECT run_id, site FROM fold WHERE (SELECT count(*) FROM fold WHERE run_id < 'RUN-20240103-000000') < 3""",
+)
+def calibration_enough(spark, sf):
+    """The other side of the fallback: enough runs of their own, so the daily logs are not read."""
+    daily = E.run_fold(D.log_lines(spark, sf), "pos")
+    own = daily.filter(F.col("run_id") < "RUN-20240103-000000")
+    return E.with_daily_fallback(own, daily, 3).select("run_id", "site")
+
+
 @query(
     "default_limit",
     """SELECT c_nationkey, CASE WHEN count(*) FILTER (c_acctbal < -900) > 0 THEN 100 ELSE max(floor(c_acctbal))::BIGINT END AS batas FROM customer GROUP BY 1""",
