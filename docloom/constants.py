@@ -153,8 +153,8 @@ CHUNK_SIZE = 12000
 CHUNK_OVERLAP = 1200
 MIN_CHUNK_LENGTH = 50
 MAX_LINK_RATIO = 0.6
-EMBED_MAX_CHUNKS = 8
-EMBED_MAX_CHARS = 40000
+BATCH_MAX_CHUNKS = 8
+BATCH_MAX_CHARS = 40000
 UPSERT_BATCH = 64
 EXPORT_MAX_POINTS = 10000
 FINGERPRINT_TOKENS = 600
@@ -164,7 +164,7 @@ RUN_ACTIVE_SECONDS = 180
 ESTIMATE_DEFAULTS = {
     "detik_unduh": 2.5,
     "detik_parse": 12.0,
-    "detik_embed": 1.2,
+    "detik_vektor": 1.2,
     "detik_render": 6.0,
     "vektor_per_url": 6.0,
     "dokumen_per_url": 0.3,

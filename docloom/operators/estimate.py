@@ -82,10 +82,10 @@ def run_fold(lines: DataFrame, pos: str) -> DataFrame:
         F.coalesce(F.sum(F.when(stage("EMBED_BATCH"), F.col("vektor"))), F.lit(0)).alias("vektor"),
         seconds("PARSE_AFTER").alias("parse"),
         F.count_if(stage("PARSE_AFTER") & timed).alias("parse_n"),
-        seconds("EMBED_BATCH").alias("embed"),
+        seconds("EMBED_BATCH").alias("vector_s"),
         F.coalesce(
             F.sum(F.when(stage("EMBED_BATCH") & timed, F.coalesce("vektor", F.lit(0)))), F.lit(0)
-        ).alias("embed_n"),
+        ).alias("vector_n"),
         seconds("RENDER_AFTER").alias("render"),
         F.count_if(stage("RENDER_AFTER") & timed).alias("render_n"),
     )
@@ -102,14 +102,14 @@ def per_unit(g: DataFrame) -> DataFrame:
         return F.when(F.col(n) > 0, F.col(total) / F.col(n)).otherwise(0.0)
 
     rest = F.greatest(
-        F.col("durasi") - F.col("parse") - F.col("embed") - F.col("render"), F.lit(0.0)
+        F.col("durasi") - F.col("parse") - F.col("vector_s") - F.col("render"), F.lit(0.0)
     )
     return g.select(
         "run_id",
         "site",
         (rest / pages).alias("detik_unduh"),
         ratio("parse", "parse_n").alias("detik_parse"),
-        ratio("embed", "embed_n").alias("detik_embed"),
+        ratio("vector_s", "vector_n").alias("detik_vektor"),
         ratio("render", "render_n").alias("detik_render"),
         (F.col("vektor") / pages).alias("vektor_per_url"),
         (F.col("dokumen") / pages).alias("dokumen_per_url"),
@@ -181,12 +181,12 @@ def estimate(
         (F.col("halaman") * F.col("__detik_unduh")).alias("detik_unduh"),
         (F.col("halaman") * F.col("__detik_parse")).alias("detik_parse"),
         (F.col("halaman") * share * F.col("__detik_render")).alias("detik_render"),
-        F.col("__detik_embed"),
+        F.col("__detik_vektor"),
         F.coalesce("sampel", F.lit(0)).alias("sampel"),
         F.when(F.col("own").isNotNull(), F.lit("riwayat site")).otherwise(F.lit("riwayat global")).alias("sumber"),
     )
-    d = d.withColumn("detik_embed", F.col("vektor") * F.col("__detik_embed")).drop("__detik_embed")
+    d = d.withColumn("detik_vektor", F.col("vektor") * F.col("__detik_vektor")).drop("__detik_vektor")
     work = F.col("detik_unduh") + F.col("detik_parse") + F.col("detik_render")
-    return d.withColumn("detik_total", work + F.col("detik_embed")).withColumn(
+    return d.withColumn("detik_total", work + F.col("detik_vektor")).withColumn(
         "detik_per_url", F.when(F.col("halaman") > 0, work / F.col("halaman")).otherwise(0.0)
     )

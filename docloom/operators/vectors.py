@@ -12,7 +12,7 @@ from docloom.functions.text import col
 from docloom.operators.skew import running_row_number
 
 
-def pack_batches(lengths, max_items: int = K.EMBED_MAX_CHUNKS, max_chars: int = K.EMBED_MAX_CHARS) -> Column:
+def pack_batches(lengths, max_items: int = K.BATCH_MAX_CHUNKS, max_chars: int = K.BATCH_MAX_CHARS) -> Column:
     """array<int> of batch numbers for one document's chunk lengths, greedily packed.
 
     A new batch starts when the current one is full or would pass ``max_chars``; an oversized

@@ -190,7 +190,7 @@ def heading_offsets(spark, sf):
 
 
 @query(
-    "embed_batches",
+    "vector_batches",
     f"""WITH RECURSIVE {_RAW}, {windows_sql('src')},
     r AS MATERIALIZED (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY start) AS i, length(p) AS s FROM piece),
     f AS (SELECT doc_id, i, s, 0 AS no, 1 AS n, s AS chars FROM r WHERE i = 1
@@ -201,7 +201,7 @@ def heading_offsets(spark, sf):
       FROM f JOIN r ON r.doc_id = f.doc_id AND r.i = f.i + 1)
     SELECT doc_id, no, count(*) AS jumlah, sum(s)::BIGINT AS karakter FROM f GROUP BY 1, 2""",
 )
-def embed_batches(spark, sf):
+def vector_batches(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", C.windows("text", SIZE, OVERLAP).alias("w"))
     d = d.withColumn("s", F.transform("w", lambda x: F.length(x["text"])))
     d = d.select("doc_id", F.explode(F.arrays_zip("s", V.pack_batches("s", 8, 4000).alias("b"))).alias("z"))

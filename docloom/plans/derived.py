@@ -1,4 +1,4 @@
-"""Inputs of the reference's kinds, derived by Spark from the given tables.
+"""Inputs of kinds, derived by Spark from the given tables.
 
 The tables have no crawl logs, manifests or status rows, so these are projections of whole
 tables into those shapes; every query over them grows with the tables.
@@ -71,7 +71,7 @@ def log_lines(spark: SparkSession, sf: str, events: DataFrame | None = None) ->
         F.concat(F.lit("situs-"), user),
         stage,
         status,
-        F.concat(F.lit("https://situs-"), user, F.lit(".go.id/hal/"), event),
+        F.concat(F.lit("https://situs-"), user, F.lit(".example.com/hal/"), event),
         {
             "document_id": F.concat(F.lit("d-"), event),
             "judul": F.concat(F.lit("Judul "), event),
@@ -94,7 +94,7 @@ log AS (
          WHEN event_type = 'purchase' THEN 'EMBED_BATCH' WHEN event_type = 'signup' THEN 'DOC_AFTER'
          WHEN value < 10 THEN 'RENDER_AFTER' ELSE 'RUN_END' END AS stage,
     CASE WHEN event_id % 7 = 0 THEN 'GAGAL' ELSE 'SUKSES' END AS status,
-    'https://situs-' || user_id || '.go.id/hal/' || event_id AS url,
+    'https://situs-' || user_id || '.example.com/hal/' || event_id AS url,
     CAST(json_extract(props, '$.k') AS BIGINT) AS chunk, CAST(floor(value) AS BIGINT) AS vektor,
     CAST(value AS DECIMAL(18,2)) AS durasi
   FROM events)
@@ -168,7 +168,7 @@ def status_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
     c = table(spark, sf, "customer")
     return c.select(
-        F.concat(F.lit("https://"), F.lower("c_name"), F.lit(".go.id/")).alias("url"),
+        F.concat(F.lit("https://"), F.lower("c_name"), F.lit(".example.com/")).alias("url"),
         F.col("c_custkey").alias("id"),
         F.col("c_mktsegment").alias("document_type"),
         status.alias("status"),
@@ -180,7 +180,7 @@ def status_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 STATUS_SQL = """
 existing AS (
-  SELECT 'https://' || lower(c_name) || '.go.id/' AS url, c_custkey AS id,
+  SELECT 'https://' || lower(c_name) || '.example.com/' AS url, c_custkey AS id,
     c_mktsegment AS document_type,
     CASE WHEN c_acctbal < 0 THEN 'failed_akses' WHEN c_mktsegment = 'BUILDING' THEN 'discovered'
       ELSE 'success' END AS status,
@@ -195,7 +195,7 @@ def status_updates(spark: SparkSession, sf: str) -> DataFrame:
         table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name"), "o_custkey"
     )
     known = o.select(
-        F.concat(F.lit("https://"), F.lower("c_name"), F.lit(".go.id/")).alias("url"),
+        F.concat(F.lit("https://"), F.lower("c_name"), F.lit(".example.com/")).alias("url"),
         F.col("o_custkey").alias("id"),
         F.col("o_orderpriority").alias("document_type"),
         F.when(F.col("o_orderstatus") == "F", F.lit("failed_akses"))
@@ -211,7 +211,7 @@ def status_updates(spark: SparkSession, sf: str) -> DataFrame:
         table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name"), "l_suppkey"
     )
     new = x.select(
-        F.concat(F.lit("https://"), F.lower("s_name"), F.lit(".go.id/")).alias("url"),
+        F.concat(F.lit("https://"), F.lower("s_name"), F.lit(".example.com/")).alias("url"),
         F.col("l_suppkey").alias("id"),
         F.col("l_returnflag").alias("document_type"),
         F.when(F.col("l_linestatus") == "F", F.lit("failed_akses")).otherwise(F.lit("success")).alias("status"),
@@ -229,14 +229,14 @@ def status_updates(spark: SparkSession, sf: str) -> DataFrame:
 
 UPDATES_SQL = """
 updates AS (
-  SELECT 'https://' || lower(c_name) || '.go.id/' AS url, o_custkey AS id,
+  SELECT 'https://' || lower(c_name) || '.example.com/' AS url, o_custkey AS id,
     o_orderpriority AS document_type,
     CASE o_orderstatus WHEN 'F' THEN 'failed_akses' ELSE 'success' END AS status,
     'pesanan ' || o_orderkey AS message, 'RUN-' || o_orderkey AS run_id,
     strftime(o_orderdate, '%Y-%m-%d') AS last_crawled, lpad(o_orderkey::VARCHAR, 12, '0') AS seq
   FROM orders JOIN customer ON c_custkey = o_custkey
   UNION ALL
-  SELECT 'https://' || lower(s_name) || '.go.id/', l_suppkey, l_returnflag,
+  SELECT 'https://' || lower(s_name) || '.example.com/', l_suppkey, l_returnflag,
     CASE WHEN l_linestatus = 'F' THEN 'failed_akses' ELSE 'success' END,
     'baris ' || l_linenumber, 'RUN-' || l_orderkey, strftime(l_shipdate, '%Y-%m-%d'),
     lpad(l_orderkey::VARCHAR, 12, '0') || '-' || l_linenumber || '-' || strftime(l_shipdate, '%Y-%m-%d') || '-' || l_returnflag || '-' || l_linestatus

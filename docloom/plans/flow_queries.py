@@ -13,7 +13,7 @@ from docloom.plans.dedupe_queries import GREEDY_SQL
 from docloom.plans.derived import LOG_SQL, documents, log_lines
 from docloom.plans.registry import query
 from docloom.session import table
-from docloom.sources.services import embed
+from docloom.sources.services import add_vectors
 from docloom.streaming import live
 
 
@@ -55,7 +55,7 @@ def vector_records(spark, sf):
     """Chunks of all documents with their vectors; the vectors come from a digest, SQL knows their length."""
     d = documents(spark, sf).withColumn("title", F.col("url"))
     c = C.build_chunks(d, "1970-01-01T00:00:00.000Z", C.ChunkOptions(SIZE, OVERLAP), markdown="text")
-    e = embed(c, "content")
+    e = add_vectors(c, "content")
     return e.select("document_id", "chunk_no", "checksum", F.size("embedding").alias("dimensi"))
 
 

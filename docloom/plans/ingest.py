@@ -16,7 +16,7 @@ from docloom.operators.chunk import ChunkOptions, build_chunks
 from docloom.operators.clean import cleaned_or_fallback
 from docloom.operators.dedupe import all_duplicates, greedy_duplicates
 from docloom.operators.htmlmd import html_to_markdown
-from docloom.sources.services import embed, hash_embedding
+from docloom.sources.services import add_vectors, hash_vectors
 from docloom.session import checkpoint, table
 
 
@@ -54,11 +54,11 @@ def prepared_documents(pages: DataFrame, o: IngestOptions = IngestOptions()) ->
 def ingest(
     pages: DataFrame,
     o: IngestOptions = IngestOptions(),
-    model: Callable[[list[str]], list[list[float]]] = hash_embedding,
+    model: Callable[[list[str]], list[list[float]]] = hash_vectors,
 ) -> DataFrame:
     """Vector records: the 21 payload fields and ``embedding``."""
     chunks = build_chunks(prepared_documents(pages, o), o.stamp, o.chunk)
-    return embed(chunks, "content", model)
+    return add_vectors(chunks, "content", model)
 
 
 def points(records: DataFrame) -> DataFrame:

@@ -64,7 +64,7 @@ def latest_status_topk(spark, sf):
 
 @query(
     "skip_success_sites",
-    f"""WITH {_UPSERT}, s AS (SELECT n_nationkey, n_name, 'https://' || lower(c_name) || '.go.id/' AS url FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey AND c_acctbal > 0)
+    f"""WITH {_UPSERT}, s AS (SELECT n_nationkey, n_name, 'https://' || lower(c_name) || '.example.com/' AS url FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey AND c_acctbal > 0)
     SELECT n_nationkey, n_name FROM s LEFT JOIN merged m ON m.url = s.url AND m.status = 'success'
     GROUP BY 1, 2 HAVING count(s.url) = 0 OR count(s.url) > count(m.url)""",
 )
@@ -72,7 +72,7 @@ def skip_success_sites(spark, sf):
     """Sites are nations, their start URLs the solvent customers' addresses."""
     urls = table(spark, sf, "customer").filter("c_acctbal > 0").select(
         F.col("c_nationkey").alias("n_nationkey"),
-        F.concat(F.lit("https://"), F.lower("c_name"), F.lit(".go.id/")).alias("url"),
+        F.concat(F.lit("https://"), F.lower("c_name"), F.lit(".example.com/")).alias("url"),
     )
     hist = _merged(spark, sf).filter(F.col("status") == "success").select("url")
     # one row per (site, start URL): the universally quantified anti join without arrays
@@ -178,7 +178,7 @@ def _stored(spark, sf):
 
 
 _PER_SITE = f"""{D.LOG_SQL},
-done AS (SELECT run_id, site, count(*) AS dokumen, sum(chunk)::BIGINT AS chunk, sum(vektor)::BIGINT AS vl, site || '.go.id' AS host
+done AS (SELECT run_id, site, count(*) AS dokumen, sum(chunk)::BIGINT AS chunk, sum(vektor)::BIGINT AS vl, site || '.example.com' AS host
   FROM log WHERE stage = 'DOC_AFTER' AND status = 'SUKSES' GROUP BY 1, 2),
 stored AS (SELECT 'RUN-' || strftime(ts, '%Y%m%d-%H') || '0000' AS run_id, 'situs-' || user_id AS site, count(*) AS baris,
   'berkas-' || user_id AS host FROM events WHERE event_type = 'view' GROUP BY 1, 2, user_id),
@@ -407,10 +407,10 @@ r AS (SELECT run_id, arg_min(site, pos) AS site, coalesce(arg_max(epoch(date_tru
   count(*) FILTER (stage = 'FETCH_AFTER' AND status = 'SUKSES') AS unduh, count(*) FILTER (stage = 'DOC_AFTER' AND status = 'SUKSES') AS dokumen,
   coalesce(sum(vektor) FILTER (stage = 'EMBED_BATCH'), 0) AS vektor,
   coalesce(sum(durasi) FILTER (stage = 'PARSE_AFTER'), 0)::DOUBLE AS parse, count(*) FILTER (stage = 'PARSE_AFTER') AS parse_n,
-  coalesce(sum(durasi) FILTER (stage = 'EMBED_BATCH'), 0)::DOUBLE AS embed,
+  coalesce(sum(durasi) FILTER (stage = 'EMBED_BATCH'), 0)::DOUBLE AS vs,
   coalesce(sum(durasi) FILTER (stage = 'RENDER_AFTER'), 0)::DOUBLE AS render, count(*) FILTER (stage = 'RENDER_AFTER') AS render_n FROM log GROUP BY 1),
-fold AS (SELECT run_id, site, greatest((akhir - mulai) - parse - embed - render, 0.0)::DOUBLE / unduh AS detik_unduh,
-  CASE WHEN parse_n > 0 THEN parse / parse_n ELSE 0 END AS detik_parse, CASE WHEN vektor > 0 THEN embed / vektor ELSE 0 END AS detik_embed,
+fold AS (SELECT run_id, site, greatest((akhir - mulai) - parse - vs - render, 0.0)::DOUBLE / unduh AS detik_unduh,
+  CASE WHEN parse_n > 0 THEN parse / parse_n ELSE 0 END AS detik_parse, CASE WHEN vektor > 0 THEN vs / vektor ELSE 0 END AS detik_vektor,
   CASE WHEN render_n > 0 THEN render / render_n ELSE 0 END AS detik_render, vektor::DOUBLE / unduh AS vektor_per_url,
   dokumen::DOUBLE / unduh AS dokumen_per_url, render_n::DOUBLE / unduh AS porsi_render, unduh::DOUBLE AS halaman_per_run
   FROM r WHERE akhir > mulai AND unduh > 0)"""
@@ -431,7 +431,7 @@ p AS (SELECT 'situs-' || c_custkey AS site_id, c_name AS nama, o.site IS NOT NUL
 h AS (SELECT *, greatest(50, round(halaman_per_run)::INT) AS halaman FROM p),
 est AS (SELECT site_id, nama, halaman, round(halaman * dokumen_per_url)::INT AS dokumen, round(halaman * vektor_per_url)::INT AS vektor,
   halaman * detik_unduh AS detik_unduh, halaman * detik_parse AS detik_parse, halaman * porsi_render * detik_render AS detik_render,
-  round(halaman * vektor_per_url)::INT * detik_embed AS detik_embed, sampel, CASE WHEN punya THEN 'riwayat site' ELSE 'riwayat global' END AS sumber FROM h)"""
+  round(halaman * vektor_per_url)::INT * detik_vektor AS detik_vektor, sampel, CASE WHEN punya THEN 'riwayat site' ELSE 'riwayat global' END AS sumber FROM h)"""
 
 
 @query(
@@ -447,14 +447,14 @@ def calibration(spark, sf):
 @query(
     "estimate",
     f"""WITH {_EST} SELECT site_id, nama, halaman, dokumen, vektor, round(detik_unduh, 7) AS detik_unduh, round(detik_parse, 7) AS detik_parse,
-      round(detik_render, 7) AS detik_render, round(detik_embed, 7) AS detik_embed, sampel, sumber,
-      round(detik_unduh + detik_parse + detik_render + detik_embed, 7) AS detik_total FROM est""",
+      round(detik_render, 7) AS detik_render, round(detik_vektor, 7) AS detik_vektor, sampel, sumber,
+      round(detik_unduh + detik_parse + detik_render + detik_vektor, 7) AS detik_total FROM est""",
 )
 def estimate(spark, sf):
     e = _estimate(spark, sf)
     return e.select(
         "site_id", "nama", "halaman", "dokumen", "vektor",
-        *[F.round(c, 7).alias(c) for c in ["detik_unduh", "detik_parse", "detik_render", "detik_embed", "detik_total"]],
+        *[F.round(c, 7).alias(c) for c in ["detik_unduh", "detik_parse", "detik_render", "detik_vektor", "detik_total"]],
         "sampel", "sumber",
     )
 
@@ -469,7 +469,7 @@ def _estimate(spark, sf):
 @query(
     "estimate_total",
     f"""WITH {_EST} SELECT sum(halaman)::BIGINT AS halaman, sum(dokumen)::BIGINT AS dokumen, sum(vektor)::BIGINT AS vektor,
-      round(sum((detik_unduh + detik_parse + detik_render + detik_embed)::DECIMAL(28,6))::DOUBLE, 1) AS detik_total FROM est""",
+      round(sum((detik_unduh + detik_parse + detik_render + detik_vektor)::DECIMAL(28,6))::DOUBLE, 1) AS detik_total FROM est""",
 )
 def estimate_total(spark, sf):
     return _estimate(spark, sf).agg(

@@ -1,4 +1,4 @@
-"""Remote calls as injected callables: fetching, parsing, embedding.
+"""Remote calls as injected callables: fetching and vectors.
 
 Nothing here opens a connection by itself.  A deployment passes a function that does; tests
 pass a local one.  Work is spread by host and salt, so one large host does not fill one task.
@@ -81,7 +81,7 @@ def fetch(
     return spread.mapInPandas(run, FETCHED)
 
 
-def hash_embedding(texts: list[str], dimension: int = 64) -> list[list[float]]:
+def hash_vectors(texts: list[str], dimension: int = 64) -> list[list[float]]:
     """Deterministic stand-in for an embedding model: bytes of a digest, scaled to [-1, 1]."""
     out = []
     for t in texts:
@@ -90,12 +90,12 @@ def hash_embedding(texts: list[str], dimension: int = 64) -> list[list[float]]:
     return out
 
 
-def embed(
+def add_vectors(
     chunks: DataFrame,
     text: str,
-    model: Callable[[list[str]], list[list[float]]] = hash_embedding,
-    max_items: int = K.EMBED_MAX_CHUNKS,
-    max_chars: int = K.EMBED_MAX_CHARS,
+    model: Callable[[list[str]], list[list[float]]] = hash_vectors,
+    max_items: int = K.BATCH_MAX_CHUNKS,
+    max_chars: int = K.BATCH_MAX_CHARS,
 ) -> DataFrame:
     """Add ``embedding``; requests hold at most ``max_items`` texts and ``max_chars`` characters.
 

@@ -73,7 +73,7 @@ def test_fetch_retries_and_embedding_batches(spark):
         return [[float(len(t))] for t in texts] if "tolak" not in texts else []
 
     df = spark.createDataFrame([(i, t) for i, t in enumerate(["a", "bb", "ccc", "tolak", "dd"])], "i long, t string").coalesce(1)
-    got = [r.embedding for r in S.embed(df, "t", model, 2, 100).orderBy("i").collect()]
+    got = [r.embedding for r in S.add_vectors(df, "t", model, 2, 100).orderBy("i").collect()]
     assert got == [[1.0], [2.0], None, None, [2.0]]
     r = spark.range(1).select(S.backoff_ms(F.lit(100), F.lit(3)).alias("b"), S.is_transient(F.lit(0), F.lit("x")).alias("t")).first()
     assert r.b == 400 and r.t
