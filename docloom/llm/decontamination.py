@@ -197,7 +197,10 @@ def item_blocks(benchmark: DataFrame, o: LeakOptions) -> Iterator[ItemIndex]:
         yield ItemIndex(block, o)
 
 
-def _runs(texts: list[str | None], limit: int = 1 << 20) -> Iterator[list[str]]:
+ROWS = 256  # rows whose texts are Python objects at a time; bounds a task's memory, not a result
+
+
+def _runs(texts: list[str | None], limit: int = 1 << 18) -> Iterator[list[str]]:
     """Normal texts in runs of about ``limit`` characters."""
     run: list[str] = []
     size = 0
@@ -215,26 +218,31 @@ def _find(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for b in batches:
-            ids, out, base = b.column(0).to_pylist(), [], 0
-            for texts in _runs(b.column(1).to_pylist()):
-                out += [(ids[base + d], index.ids[k], e, end) for d, k, e, end in index.leaks(texts)]
-                base += len(texts)
+            out = []
+            for at in range(0, b.num_rows, ROWS):
+                part = b.slice(at, ROWS)
+                ids, base = part.column(0).to_pylist(), 0
+                for texts in _runs(part.column(1).to_pylist()):
+                    out += [(ids[base + d], index.ids[k], e, end) for d, k, e, end in index.leaks(texts)]
+                    base += len(texts)
             columns = list(zip(*out)) or [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "item_id", "edits", "end_at"])
 
     return run
 
 
-def _drop(shared, at: int):
+def _drop(shared, text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for b in batches:
-            keep, base = np.ones(b.num_rows, bool), 0
-            for texts in _runs(b.column(at).to_pylist()):
-                for d, _, _, _ in index.leaks(texts):
-                    keep[base + d] = False
-                base += len(texts)
-            yield b.filter(pa.array(keep))
+            for at in range(0, b.num_rows, ROWS):
+                part = b.slice(at, ROWS)
+                keep, base = np.ones(part.num_rows, bool), 0
+                for texts in _runs(part.column(text_at).to_pylist()):
+                    for d, _, _, _ in index.leaks(texts):
+                        keep[base + d] = False
+                    base += len(texts)
+                yield part.filter(pa.array(keep))
 
     return run
 
