@@ -22,6 +22,7 @@ from docloom.llm.common import crc_mod, read
 from docloom.llm.registry import query
 from docloom.operators.skew import top_per_key
 
+ROWS = 256  # rows whose texts are Python objects at a time; bounds a task's memory, not a result
 NO_LETTERS = re.compile(r"[\W\d_]+")
 UNKNOWN = "und"
 
@@ -82,14 +83,15 @@ def _counts(o: LanguageOptions):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
         for b in batches:
-            by_lang: dict[str, list[str]] = {}
-            for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
-                by_lang.setdefault(lang, []).append(cleaned(text.as_py()))
-            for lang, texts in by_lang.items():
-                for part in _runs(texts, len):
-                    slots, _ = slots_of(part, o)
-                    total = counts.setdefault(lang, np.zeros(o.slots, np.int64))
-                    total += np.bincount(slots, minlength=o.slots)
+            for at in range(0, b.num_rows, ROWS):
+                by_lang: dict[str, list[str]] = {}
+                for lang, text in zip(b.column(0).slice(at, ROWS).to_pylist(), b.column(1).slice(at, ROWS)):
+                    by_lang.setdefault(lang, []).append(cleaned(text.as_py()))
+                for lang, texts in by_lang.items():
+                    for part in _runs(texts, len):
+                        slots, _ = slots_of(part, o)
+                        total = counts.setdefault(lang, np.zeros(o.slots, np.int64))
+                        total += np.bincount(slots, minlength=o.slots)
         for lang, total in counts.items():
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(total[at])], names=["lang", "slot", "n"])
@@ -158,8 +160,10 @@ def _predict(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for b in batches:
-            names, scores = model.predict(b.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(names, pa.string()), pa.array(scores)], names=["doc_id", "held_out", "lang_pred", "score"])
+            for at in range(0, b.num_rows, ROWS):
+                part = b.slice(at, ROWS)
+                names, scores = model.predict(part.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(names, pa.string()), pa.array(scores)], names=["doc_id", "held_out", "lang_pred", "score"])
 
     return run
 
