@@ -47,14 +47,18 @@ def with_title(
     preferred: str | None = None,
     raw_file: str | None = None,
     out: str = "judul",
+    page_title: str | None = None,
+    heading: str | None = None,
 ) -> DataFrame:
     """Add ``out``: given title, page title, heading, parser title, else words of the URL.
 
     A page title equal to the first page title of its site is the site's name; such pages use
     their heading when they have one.  The first title per site is a min_by aggregate, joined
     back on the site: small enough to broadcast at run time, or split by skew handling.
+    Columns ``page_title`` and ``heading`` that are there already spare reading ``html`` and ``markdown``.
     """
-    p = pages.withColumn("__t", html_title(html)).withColumn("__h", first_heading(markdown))
+    p = pages.withColumn("__t", F.col(page_title) if page_title else html_title(html))
+    p = p.withColumn("__h", F.col(heading) if heading else first_heading(markdown))
     first = (
         p.filter(F.col("__t") != "")
         .groupBy(site)

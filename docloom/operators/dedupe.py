@@ -14,7 +14,7 @@ from docloom import constants as K
 from docloom.functions.ids import content_sha1
 from docloom.functions.text import col
 from docloom.operators.skew import ordered_slices
-from docloom.session import checkpoint
+from docloom.session import checkpoint, stored
 
 
 def content_tokens(markdown, limit: int | None = None) -> Column:
@@ -169,8 +169,9 @@ def greedy_duplicates(
         content_sha1(markdown).alias("fp"),
         content_tokens(markdown, tokens).alias("tokens"),
     )
-    slices = max(1, math.ceil(docs.count() / segment_rows))
-    d = ordered_slices(d, ["site"], [F.col("seq")], slices).withColumnRenamed("__slice", "seg")
+    d = stored(d, "duplicates-input")
+    slices = max(1, math.ceil(d.count() / segment_rows))
+    d = ordered_slices(d, ["site"], [F.col("seq")], slices, is_stored=True).withColumnRenamed("__slice", "seg")
     order = W.partitionBy("site").orderBy("seg")
     segs = checkpoint(
         d.select("site", "seg").distinct().withColumn("next", F.lead("seg").over(order))

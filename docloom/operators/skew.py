@@ -6,18 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docloom.session import checkpoint
+from docloom.session import stored
 
 
-def ordered_slices(df: DataFrame, keys: list[str], order: list[Column], slices: int | None = None):
+def ordered_slices(
+    df: DataFrame, keys: list[str], order: list[Column], slices: int | None = None, is_stored: bool = False
+):
     """Range-partition by (keys, order) and name each row's slice.
 
     Slices are ordered, about equal in size, and split a hot key over many tasks.  The
-    result is checkpointed, because slice numbers must not change when a task is retried.
+    result is written, because slice numbers must not change when a task is retried.
     """
     n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    d = df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
-    return checkpoint(d.withColumn("__slice", F.spark_partition_id()))
+    # range bounds come from a sample, a pass of its own: what lies above runs once
+    d = (df if is_stored else stored(df, "slices-input")).repartitionByRange(n, *[F.col(k) for k in keys], *order)
+    return stored(d.withColumn("__slice", F.spark_partition_id()), "slices")
 
 
 def running_row_number(

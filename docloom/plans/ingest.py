@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from docloom import constants as K
 from docloom.functions import ids
+from docloom.functions.html import html_title
+from docloom.functions.markdown import first_heading
 from docloom.functions.titles import with_title
 from docloom.functions.urls import hostname
 from docloom.operators.chunk import ChunkOptions, build_chunks
@@ -17,7 +19,7 @@ from docloom.operators.clean import cleaned_or_fallback
 from docloom.operators.dedupe import all_duplicates, greedy_duplicates
 from docloom.operators.htmlmd import html_to_markdown
 from docloom.sources.services import add_vectors, hash_vectors
-from docloom.session import checkpoint, table
+from docloom.session import stored, table
 
 
 @dataclass(frozen=True)
@@ -34,15 +36,16 @@ def prepared_documents(pages: DataFrame, o: IngestOptions = IngestOptions()) ->
     """(page_id, site, url, title, markdown) of pages that are not duplicates.
 
     ``pages`` has page_id (arrival order), url and html.  The rendered markdown is written
-    once, because duplicate detection and chunking both read it.
+    once, as Parquet: duplicate detection, titles and chunking read the columns they need.
     """
-    base = pages.select("page_id", "url", "html", hostname("url").alias("site"))
-    md = html_to_markdown(base).drop("title")
-    d = base.join(md, "page_id")
+    base = pages.select("page_id", "url", hostname("url").alias("site"), html_title("html").alias("page_title"))
+    d = base.join(html_to_markdown(pages.select("page_id", "html")).drop("title"), "page_id")
     if o.clean:
         d = cleaned_or_fallback(d, "markdown", "markdown", o.chunk.min_length)
-    d = with_title(d, "site", "page_id", "url", "html", "markdown", out="title")
-    d = checkpoint(d.select("page_id", "site", "url", "title", "markdown"))
+    d = d.withColumn("heading", first_heading("markdown"))
+    d = stored(d.select("page_id", "site", "url", "page_title", "heading", "markdown"), "documents")
+    d = with_title(d, "site", "page_id", "url", "", "", out="title", page_title="page_title", heading="heading")
+    d = d.drop("page_title", "heading")
     if not o.drop_duplicates:
         return d
     names = ("site", "page_id", "url", "markdown")

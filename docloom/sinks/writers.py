@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from docloom import constants as K
 from docloom.functions.text import col
 from docloom.operators import vectors as V
+from docloom.session import stored
 
 
 def append_records(records: DataFrame, path: str) -> None:
@@ -67,6 +68,7 @@ def write_point_file(
     """
     if not 0 < max_points <= K.EXPORT_MAX_POINTS:
         raise ValueError("a single file needs a limit; use write_point_batches for more")
+    points = stored(points, "points")  # checked, counted and written: what makes them runs once
     V.require_one_dimension(points)
     n = points.count()
     if n > max_points:
