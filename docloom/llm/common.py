@@ -3,14 +3,11 @@
 from __future__ import annotations
 
 import os
-import uuid
-from collections.abc import Callable, Iterator
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.session import checkpoint, ensure_checkpoint_dir
+from docloom.session import checkpoint, stored  # noqa: F401  (stored is used by the operators)
 
 #: The white space that ends a word in every contract of this package.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -41,23 +38,6 @@ def split_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "replace").lower().split() if text else []
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder as Parquet and read back: lineage ends, columns can be pruned.
-
-    The folder is new for each call; it lies in ``spark.checkpoint.dir``, so every executor reaches it.
-    """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
-    schema = df.schema
-    df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
-
-
-def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
-
-
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges(a, b)`` (long ids): rows ``node, root`` with the least id reachable.
 
