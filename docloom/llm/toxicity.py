@@ -50,12 +50,13 @@ WORD = re.compile(r"[^\W_]+(?:'[^\W_]+)?")
 @dataclass(frozen=True)
 class ToxicityOptions:
     """``sample``: labelled rows the fit may use at most; ``shortest``, ``longest``: learned prefixes;
-    ``support``: toxic texts a pattern needs; ``scope``: words a negation reaches; ``reach``: words to a target."""
+    ``support``, ``support_share``: toxic texts a pattern needs, as a number and as a share; ``scope``: words a negation reaches; ``reach``: words to a target."""
 
     sample: int = 20_000
     shortest: int = 4
     longest: int = 10
     support: int = 4
+    support_share: float = 0.01
     scope: int = 3
     reach: int = 4
 
@@ -299,7 +300,7 @@ def learn(sample: DataFrame, options: ToxicityOptions = ToxicityOptions()) -> Gr
         g.weights = PRIOR
         return g.close()
     counts = rows.filter("toxic = 1").select("text").mapInArrow(_pattern_counts(o), "p string, n long")
-    need = max(o.support, n_toxic // 250)
+    need = max(o.support, int(n_toxic * o.support_share))
     toxic = dict(counts.groupBy("p").agg(F.sum("n").alias("n")).filter(F.col("n") >= need).collect())
     wanted = spark.sparkContext.broadcast(frozenset(toxic))
     clean = rows.filter("toxic = 0").select("text").mapInArrow(_pattern_counts(o, wanted), "p string, n long")
