@@ -239,7 +239,7 @@ def file_inventory(files: DataFrame) -> DataFrame:
     ).drop("__j", "__e")
 
 
-#: Counters of a run, per site, with the label of the summary row that totals them.
+#: Counters of a run, per site, with the label of the summary row that totals them.
 COUNTERS = {
     "url_diproses": "URL masuk antrean", "url_dilewati": "URL dilewati", "gagal_unduh": "URL gagal unduh", "parse_service": "Parse via /parse",
     "parse_fallback": "Parse fallback lokal", "parse_gagal": "Parse gagal", "konten_api": "Konten via API situs", "render_js": "Halaman dirender (JS)",
