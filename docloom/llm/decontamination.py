@@ -7,6 +7,10 @@ q-grams are counted in bands of ``2 (e + 1)`` diagonals that overlap by half, ba
 retained, and their region is verified by a banded alignment.  q-grams that many items share are
 left out of the index, and each one left out lowers that item's bound by one: no place is lost.
 
+An item is also cut into windows of ``window`` words that overlap by half, and each window is searched in the same
+way with its own budget.  A text that holds at least ``share`` of an item's windows, wherever they stand in it, has
+leaked the item too: quoted parts, and what line dedup leaves of an item.
+
 Items are the stated query set.  They are read in blocks of at most ``block_chars`` characters, each
 block's index is broadcast, and each block takes one pass over all texts.
 """
@@ -30,12 +34,15 @@ _BASE = 0x9E3779B97F4A7C15
 @dataclass(frozen=True)
 class LeakOptions:
     """``q``: characters of a gram; ``rate``: edits per character of the item; ``common``: items that may
-    share an indexed gram; ``block_chars``: characters of items in one broadcast."""
+    share an indexed gram; ``block_chars``: characters of items and their windows in one broadcast; ``window``: words of
+    a window (more where they have under two q-grams of characters); ``share``: of an item's windows that make a leak."""
 
     q: int = 10
     rate: float = 0.06
     common: int = 8
     block_chars: int = 4_000_000
+    window: int = 8
+    share: float = 1 / 3
 
 
 def normal(text: str | None) -> str:
@@ -181,20 +188,69 @@ def banded(item: np.ndarray, text: np.ndarray, low: int, width: int) -> tuple[in
     return None if best >= far else (best, int((d + low + len(item))[np.argmin(row)]))
 
 
-def item_blocks(benchmark: DataFrame, o: LeakOptions) -> Iterator[ItemIndex]:
+def windows_of(text: str, o: LeakOptions) -> list[str]:
+    """Distinct windows of a normal text, from its first word to its last; none where one window would hold it all."""
+    words = text.split(" ")
+    out: dict[str, None] = {}
+    for i in range(0, len(words), max(1, o.window // 2)):
+        j = i + o.window
+        while j < len(words) and len(" ".join(words[i:j])) < 2 * o.q:
+            j += 1
+        i = min(i, max(0, len(words) - o.window))  # the last one ends with the text
+        while i and len(" ".join(words[i:j])) < 2 * o.q:
+            i -= 1
+        out[" ".join(words[i:j])] = None
+        if j >= len(words):
+            break
+    return [w for w in out if w != text]
+
+
+class LeakIndex:
+    """A block of items, indexed whole and by windows."""
+
+    def __init__(self, items: list[tuple[int, str]], o: LeakOptions):
+        self.whole, self.share = ItemIndex(items, o), o.share
+        self.ids = self.whole.ids
+        cut = [windows_of(t, o) for _, t in items]
+        self.size = [len(c) for c in cut]
+        self.items_of: dict[str, list[int]] = {}
+        for k, c in enumerate(cut):
+            for w in c:
+                self.items_of.setdefault(w, []).append(k)
+        self.windows = ItemIndex(list(enumerate(self.items_of)), o) if self.items_of else None
+
+    def leaks(self, texts: list[str]) -> list[tuple[int, int, int | None, int, float]]:
+        """``(text number, item number, edits, end, held)``: whole items, and items by their share of windows (no edits)."""
+        whole = [(d, k, e, end, 1.0) for d, k, e, end in self.whole.leaks(texts)]
+        if self.windows is None:
+            return whole
+        found = {(d, k) for d, k, *_ in whole}
+        held: dict[tuple[int, int], tuple[int, int]] = {}
+        for d, w, _, end in self.windows.leaks(texts):
+            for k in self.items_of[self.windows.texts[w]]:
+                n, last = held.get((d, k), (0, 0))
+                held[d, k] = n + 1, max(last, end)
+        part = [
+            (d, k, None, end, n / self.size[k]) for (d, k), (n, end) in held.items()
+            if (d, k) not in found and n >= self.share * self.size[k] - 1e-9
+        ]
+        return sorted(whole + part, key=lambda x: x[:2])
+
+
+def item_blocks(benchmark: DataFrame, o: LeakOptions) -> Iterator[LeakIndex]:
     block: list[tuple[int, str]] = []
     size = 0
     for r in benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).toLocalIterator():
         t = normal(r[1])
         if len(t) < 2 * o.q:
             continue
-        if block and size + len(t) > o.block_chars:
-            yield ItemIndex(block, o)
+        if block and size + 3 * len(t) > o.block_chars:
+            yield LeakIndex(block, o)
             block, size = [], 0
         block.append((r[0], t))
-        size += len(t)
+        size += 3 * len(t)  # windows hold each character twice
     if block:
-        yield ItemIndex(block, o)
+        yield LeakIndex(block, o)
 
 
 ROWS = 256  # rows whose texts are Python objects at a time; bounds a task's memory, not a result
@@ -223,10 +279,11 @@ def _find(shared):
                 part = b.slice(at, ROWS)
                 ids, base = part.column(0).to_pylist(), 0
                 for texts in _runs(part.column(1).to_pylist()):
-                    out += [(ids[base + d], index.ids[k], e, end) for d, k, e, end in index.leaks(texts)]
+                    out += [(ids[base + d], index.ids[k], e, end, held) for d, k, e, end, held in index.leaks(texts)]
                     base += len(texts)
-            columns = list(zip(*out)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "item_id", "edits", "end_at"])
+            columns = list(zip(*out)) or [[]] * 5
+            arrays = [*(pa.array(c, pa.int64()) for c in columns[:4]), pa.array(columns[4], pa.float64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "item_id", "edits", "end_at", "held"])
 
     return run
 
@@ -239,7 +296,7 @@ def _drop(shared, text_at: int):
                 part = b.slice(at, ROWS)
                 keep, base = np.ones(part.num_rows, bool), 0
                 for texts in _runs(part.column(text_at).to_pylist()):
-                    for d, _, _, _ in index.leaks(texts):
+                    for d, *_ in index.leaks(texts):
                         keep[base + d] = False
                     base += len(texts)
                 yield part.filter(pa.array(keep))
@@ -248,16 +305,17 @@ def _drop(shared, text_at: int):
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, options: LeakOptions = LeakOptions()) -> DataFrame:
-    """``doc_id, item_id, edits, end_at``: a row for each item in each row of ``docs`` that holds it.
+    """``doc_id, item_id, edits, end_at, held``: a row for each item in each row of ``docs`` that holds it or enough of it.
 
-    ``edits``: the fewest; ``end_at``: where that place ends in the lower-cased, single-spaced text.  Null
+    ``edits``: the fewest, null where only windows were found; ``end_at``: where that place, or the last window, ends in
+    the lower-cased, single-spaced text; ``held``: 1 for a whole item, else the share of its windows.  Null
     and empty texts hold nothing.  Items under two q-grams of characters (null ones too) are not
     searched: they would fit everywhere.  Repeated items and repeated rows are found each for itself; a
     null id stays null.  Further columns are ignored.
     """
     spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    schema = "doc_id long, item_id long, edits long, end_at long"
+    schema = "doc_id long, item_id long, edits long, end_at long, held double"
     out = spark.createDataFrame([], schema)
     for index in item_blocks(benchmark, options):
         out = out.union(d.mapInArrow(_find(spark.sparkContext.broadcast(index)), schema))
@@ -265,7 +323,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, options: LeakOptions = Lea
 
 
 def drop_leaked(docs: DataFrame, benchmark: DataFrame, options: LeakOptions = LeakOptions()) -> DataFrame:
-    """The rows of ``docs`` that hold no item, all columns as they are."""
+    """The rows of ``docs`` that hold no item and no ``share`` of an item's windows, all columns as they are."""
     spark = docs.sparkSession
     for index in item_blocks(benchmark, options):
         docs = docs.mapInArrow(_drop(spark.sparkContext.broadcast(index), docs.columns.index("text")), docs.schema)

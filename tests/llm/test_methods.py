@@ -255,6 +255,29 @@ def test_leaks():
     assert found > 20
 
 
+def test_leaks_of_parts(spark):
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choice("etaoinsr") for _ in range(rng.randrange(2, 8))) for _ in range(400)]
+    item = [rng.choice(vocabulary) for _ in range(50)]
+    noise = [" ".join(rng.choice(vocabulary) for _ in range(30)) for _ in range(6)]
+    texts = [
+        f"{noise[0]} {' '.join(item[:25])} {noise[1]}",  # the first half
+        f"{noise[2]} {' '.join(item[:14])} {noise[3]} {' '.join(item[30:])} {noise[4]}",  # two parts
+        f"{noise[5]} {' '.join(item[10:20])}",  # one window in eleven or twelve
+        " ".join(item),
+        noise[0],
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame([(7, " ".join(item)), (8, "w " * 30)], "item_id long, text string")
+    got = {r.doc_id: (r.item_id, r.edits, r.held) for r in dc.find_leaks(df, items).collect()}
+    assert set(got) == {0, 1, 3} and got[3] == (7, 0, 1.0)
+    assert got[0][1] is None and 1 / 3 <= got[0][2] < 1
+    assert sorted(r.doc_id for r in dc.drop_leaked(df, items).collect()) == [2, 4]
+    for n in (1, 7, 8, 9, 12, 13, 50):  # windows hold each word
+        w = [f"word{i}" for i in range(n)]
+        assert n <= 8 and not dc.windows_of(" ".join(w), dc.LeakOptions()) or {x for y in dc.windows_of(" ".join(w), dc.LeakOptions()) for x in y.split()} == set(w)
+
+
 def test_leaks_of_the_tables(spark, sf, docs):
     items = {r.item_id: dc.normal(r.text) for r in read(spark, sf, "benchmark").collect()}
     got = {(r.doc_id, r.item_id) for r in dc.op7_qgram_decontamination(spark, sf).collect()}
