@@ -354,6 +354,38 @@ def test_license_matches(spark, sf, docs):
     assert n > 20
 
 
+def test_license_windows(spark):
+    wrapped = {
+        "mit": "# Permission is hereby granted, free of charge, to any person obtaining a copy\n# of this software and associated documentation files (the \"Software\"), to deal",
+        "lgpl": "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU Lesser General Public License\nas published",
+        "gpl": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by",
+        "agpl": "you can redistribute it and/or modify\n * it under the terms of the GNU Affero General Public\n * License",
+        "": "Released under the Foo license",
+    }
+    far = " ".join(w + " x" * 30 for w in license_scan.TEMPLATES[8][1].split())  # all words, in no one place
+    texts = [*wrapped.values(), far]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: sorted({w.label for w in r.windows}) for r in license_scan.scan(df).collect()}
+    assert got == {i: [label] if label else [] for i, label in enumerate([*wrapped, ""])}
+
+
+def test_license_windows_are_the_fullest():
+    rng = random.Random(4)
+    source = [("a", "a b c d e"), ("b", "c d x y"), ("c", "e f g")]
+    telling = {"c d x y": ("x y", "y c")}
+    t = license_scan.Templates(0.8, {}, source, telling)
+    for _ in range(400):
+        ws = [rng.choice("abcdefgxyzuvw") for _ in range(rng.randrange(40))]
+        want = []
+        for k, (_, text) in enumerate(source):
+            own, n = set(text.split()), math.ceil(1.5 * len(text.split()))
+            blocks = [ws[i : i + n] for i in range(len(ws))]
+            ok = [len(own & set(b)) for b in blocks if text not in telling or any(p in " ".join(b) for p in telling[text])]
+            if ok and max(ok) >= math.ceil(0.8 * len(own) - 1e-9):
+                want.append((k, max(ok) / len(own)))
+        assert [(k, c) for _, k, c in t.windows([w.encode() for w in ws])] == want
+
+
 def test_language_accuracy(spark, sf):
     lang = {r.doc_id: r.lang for r in read(spark, sf, "documents").collect()}
     held = [r for r in language_id.op6_language_id(spark, sf).collect() if r.held_out]
