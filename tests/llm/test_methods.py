@@ -456,6 +456,30 @@ def test_labeller_generalises(spark, sf):
     assert wrong <= 0.02 * total
 
 
+def test_forms_and_quotation_footers(spark, sf):
+    sources = [r.html for r in read(spark, sf, "pages").collect()]
+    labeller = html_blocks.fit(sources[:300])
+    plain = html_blocks.main_texts(labeller, sources)
+    for open_, close in (("<article>", "</article>"), ("<body>", "</body>")):
+        wrapped = [re.sub(close, "</form>" + close, s.replace(open_, open_ + '<form id="aspnetForm" method="post">', 1)) if open_ == "<body>" else s.replace(open_, '<form id="form1">' + open_, 1).replace(close, close + "</form>", 1) for s in sources]
+        assert all("<form" in s for s in wrapped)
+        assert np.mean([a == b for a, b in zip(html_blocks.main_texts(labeller, wrapped), plain)]) > 0.95
+    quote = "<blockquote><p>It was a long quotation, of many words, that goes on for a while and then ends.</p><footer>Jane Writer in a book</footer></blockquote>"
+    quoted = html_blocks.main_texts(labeller, [s.replace("</article>", quote + "</article>", 1) for s in sources])
+    assert np.mean(["Jane Writer in a book" in t for t in quoted]) > 0.95
+
+
+def test_raw_elements_end_at_their_tag():
+    def texts(page):
+        return [b.text for b in html_blocks.blocks_of(page)]
+
+    assert texts('<p>a<svg viewBox="0 0 1 1"/>b</p><p>c</p><svg><text>no</text></svg><p>d</p>') == ["ab", "c", "d"]
+    assert texts("<p>a<math /></p><p>b</p>") == ["a", "b"]
+    assert texts("<p>a</p><svg width=1><p>b</p><p>c</p>") == ["a", "b", "c"]
+    assert texts("<p>a</p><script>if (x) y()<p>b</p>") == ["a", "b"]
+    assert texts("<p>a</p><script>no <p>no</p></script><style>no</style><noscript>no</noscript><p>b</p>") == ["a", "b"]
+
+
 def test_labeller_gradients():
     m = html_blocks.Labeller(hidden=3, seed=1)
     r = np.random.default_rng(0)
