@@ -6,7 +6,7 @@ import importlib
 
 MODULES = [
     "suffix_tree", "simhash", "toxicity", "line_dedup", "quality_rules", "language_id", "decontamination", "mixing",
-    "license_scan", "html_blocks", "source_divergence", "substring_dedup",
+    "license_scan", "html_blocks", "source_divergence", "substring_dedup", "collocations",
 ]
 
 
