@@ -46,3 +46,30 @@ def first_places(keys: Column) -> Column:
     places = F.array_sort(F.transform(keys, lambda k, i: F.struct(k.alias("k"), i.alias("i"))))
     return let(places, lambda ps: F.array_sort(F.transform(
         F.filter(ps, lambda p, n: (n == 0) | ~F.get(ps, n - 1)["k"].eqNullSafe(p["k"])), lambda p: p["i"])))
+
+
+def last_before(offsets, limits, inclusive: bool = True) -> Column:
+    """array<int>: for each limit the place (from 0) of the last offset up to it (below it if not ``inclusive``), -1 if none.
+
+    Offsets ascend; both arrays are merged once, so a row costs what it holds.
+    """
+    side = "right" if inclusive else "left"
+
+    @F.pandas_udf("array<int>")
+    def run(found: pd.Series, wanted: pd.Series) -> pd.Series:
+        return pd.Series([
+            None if o is None or w is None else (np.searchsorted(o, w, side=side) - 1).astype(np.int32)
+            for o, w in zip(found, wanted)
+        ])
+
+    return run(col(offsets), col(limits))
+
+
+def last_set(marks) -> Column:
+    """array<int>: for each place the last place up to it that is marked, -1 if none."""
+
+    @F.pandas_udf("array<int>")
+    def run(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: None if v is None else np.maximum.accumulate(np.where(v, np.arange(len(v)), -1)).astype(np.int32))
+
+    return run(col(marks))

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docloom import constants as K
-from docloom.functions.arrays import starts_of
+from docloom.functions.arrays import last_before, starts_of
 from docloom.functions.text import col, collapse, let, rtrim, trim
 
 # fixed values: patterns of the cleaning rules (Java syntax, Unicode classes on)
@@ -268,22 +268,33 @@ def page_marks(found) -> Column:
     )
 
 
-def _last(array: Column) -> Column:
-    return F.try_element_at(array, F.lit(-1))
+def headings_at(found, starts, lengths) -> Column:
+    """array<string>, as-of for each window: last heading at or before its start; else the last one inside it."""
+    h, ends = col(found), F.zip_with(col(starts), col(lengths), lambda s, n: s + n)
+    offsets = F.transform(h, lambda x: x["offset"])
+    places = F.arrays_zip(
+        last_before(offsets, col(starts)).alias("before"), last_before(offsets, ends, inclusive=False).alias("inside"))
+
+    def text(p):
+        # nothing stands before the window, so what ends before its end stands inside it
+        at = F.when(p["before"] >= 0, p["before"]).otherwise(p["inside"])
+        return F.get(h, at)["text"]
+
+    return F.transform(places, text)
+
+
+def pages_at(marks, starts) -> Column:
+    """array<int>, as-of for each window: last page mark at or before its start, else the first mark."""
+    m = col(marks)
+    places = last_before(F.transform(m, lambda x: x["offset"]), col(starts))
+    return F.transform(places, lambda p: F.get(m, F.greatest(p, F.lit(0)))["page"])
 
 
 def heading_at(found, start, length) -> Column:
-    """As-of: last heading at or before ``start``; else the last one inside the window."""
-    h, s = col(found), col(start)
-    before = _last(F.filter(h, lambda x: x["offset"] <= s))["text"]
-    inside = _last(F.filter(h, lambda x: (x["offset"] > s) & (x["offset"] < s + length)))["text"]
-    return F.coalesce(before, inside)
+    """``headings_at`` for a single window."""
+    return F.get(headings_at(found, F.array(col(start)), F.array(col(length))), F.lit(0))
 
 
 def page_at(marks, start) -> Column:
-    """As-of: last page mark at or before ``start``, else the first mark."""
-    m, s = col(marks), col(start)
-    return F.coalesce(
-        _last(F.filter(m, lambda x: x["offset"] <= s))["page"],
-        F.get(m, F.lit(0))["page"],
-    )
+    """``pages_at`` for a single window."""
+    return F.get(pages_at(marks, F.array(col(start))), F.lit(0))

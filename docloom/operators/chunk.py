@@ -90,8 +90,17 @@ def with_windows(df: DataFrame, markdown: str, o: ChunkOptions) -> DataFrame:
     for every window once the optimizer moves the expression into a filter.
     """
     df = df.withColumn("__win", windows(markdown, o.size, o.overlap))
+    marks = let(
+        M.headings(markdown),
+        lambda f: F.struct(M.heading_texts(f).alias("h"), M.page_marks(f).alias("p")),
+    )
+    df = df.withColumn("__marks", marks)
+    starts = F.transform("__win", lambda w: w["start"])
+    lengths = F.transform("__win", lambda w: F.length(w["text"]))
+    df = df.withColumn("__h", M.headings_at(F.col("__marks.h"), starts, lengths))
+    df = df.withColumn("__p", M.pages_at(F.col("__marks.p"), starts))
 
-    def piece(w, marks):
+    def piece(w, heading, page):
         return let(
             M.clean_chunk_text(w["text"]),
             lambda content: F.struct(
@@ -99,26 +108,22 @@ def with_windows(df: DataFrame, markdown: str, o: ChunkOptions) -> DataFrame:
                 w["text"].alias("text"),
                 content.alias("content"),
                 reject_reason(w["text"], content, o).alias("alasan"),
-                M.heading_at(marks["h"], w["start"], F.length(w["text"])).alias("heading"),
-                M.page_at(marks["p"], w["start"]).alias("page"),
+                heading.alias("heading"),
+                page.alias("page"),
             ),
         )
 
-    marks = let(
-        M.headings(markdown),
-        lambda f: F.struct(M.heading_texts(f).alias("h"), M.page_marks(f).alias("p")),
-    )
     built = let(
-        marks,
+        F.struct(F.col("__h").alias("h"), F.col("__p").alias("p"), F.col("__marks.h").alias("all")),
         lambda m: F.struct(
-            F.transform("__win", lambda w: piece(w, m)).alias("potongan"),
-            F.get(m["h"], F.lit(0))["text"].alias("judul_pertama"),
+            F.transform("__win", lambda w, i: piece(w, F.get(m["h"], i), F.get(m["p"], i))).alias("potongan"),
+            F.get(m["all"], F.lit(0))["text"].alias("judul_pertama"),
         ),
     )
     df = df.withColumn("__c", built)
     return df.withColumns(
         {"potongan": F.col("__c.potongan"), "judul_pertama": F.col("__c.judul_pertama")}
-    ).drop("__win", "__c")
+    ).drop("__win", "__marks", "__h", "__p", "__c")
 
 
 def section_label(document_type, year) -> Column:

@@ -7,19 +7,41 @@ from pyspark.sql import functions as F
 
 from docloom import constants as K
 from docloom.functions import urls as U
+from docloom.functions.arrays import first_places, last_set
 from docloom.functions.html import COMMENT, attribute
-from docloom.functions.text import col, trim
+from docloom.functions.text import col, let, trim
 
 _TAGS = ["a", "area"] + [t for t, _ in K.EMBEDDED_SOURCES]
 
 
+def _found_links(tags: Column, base: Column) -> Column:
+    """array<struct(rank, pos, link)> of the usable links of a page's tags, in discovery order, each link once."""
+
+    def one(tag, i):
+        name = F.lower(F.regexp_extract(tag, r"^<([a-zA-Z]+)", 1))
+
+        def link(n):
+            source = F.when(n.isin("a", "area"), attribute(tag, "href"))
+            for t, attr in K.EMBEDDED_SOURCES:
+                source = source.when(n == t, attribute(tag, attr))
+            rank = F.array_position(F.lit(_TAGS), n).cast("int")
+            href = let(trim(source), lambda h: F.when(h != "", U.normalize_url(h, base)))
+            return F.struct(rank.alias("rank"), i.alias("pos"), href.alias("link"))
+
+        return let(name, link)
+
+    found = F.array_sort(F.filter(F.transform(tags, one), lambda x: x["link"].isNotNull()))
+    return let(found, lambda f: F.transform(first_places(F.transform(f, lambda x: x["link"])), lambda p: F.get(f, p)))
+
+
 def extract_links(
     pages: DataFrame, key: str, url: str, html: str, skip: list[str] | None = None
 ) -> DataFrame:
-    """(key, url, link_no): unique absolute links of each page in discovery order.
+    """(key, link, link_no, urutan): unique absolute links of each page in discovery order, numbered from 1.
 
     Anchors come first, then areas, then embedded sources.  A usable <base> address
-    replaces the page address.  One small shuffle on (page, link) removes repeats.
+    replaces the page address.  All of it happens inside the page's row; nothing is shuffled.
+    A page whose key occurs again is a page of its own.
     """
     body = F.regexp_replace(col(html), COMMENT, "")
     body = F.regexp_replace(body, r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", "")
@@ -32,24 +54,13 @@ def extract_links(
         F.regexp_extract_all("__body", F.lit(rf"(?is)<(?:{tags})\b[^>]*>"), F.lit(0)).alias("__tags"),
     )
     bases = F.transform("__bases", lambda b: trim(attribute(b, "href")))
-    p = p.withColumn("__base", F.get(F.filter(bases, lambda b: b != ""), F.lit(0)))
-    p = U.with_normalized_url(p, "__base", "__url", "__based")
-    p = p.select(
-        key,
-        F.coalesce("__based", "__url").alias("__from"),
-        F.posexplode("__tags").alias("__pos", "__tag"),
-    )
-    name = F.lower(F.regexp_extract("__tag", r"^<([a-zA-Z]+)", 1))
-    rank = F.array_position(F.lit(_TAGS), name).cast("int")
-    source = F.when(name.isin("a", "area"), attribute("__tag", "href"))
-    for tag, attr in K.EMBEDDED_SOURCES:
-        source = source.when(name == tag, attribute("__tag", attr))
-    p = p.select(key, "__from", F.struct(rank, F.col("__pos")).alias("link_no"), trim(source).alias("__href"))
-    p = U.with_normalized_url(p.filter(F.col("__href") != ""), "__href", "__from", "link")
-    p = p.filter(F.col("link").isNotNull())
+    based = let(F.get(F.filter(bases, lambda b: b != ""), F.lit(0)), lambda b: U.normalize_url(b, F.col("__url")))
+    links = let(F.coalesce(based, F.col("__url")), lambda base: _found_links(F.col("__tags"), base))
     if skip:
-        p = p.filter(~U.has_skipped_extension("link", skip))
-    return p.groupBy(key, "link").agg(F.min("link_no").alias("link_no"))
+        links = let(links, lambda x: F.filter(x, lambda y: ~U.has_skipped_extension(y["link"], skip)))
+    p = p.select(key, F.posexplode(links).alias("__i", "__x"))
+    return p.select(
+        key, F.col("__x.link").alias("link"), F.struct("__x.rank", "__x.pos").alias("link_no"), (F.col("__i") + 1).alias("urutan"))
 
 
 def text_urls(text) -> Column:
@@ -99,30 +110,23 @@ def parse_robots(df: DataFrame, body: str, user_agent: str = "") -> DataFrame:
             trim(F.regexp_extract(x, "^[^:]*:(.*)$", 1)).alias("v"),
         ),
     )
-    rule_type = "array<struct<grp:string,allow:boolean,path:string,delay:double>>"
-    start = F.struct(F.lit("-").alias("grp"), F.array().cast(rule_type).alias("seen"))
+    # the agent line that holds for a line is the last one up to it: one pass over marks, no state that grows
+    df = df.withColumn("__p", pairs)
+    df = df.withColumn("__agent", last_set(F.transform("__p", lambda p: p["k"] == "user-agent")))
 
-    def step(acc, p):
-        agent = p["k"] == "user-agent"
+    def entry(p, i):
         is_rule = p["k"].isin("allow", "disallow") & ~((p["k"] == "disallow") & (p["v"] == ""))
         number = p["v"].try_cast("double")
         is_delay = (p["k"] == "crawl-delay") & number.isNotNull()
-        entry = F.struct(
-            acc["grp"].alias("grp"),
+        agent = F.get("__p", F.get("__agent", i))["v"]
+        return F.struct(
+            F.coalesce(_agent_group(F.lower(agent), tokens), F.lit("-")).alias("grp"),
             F.when(is_rule, p["k"] == "allow").alias("allow"),
             F.when(is_rule, p["v"]).alias("path"),
             F.when(is_delay, number).alias("delay"),
         )
-        seen = F.when(
-            (acc["grp"] != "-") & (is_rule | is_delay), F.concat(acc["seen"], F.array(entry))
-        ).otherwise(acc["seen"])
-        return F.struct(
-            F.when(agent, _agent_group(F.lower(p["v"]), tokens)).otherwise(acc["grp"]).alias("grp"),
-            F.when(agent, acc["seen"]).otherwise(seen).alias("seen"),
-        )
 
-    df = df.withColumn("__p", pairs)
-    df = df.withColumn("__seen", F.aggregate("__p", start, step, lambda a: a["seen"]))
+    df = df.withColumn("__seen", F.transform("__p", entry))
 
     def rules_of(group):
         return F.filter("__seen", lambda r: (r["grp"] == group) & r["allow"].isNotNull())
@@ -145,7 +149,7 @@ def parse_robots(df: DataFrame, body: str, user_agent: str = "") -> DataFrame:
         F.col("__own"), F.coalesce(delay_of("specific"), delay_of("star"))
     ).otherwise(delay_of("star"))
     return df.withColumn("rules", rules).withColumn("crawl_delay", delay).drop(
-        "__p", "__seen", "__own", "__chosen"
+        "__p", "__agent", "__seen", "__own", "__chosen"
     )
 
 

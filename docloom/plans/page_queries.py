@@ -108,12 +108,7 @@ links AS (SELECT page_id, {sql_normalized('a')} AS link, min(pos) AS pos FROM ab
       row_number() OVER (PARTITION BY page_id ORDER BY pos) AS urutan FROM links""",
 )
 def extract_links(spark, sf):
-    """Numbering the links of one page is a window over that page only."""
-    from pyspark.sql import Window as W
-
-    d = L.extract_links(table(spark, sf, "pages"), "page_id", "url", "html")
-    w = W.partitionBy("page_id").orderBy("link_no")
-    return d.select("page_id", "link", F.row_number().over(w).alias("urutan"))
+    return L.extract_links(table(spark, sf, "pages"), "page_id", "url", "html").select("page_id", "link", "urutan")
 
 
 @query(
