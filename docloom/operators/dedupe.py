@@ -4,16 +4,16 @@ from __future__ import annotations
 
 import math
 from collections import Counter, deque
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docloom import constants as K
 from docloom.functions.ids import content_sha1
 from docloom.functions.text import col
-from docloom.operators.skew import ordered_slices
+from docloom.operators.skew import running_row_number, top_per_key
 from docloom.session import checkpoint, stored
 
 
@@ -169,17 +169,16 @@ def greedy_duplicates(
         content_sha1(markdown).alias("fp"),
         content_tokens(markdown, tokens).alias("tokens"),
     )
-    d = stored(d, "duplicates-input")
-    slices = max(1, math.ceil(d.count() / segment_rows))
-    d = ordered_slices(d, ["site"], [F.col("seq")], slices, is_stored=True).withColumnRenamed("__slice", "seg")
-    order = W.partitionBy("site").orderBy("seg")
-    segs = checkpoint(
-        d.select("site", "seg").distinct().withColumn("next", F.lead("seg").over(order))
-    )
+    # segments are ranks: the row number of a site's arrivals, so their number is no number of partitions
+    d = running_row_number(d, ["site"], [F.col("seq")], "rank")
+    d = stored(d.withColumn("seg", F.floor((F.col("rank") - 1) / segment_rows).cast("int")).drop("rank"), "duplicates-input")
+    segs = d.groupBy("site").agg(F.max("seg").alias("most"))
+    segs = checkpoint(segs.select("site", F.explode(F.sequence(F.lit(0), F.col("most"))).alias("seg"), "most"))
+    segs = segs.select("site", "seg", F.when(F.col("seg") < F.col("most"), F.col("seg") + 1).alias("next"))
     texts = d.select("site", "seg", "fp").distinct()
     spark = docs.sparkSession
     state = spark.createDataFrame([], _STATE)
-    result, used, todo = None, None, segs.select("site", "seg")
+    result, used, todo, rounds = None, None, segs.select("site", "seg"), 0
     scan = _scan_segment(threshold, history)
     while True:
         part = d.join(todo, ["site", "seg"], "left_semi")
@@ -187,9 +186,12 @@ def greedy_duplicates(
         fresh = (
             part.groupBy("site", "seg").cogroup(incoming.groupBy("site", "seg")).applyInPandas(scan, _OUT)
         )
-        if result is not None:
-            fresh = result.join(todo, ["site", "seg"], "left_anti").unionByName(fresh)
-        result, used = checkpoint(fresh), state
+        # only scanned segments are written; earlier rounds stay where they are
+        fresh = checkpoint(fresh)
+        result = fresh if result is None else result.join(todo, ["site", "seg"], "left_anti").unionByName(fresh)
+        used, rounds = state, rounds + 1
+        if rounds % 8 == 0:
+            result = checkpoint(result)
         # what each segment should have seen: its predecessor's fingerprints ...
         handed = result.filter(F.col("pos").isNotNull()).join(
             segs.filter(F.col("next").isNotNull()), ["site", "seg"]
@@ -215,33 +217,91 @@ def greedy_duplicates(
     )
 
 
-def similar_texts(texts: DataFrame, threshold: float) -> DataFrame:
-    """(site, a, b, score) with ``a < b``: nodes whose word sets have a Jaccard of at least ``threshold``, above 0.
+def prefix_rows(texts: DataFrame, threshold: float) -> DataFrame:
+    """(site, t, node, n, keys): a row for each word under which a node of ``texts`` (site, node, tokens) can meet similar ones.
 
-    ``texts`` has (site, node, tokens).  Prefix filter over words ordered rarest first: similar sets share
-    one of their first ``n - ceil(threshold n) + 1`` words, so common words never become join keys.
-    Sets travel once more to verify the candidates.
+    Prefix filter over words ordered rarest first: similar sets share one of their first
+    ``n - ceil(threshold n) + 1`` words, so common words never become join keys.  ``keys`` are all of them.
     """
-    n = F.size("tokens")
-    sized = texts.filter(n > 0)
-    seen = sized.select("site", "node", F.explode("tokens").alias("t"))
+    seen = texts.filter(F.size("tokens") > 0).select("site", "node", F.explode("tokens").alias("t"))
     often = seen.groupBy("t").agg(F.count("*").alias("df"))
     ranked = seen.join(often, "t").groupBy("site", "node").agg(F.array_sort(F.collect_list(F.struct("df", "t"))).alias("r"))
     size = F.size("r")
-    keep = size - F.ceil(F.lit(threshold) * size - 1e-9).cast("int") + 1
-    prefix = ranked.select("site", "node", size.alias("n"), F.explode(F.slice("r", F.lit(1), F.least(keep, size))).alias("p"))
-    prefix = prefix.select("site", "node", "n", F.col("p.t").alias("t"))
-    a, b = prefix.alias("a"), prefix.alias("b")
+    keep = F.least(size - F.ceil(F.lit(threshold) * size - 1e-9).cast("int") + 1, size)
+    rows = ranked.select("site", "node", size.alias("n"), F.transform(F.slice("r", F.lit(1), keep), lambda x: x["t"]).alias("keys"))
+    return rows.select("site", F.explode("keys").alias("t"), "node", "n", "keys")
+
+
+def _similar(left: DataFrame, right: DataFrame, sets: DataFrame, threshold: float, earlier: bool = True) -> DataFrame:
+    """(site, a, b, score): nodes of two sets of prefix rows that are similar; ``earlier``: only pairs with a < b.
+
+    A pair meets under its first common word only, so it is found once.  Sets travel to verify what meets.
+    """
+    a, b = left.alias("a"), right.alias("b")
     near = (F.col("a.n") >= threshold * F.col("b.n") - 1e-9) & (F.col("b.n") >= threshold * F.col("a.n") - 1e-9)
-    same = (F.col("a.site") == F.col("b.site")) & (F.col("a.t") == F.col("b.t"))
-    pairs = a.join(b, same & (F.col("a.node") < F.col("b.node")) & near)
-    pairs = pairs.select(F.col("a.site").alias("site"), F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
-    sets = sized.select("site", "node", "tokens")
-    pairs = pairs.join(sets.select("site", F.col("node").alias("a"), F.col("tokens").alias("ta")), ["site", "a"])
-    pairs = pairs.join(sets.select("site", F.col("node").alias("b"), F.col("tokens").alias("tb")), ["site", "b"])
+    order = F.col("a.node") < F.col("b.node") if earlier else F.col("a.node") != F.col("b.node")
+    once = F.get(F.array_intersect("a.keys", "b.keys"), F.lit(0)) == F.col("a.t")
+    met = a.join(b, (F.col("a.site") == F.col("b.site")) & (F.col("a.t") == F.col("b.t")) & order & near & once)
+    met = met.select(F.col("a.site").alias("site"), F.col("a.node").alias("a"), F.col("b.node").alias("b"))
+    met = met.join(sets.select("site", F.col("node").alias("a"), F.col("tokens").alias("ta")), ["site", "a"])
+    met = met.join(sets.select("site", F.col("node").alias("b"), F.col("tokens").alias("tb")), ["site", "b"])
     common = F.size(F.array_intersect("ta", "tb"))
     score = common / (F.size("ta") + F.size("tb") - common)
-    return pairs.select("site", "a", "b", score.alias("score")).filter((F.col("score") >= threshold) & (F.col("score") > 0))
+    return met.select("site", "a", "b", score.alias("score")).filter((F.col("score") >= threshold) & (F.col("score") > 0))
+
+
+def _settled(edges: DataFrame, ready: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted, dropped) nodes (site, node) that the edges (site, a, b) among open nodes decide.
+
+    ``ready`` nodes know all their earlier neighbours.  A ready node is accepted once all earlier
+    neighbours are dropped, and a node is dropped once one is accepted; round by round, open edges only.
+    """
+    open_edges = edges.select("site", "a", "b")
+    accepted = dropped = None
+    waiting = ready
+    while True:
+        later = open_edges.select("site", F.col("b").alias("node")).distinct()
+        free = checkpoint(waiting.join(later, ["site", "node"], "left_anti"))
+        accepted = free if accepted is None else accepted.unionByName(free)
+        own = free.withColumnRenamed("node", "a")
+        gone = checkpoint(open_edges.join(own, ["site", "a"], "left_semi").select("site", F.col("b").alias("node")).distinct())
+        dropped = gone if dropped is None else dropped.unionByName(gone)
+        if gone.isEmpty():
+            return checkpoint(accepted), checkpoint(dropped)
+        waiting = checkpoint(waiting.join(free, ["site", "node"], "left_anti").join(gone, ["site", "node"], "left_anti"))
+        rest = open_edges.join(own, ["site", "a"], "left_anti")
+        rest = rest.join(gone.withColumnRenamed("node", "b"), ["site", "b"], "left_anti")
+        open_edges = checkpoint(rest.join(gone.withColumnRenamed("node", "a"), ["site", "a"], "left_anti"))
+
+
+def greedy_representatives(
+    prefixes: DataFrame, sets: DataFrame, threshold: float, leaders: int = 256, most_leaders: int = 4096
+) -> DataFrame:
+    """Arrival-ordered choice: the nodes (site, node) that are similar to an accepted earlier node.
+
+    ``prefixes`` comes from ``prefix_rows``, ``sets`` has (site, node, tokens).  Under each prefix word only
+    the first ``leaders`` open nodes are compared with one another.  A node that is a leader under all its words knows
+    all its earlier neighbours and can be decided.  Only what was newly accepted is then compared with the rest
+    of its words' nodes, and what is similar is dropped.  So a site of near copies costs a comparison with its
+    representatives, never all its pairs.  Where the nodes under a hot word are all different, more leaders are
+    taken each round (up to ``most_leaders``).
+    """
+    todo, names, all_dropped = prefixes, ["site", "node"], []
+    while True:
+        first = stored(top_per_key(todo, ["site", "t"], [F.col("node")], leaders).drop("rn"), "duplicates-leaders")
+        ready = first.groupBy(*names).agg(F.count("*").alias("c"), F.first(F.size("keys")).alias("k")).filter("c = k")
+        accepted, dropped = _settled(checkpoint(_similar(first, first, sets, threshold)), ready.select(*names))
+        rest = todo.join(first.select("site", "t", "node"), ["site", "t", "node"], "left_anti").join(dropped, names, "left_anti")
+        rest = checkpoint(rest)
+        if not rest.isEmpty():
+            more = _similar(first.join(accepted, names, "left_semi"), rest, sets, threshold)
+            dropped = checkpoint(dropped.unionByName(more.select("site", F.col("b").alias("node"))).distinct())
+        all_dropped.append(dropped)
+        left = todo.join(accepted, names, "left_anti").join(dropped, names, "left_anti")
+        left = stored(left, "duplicates-prefixes")
+        if left.isEmpty():
+            return reduce(DataFrame.unionByName, all_dropped)
+        todo, leaders = left, min(2 * leaders, most_leaders)
 
 
 def all_duplicates(
@@ -249,44 +309,37 @@ def all_duplicates(
 ) -> DataFrame:
     """Arrival-ordered duplicate decision over whole texts and all earlier documents of a site.
 
-    The rule of ``greedy_duplicates`` without its limits.  Equal texts are one node of a graph, and only
-    similar nodes are joined by an edge, so what is decided in order is that sparse graph: a node
-    is accepted once all earlier neighbours are dropped, and dropped once one is accepted.  Each
-    round decides every node whose earlier neighbours are decided and keeps the open edges only.
+    The rule of ``greedy_duplicates`` without its limits.  Equal texts are one node, named by its first
+    arrival; ``greedy_representatives`` decides which nodes stay.  The address and score shown for a dropped document are
+    those of the most similar accepted one before it, the earlier of equals: a minimum, not a list.
     """
     d = docs.select(
         F.col(site).cast("string").alias("site"), F.col(seq).cast("long").alias("seq"), F.col(url).alias("url"),
         content_sha1(markdown).alias("fp"), content_tokens(markdown).alias("tokens"),
     )
-    texts = checkpoint(d.groupBy("site", "fp").agg(F.min("seq").alias("node"), F.min_by("url", "seq").alias("first_url"), F.first("tokens").alias("tokens")))
-    none = texts.select("site", F.col("node").alias("a"), F.col("node").alias("b"), F.lit(0.0).alias("score")).limit(0)
-    edges = checkpoint(similar_texts(texts.select("site", "node", "tokens"), threshold) if threshold < 1.0 else none)
-    open_edges, dropped = edges.select("site", "a", "b"), None
-    while True:
-        # earliest open nodes: they have edges, none of them from an earlier open node
-        later = open_edges.select("site", F.col("b").alias("a")).distinct()
-        free = open_edges.select("site", "a").distinct().join(later, ["site", "a"], "left_anti")
-        gone = checkpoint(open_edges.join(free, ["site", "a"], "left_semi").select("site", "b").distinct())
-        if gone.isEmpty():
-            break
-        dropped = gone if dropped is None else checkpoint(dropped.union(gone))
-        rest = open_edges.join(free, ["site", "a"], "left_anti")
-        rest = rest.join(gone, ["site", "b"], "left_anti").join(gone.select("site", F.col("b").alias("a")), ["site", "a"], "left_anti")
-        open_edges = checkpoint(rest.select("site", "a", "b"))
-    dropped = (edges.select("site", "b").limit(0) if dropped is None else dropped).select("site", F.col("b").alias("node"), F.lit(True).alias("gone"))
-    nodes = texts.join(dropped, ["site", "node"], "left").select("site", "fp", "node", "first_url", F.coalesce("gone", F.lit(False)).alias("gone"))
-    # accepted neighbours of dropped nodes, in either direction
-    both = edges.select("site", F.col("b").alias("node"), F.col("a").alias("other"), "score").union(
-        edges.select("site", F.col("a").alias("node"), F.col("b").alias("other"), "score"))
-    kept = nodes.filter(~F.col("gone")).select("site", F.col("node").alias("other"), F.col("first_url").alias("other_url"))
-    near = both.join(dropped.drop("gone"), ["site", "node"], "left_semi").join(kept, ["site", "other"])
-    near = near.groupBy("site", "node").agg(F.collect_list(F.struct((-F.col("score")).alias("s"), "other", "other_url")).alias("near"))
-    out = d.drop("tokens").join(nodes, ["site", "fp"]).join(near, ["site", "node"], "left")
-    best = F.array_min(F.filter("near", lambda x: x["other"] < F.col("seq")))
+    d = stored(d, "duplicates-input")
+    texts = stored(
+        d.groupBy("site", "fp").agg(
+            F.min("seq").alias("node"), F.min_by("url", "seq").alias("first_url"), F.first("tokens").alias("tokens")),
+        "duplicates-texts")
+    prefixes = stored(prefix_rows(texts, threshold), "duplicates-prefixes")
+    dropped = greedy_representatives(prefixes, texts, threshold) if threshold < 1.0 else texts.select("site", "node").limit(0)
+    dropped = dropped.withColumn("gone", F.lit(True))
+    nodes = checkpoint(
+        texts.join(dropped, ["site", "node"], "left").select("site", "fp", "node", "first_url", F.coalesce("gone", F.lit(False)).alias("gone")))
+    # dropped texts next to all accepted ones they are similar to; later copies also see what was accepted after the first
+    stay, gone = (prefixes.join(nodes.filter(x).select("site", "node"), ["site", "node"], "left_semi") for x in ("not gone", "gone"))
+    links = _similar(stay, gone, texts, threshold, earlier=False)
+    kept = nodes.filter(~F.col("gone")).select("site", F.col("node").alias("a"), F.col("first_url").alias("a_url"))
+    near = links.join(kept, ["site", "a"]).select("site", F.col("b").alias("node"), "a", "a_url", "score")
+    early = d.select("site", "seq", "fp").join(nodes.filter("gone").select("site", "fp", "node"), ["site", "fp"])
+    best = early.join(near, ["site", "node"]).filter(F.col("a") < F.col("seq")).groupBy("site", "seq").agg(
+        F.min(F.struct((-F.col("score")).alias("s"), "a", "a_url")).alias("best"))
+    out = d.drop("tokens").join(nodes, ["site", "fp"]).join(best, ["site", "seq"], "left")
     same = ~F.col("gone") & (F.col("url") != F.col("first_url"))
-    score = F.when(same, F.lit(1.0)).when(F.col("gone"), F.floor(-best["s"] * 10000 + 0.5) / 10000)
+    score = F.when(same, F.lit(1.0)).when(F.col("gone"), F.floor(-F.col("best.s") * 10000 + 0.5) / 10000)
     return out.select(
         F.col("site").alias(site), F.col("seq").alias(seq), "url", (~F.col("gone") & ~same).alias("accepted"),
         F.when(same, F.lit("identik")).when(F.col("gone"), F.lit("mirip")).alias("jenis"),
-        F.when(same, F.col("first_url")).when(F.col("gone"), best["other_url"]).alias("url_pertama"), score.alias("skor"),
+        F.when(same, F.col("first_url")).when(F.col("gone"), F.col("best.a_url")).alias("url_pertama"), score.alias("skor"),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -9,6 +11,10 @@ from pyspark.sql import functions as F
 from docloom.session import stored
 
 
+#: Rows of a slice at most, about: the number of slices follows the rows, not only the session's setting.
+SLICE_ROWS = 2_000_000
+
+
 def ordered_slices(
     df: DataFrame, keys: list[str], order: list[Column], slices: int | None = None, is_stored: bool = False
 ):
@@ -17,9 +23,11 @@ def ordered_slices(
     Slices are ordered, about equal in size, and split a hot key over many tasks.  The
     result is written, because slice numbers must not change when a task is retried.
     """
-    n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # range bounds come from a sample, a pass of its own: what lies above runs once
-    d = (df if is_stored else stored(df, "slices-input")).repartitionByRange(n, *[F.col(k) for k in keys], *order)
+    d = df if is_stored else stored(df, "slices-input")
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = slices or max(least, math.ceil(d.count() / SLICE_ROWS))
+    d = d.repartitionByRange(n, *[F.col(k) for k in keys], *order)
     return stored(d.withColumn("__slice", F.spark_partition_id()), "slices")
 
 
