@@ -68,14 +68,37 @@ def word_pointers(text: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     return start, length, np.searchsorted(offsets, start, side="right") - 1
 
 
+_KEEP = np.array([(1 << 64) - (1 << (64 - 8 * n)) for n in range(8)] + [(1 << 64) - 1], np.uint64)  # the first n bytes of a chunk
+
+
 def chunks(text: np.ndarray, start: np.ndarray, length: np.ndarray, depth: int) -> np.ndarray:
     """Bytes ``8 * depth`` to ``8 * depth + 8`` of words as big-endian numbers, zeros past the end; ``text`` has 8 spare bytes."""
-    rest = np.clip(length - 8 * depth, 0, 8)
-    at = np.where(rest > 0, start + 8 * depth, 0)
-    out = np.zeros(len(start), np.uint64)
-    for i in range(8):
-        out = (out << np.uint64(8)) | np.where(i < rest, text[at + i], 0).astype(np.uint64)
-    return out
+    rest = np.minimum(np.maximum(length - 8 * depth, 0), 8)
+    at = np.minimum(start + 8 * depth, len(text) - 8)
+    eight = np.lib.stride_tricks.sliding_window_view(text, 8)[at]
+    return eight.view(">u8").ravel().astype(np.uint64) & _KEEP[rest]
+
+
+def _sort_slice(text: np.ndarray, start: np.ndarray, length: np.ndarray, ids: np.ndarray, key: np.ndarray, depth: int) -> np.ndarray:
+    """A small slice chunk by chunk: all groups that are still equal look at their next chunks together."""
+    by = np.argsort(key, kind="stable")
+    ids, key = ids[by], key[by]
+    new = np.ones(len(ids), bool)
+    new[1:] = key[1:] != key[:-1]
+    while True:
+        depth += 1
+        group = np.cumsum(new) - 1
+        # groups of two and more with a word that goes on
+        first = np.flatnonzero(new)
+        goes_on = (np.maximum.reduceat(length[ids], first) > 8 * depth) & (np.diff(first, append=len(ids)) > 1)
+        at = np.flatnonzero(goes_on[group])
+        if not len(at):
+            return ids
+        part = ids[at]
+        key = chunks(text, start[part], length[part], depth)
+        by = np.lexsort((key, group[at]))
+        ids[at], key = part[by], key[by]
+        new[at[1:]] |= (key[1:] != key[:-1]) & (group[at[1:]] == group[at[:-1]])
 
 
 def sort_pointers(text: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -87,28 +110,19 @@ def sort_pointers(text: np.ndarray, start: np.ndarray, length: np.ndarray) -> np
         lo, hi, depth = todo.pop()
         ids = order[lo:hi]
         key = first[ids] if depth == 0 else chunks(text, start[ids], length[ids], depth)
-        more = 8 * (depth + 1)
         if hi - lo <= SMALL:
-            by = np.argsort(key, kind="stable")
-            ids, key = ids[by], key[by]
-            order[lo:hi] = ids
-            ends = np.append(np.flatnonzero(key[1:] != key[:-1]) + 1, hi - lo)
-            begins = np.append(0, ends[:-1])
-            many = ends - begins > 1
-            for b, e in zip(begins[many].tolist(), ends[many].tolist()):
-                if length[ids[b:e]].max() > more:
-                    todo.append((lo + b, lo + e, depth + 1))
+            order[lo:hi] = _sort_slice(text, start, length, ids, key, depth)
             continue
-        pivot = np.sort(key[:: max(1, (hi - lo) // 9)])[4]
-        less, more_than = key < pivot, key > pivot
-        same = ids[~(less | more_than)]
-        left, right = ids[less], ids[more_than]
+        pivot = np.sort(key[:: (hi - lo) // 9])[4]
+        less, more = key < pivot, key > pivot
+        same = ids[~(less | more)]
+        left, right = ids[less], ids[more]
         order[lo:hi] = np.concatenate([left, same, right])
         if len(left) > 1:
             todo.append((lo, lo + len(left), depth))
         if len(right) > 1:
             todo.append((hi - len(right), hi, depth))
-        if len(same) > 1 and length[same].max() > more:
+        if len(same) > 1 and length[same].max() > 8 * (depth + 1):
             todo.append((lo + len(left), hi - len(right), depth + 1))
     return order
 
@@ -140,12 +154,17 @@ def shard_runs(texts: list[bytes], groups: np.ndarray) -> tuple[list[bytes], np.
     new_doc = np.ones(len(run), bool)
     new_doc[1:] = (run[1:] != run[:-1]) | (doc[1:] != doc[:-1])
     width = int(groups.max()) + 1
-    cell, place = np.unique(run * width + groups[doc], return_inverse=True)
+    cell = run * width + groups[doc]
+    # runs are in order: only the groups inside a run are left to sort
+    by = np.lexsort((groups[doc], run)) if width > 1 else np.arange(len(run))
+    cell, new_doc = cell[by], new_doc[by]
+    edge = np.flatnonzero(np.diff(cell, prepend=-1))
     first = np.flatnonzero(np.diff(run, prepend=-1))
     raw = text.tobytes()
     words = [raw[s : s + n] for s, n in zip(start[first].tolist(), length[first].tolist())]
-    count = np.bincount(place, minlength=len(cell))
-    docs = np.bincount(place, weights=new_doc, minlength=len(cell)).astype(np.int64)
+    count = np.diff(edge, append=len(cell))
+    docs = np.add.reduceat(new_doc.astype(np.int64), edge)
+    cell = cell[edge]
     return words, cell // width, cell % width, count, docs
 
 
