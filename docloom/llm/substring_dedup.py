@@ -10,8 +10,8 @@ A byte goes if a string of ``window`` bytes that covers it also starts anywhere
 * Shards: the pieces of an anchor lie in one shard of about ``shard_bytes``.  Its suffix array and the
   permuted common prefixes (see suffix_array.py) give the runs of suffixes that share ``window`` bytes;
   windows of a run with two places or more are repeated.
-* An anchor in more than ``hot`` sent pieces (a passage that very many texts share, in changing company)
-  does not fit in one shard.  The windows of its distinct pieces are counted by their 128-bit hashes
+* An anchor with more than ``hot_bytes`` of sent pieces (a passage that very many texts share, in changing
+  company) does not fit in one shard.  The windows of its distinct pieces are counted by their 128-bit hashes
   instead, which Spark adds up before it shuffles.
 
 Texts travel compressed, once to be cut and once to be freed of the repeated spans.
@@ -36,13 +36,13 @@ from docloom.llm.suffix_array import permuted_common_prefixes, suffix_array
 
 @dataclass(frozen=True)
 class RepeatOptions:
-    """``window``: bytes of a repeated string; ``anchor``: bytes of an anchor; ``hot``: sent pieces of an
-    anchor up to which they meet in one shard; ``shard_bytes``: text of a shard; ``block_bytes``: text
-    that is hashed at once."""
+    """``window``: bytes of a repeated string; ``anchor``: bytes of an anchor; ``hot_bytes``: text of the
+    sent pieces of an anchor up to which they meet in one shard; ``shard_bytes``: text of a shard;
+    ``block_bytes``: text that is hashed at once."""
 
     window: int = 200
     anchor: int = 48
-    hot: int = 1000
+    hot_bytes: int = 2 << 20
     shard_bytes: int = 2 << 20
     block_bytes: int = 1 << 20
 
@@ -64,14 +64,14 @@ class Anchors:
         self.inverse = np.cumprod(np.full(n, pow(base, -1, 1 << 64), np.uint64))
         self.symbol = _mixed(np.arange(1, 257, dtype=np.uint64)) | np.uint64(1)
 
-    def pieces(self, text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """First window start, number of windows and anchor hash of each piece; ``ends`` cut the buffer into texts."""
+    def pieces(self, text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+        """First window start, number of windows, anchor hash and places of it for each piece; ``ends`` cut the buffer into texts."""
         n, k, w = len(text), self.k, self.window - self.k + 1
         none = np.zeros(0, np.int64)
         left = np.repeat(ends, np.diff(ends, prepend=0)) - np.arange(n)
         start = np.flatnonzero(left >= self.window)
         if not len(start):
-            return none, none, none.astype(np.uint64)
+            return none, none, none.astype(np.uint64), none
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(self.symbol[text] * self.power[:n], out=sums[1:])
         gram = _mixed((sums[k:] - sums[:-k]) * self.inverse[: n - k + 1])
@@ -84,11 +84,14 @@ class Anchors:
         ahead = np.minimum.accumulate(grid, axis=1).ravel()
         behind = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
         at = (np.minimum(behind[start], ahead[start + w - 1]) & np.uint64(0xFFFFFF)).astype(np.int64)
-        first = np.flatnonzero(np.append(True, (at[1:] != at[:-1]) | (start[1:] != start[:-1] + 1)))
-        return start[first], np.diff(np.append(first, len(start))), gram[at[first]]
+        hashes = gram[at]
+        # equal anchors in a row are one piece: a run of one character is no row per window
+        first = np.flatnonzero(np.append(True, (hashes[1:] != hashes[:-1]) | (start[1:] != start[:-1] + 1)))
+        places = np.add.reduceat(np.append(True, at[1:] != at[:-1]).astype(np.int64), first)
+        return start[first], np.diff(np.append(first, len(start))), hashes[first], places
 
 
-TEXTS = "tn long, doc_ids array<long>, n_bytes long, copies long, text binary, starts array<int>, windows array<int>, anchors array<long>"
+TEXTS = "tn long, doc_ids array<long>, n_bytes long, copies long, text binary, starts array<int>, windows array<int>, anchors array<long>, places array<int>"
 
 
 def _texts(options: RepeatOptions):
@@ -110,13 +113,13 @@ def _texts(options: RepeatOptions):
 
             def hashed():
                 ends = np.cumsum([len(x) for *_, x in held])
-                start, windows, gram = anchors.pieces(np.frombuffer(b"".join(x for *_, x in held), np.uint8), ends)
+                start, windows, gram, places = anchors.pieces(np.frombuffer(b"".join(x for *_, x in held), np.uint8), ends)
                 part = np.searchsorted(ends, start, side="right")
                 bound = np.searchsorted(part, np.arange(len(held) + 1))
                 for i, (t, offset, x) in enumerate(held):
                     a, b = bound[i], bound[i + 1]
                     if a < b:
-                        rows[t].append((start[a:b] - (ends[i] - len(x)) + offset, windows[a:b], gram[a:b]))
+                        rows[t].append((start[a:b] - (ends[i] - len(x)) + offset, windows[a:b], gram[a:b], places[a:b]))
 
             for t, text in enumerate(ids):
                 for offset in range(0, max(1, len(text) - options.window + 1), options.block_bytes):
@@ -128,17 +131,17 @@ def _texts(options: RepeatOptions):
                     total += len(part)
             if held:
                 hashed()
-            return [tuple(np.concatenate(x) for x in zip(*r)) if r else (np.zeros(0, np.int64),) * 3 for r in rows]
+            return [tuple(np.concatenate(x) for x in zip(*r)) if r else (np.zeros(0, np.int64),) * 4 for r in rows]
 
         def flush():
             nonlocal number
             found = cut()
-            names = ["tn", "doc_ids", "n_bytes", "copies", "text", "starts", "windows", "anchors"]
-            of = [r[0].astype(np.int32) for r in found], [r[1].astype(np.int32) for r in found], [r[2].astype(np.uint64).view(np.int64) for r in found]
+            names = ["tn", "doc_ids", "n_bytes", "copies", "text", "starts", "windows", "anchors", "places"]
+            of = [r[0].astype(np.int32) for r in found], [r[1].astype(np.int32) for r in found], [r[2].astype(np.uint64).view(np.int64) for r in found], [r[3].astype(np.int32) for r in found]
             columns = [
                 pa.array(np.arange(number, number + len(ids))), pa.array(list(ids.values()), pa.list_(pa.int64())), pa.array([len(t) for t in ids], pa.int64()),
                 pa.array([len(x) for x in ids.values()], pa.int64()), pa.array([pack.compress(t) for t in ids], pa.binary()),
-                pa.array(of[0], pa.list_(pa.int32())), pa.array(of[1], pa.list_(pa.int32())), pa.array(of[2], pa.list_(pa.int64())),
+                pa.array(of[0], pa.list_(pa.int32())), pa.array(of[1], pa.list_(pa.int32())), pa.array(of[2], pa.list_(pa.int64())), pa.array(of[3], pa.list_(pa.int32())),
             ]
             number += len(ids)
             return pa.RecordBatch.from_arrays(columns, names=names)
@@ -355,14 +358,14 @@ def without_repeats(docs: DataFrame, options: RepeatOptions = RepeatOptions()) -
     """
     d = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     texts = stored(d.mapInArrow(_texts(options), TEXTS), "repeats-texts")
-    rows = texts.select("tn", "copies", F.explode(F.arrays_zip("starts", "windows", "anchors")).alias("x"))
-    rows = rows.select("tn", "copies", "x.starts", "x.windows", F.col("x.anchors").alias("anchor"))
-    twice = rows.groupBy("anchor").agg(F.sum("copies").alias("c")).filter("c > 1").select("anchor")
-    found = rows.drop("copies").join(twice, "anchor").groupBy("tn").agg(F.collect_list(F.struct("starts", "windows", "anchor")).alias("found"))
+    rows = texts.select("tn", "copies", F.explode(F.arrays_zip("starts", "windows", "anchors", "places")).alias("x"))
+    rows = rows.select("tn", (F.col("copies") * F.col("x.places")).alias("times"), "x.starts", "x.windows", F.col("x.anchors").alias("anchor"))
+    twice = rows.groupBy("anchor").agg(F.sum("times").alias("c")).filter("c > 1").select("anchor")
+    found = rows.drop("times").join(twice, "anchor").groupBy("tn").agg(F.collect_list(F.struct("starts", "windows", "anchor")).alias("found"))
     cut = texts.select("tn", "copies", "text").join(found, "tn").select("tn", "copies", "text", "found")
     table = stored(cut.mapInArrow(_cut_pieces(options), PIECES), "repeats-pieces")
     pieces = table.filter("piece is not null").select("anchor", "p1", "p2", "n", "piece")
-    hot = stored(pieces.groupBy("anchor").count().filter(F.col("count") > options.hot).select("anchor"), "repeats-hot")
+    hot = stored(pieces.groupBy("anchor").agg(F.sum(F.length("piece")).alias("size")).filter(F.col("size") > options.hot_bytes).select("anchor"), "repeats-hot")
     some_hot = not hot.isEmpty()
     cool = pieces.join(hot, "anchor", "left_anti") if some_hot else pieces
     cool = cool.repartition("anchor").sortWithinPartitions("anchor", "p1", "p2")

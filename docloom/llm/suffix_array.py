@@ -2,18 +2,15 @@
 
 Suffixes are S-type (smaller than the next suffix) or L-type.  Leftmost S-type places are sorted by the
 substrings between them, recursively if two of these are equal; all other suffixes follow by two scans,
-each of which places a suffix when the next longer text position is known.  The scans go bucket by
-bucket (one first symbol each): inside a bucket the suffixes that start a run of the same symbol follow
-from their run lengths, so no step looks at a single suffix.  Where buckets are many and small, as in the
-recursion, the same scans run as plain loops.  Both are linear in the length of the text.
+each of which places a suffix when the next longer text position is known.  A scan handles many suffixes
+at once: those of one bucket (one first symbol), or of neighbouring small buckets that do not lead into
+one another.  No step looks at a single suffix, and each suffix is placed once a scan.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-FEW = 64  # suffixes of a bucket, on average, from which scans by bucket pay
-
 
 def _types(t: np.ndarray) -> np.ndarray:
     """True where the suffix is S-type; the end of the text is smaller than any symbol."""
@@ -24,110 +21,127 @@ def _types(t: np.ndarray) -> np.ndarray:
     return np.repeat(np.append(rising, False), lengths)
 
 
+_COUNTING = np.arange(1 << 14)
+STEP = 1.5  # suffixes of a step, times the root of the length
+
+
 def _spread(entries: np.ndarray, t: np.ndarray, sa: np.ndarray, at: np.ndarray, back: bool) -> None:
     """Append entries to the buckets of their symbols, in order; ``at`` holds the next free place of each."""
     if not len(entries):
         return
     symbol = t[entries]
-    by = np.argsort(symbol, kind="stable")
+    by = symbol.argsort(kind="stable")
     entries, symbol = entries[by], symbol[by]
-    first = np.flatnonzero(np.append(True, symbol[1:] != symbol[:-1]))
-    count = np.diff(np.append(first, len(symbol)))
-    rank = np.arange(len(symbol)) - np.repeat(first, count)
+    new = np.empty(len(symbol), bool)
+    new[0] = True
+    np.not_equal(symbol[1:], symbol[:-1], out=new[1:])
+    first = new.nonzero()[0]
+    count = np.empty_like(first)
+    np.subtract(first[1:], first[:-1], out=count[:-1])
+    count[-1] = len(symbol) - first[-1]
+    which, rank = symbol[first], _COUNTING[: len(symbol)] if len(symbol) <= len(_COUNTING) else np.arange(len(symbol))
     if back:
-        sa[at[symbol] - rank] = entries
-        at[symbol[first]] -= count
+        sa[(at[which] + first).repeat(count) - rank] = entries
+        at[which] -= count
     else:
-        sa[at[symbol] + rank] = entries
-        at[symbol[first]] += count
+        sa[(at[which] - first).repeat(count) + rank] = entries
+        at[which] += count
 
 
 def _chains(last: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """From last places of runs: all places of the runs, nearest to the end first; and which start a run."""
     lengths = run[last]
-    if lengths.max(initial=1) == 1:
+    if not len(lengths) or lengths.max() == 1:
         return last, np.ones(len(last), bool)
     step = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     by = np.argsort(step, kind="stable")
     return (np.repeat(last, lengths) - step)[by], (step == np.repeat(lengths, lengths) - 1)[by]
 
 
-def _induce_by_bucket(t: np.ndarray, s_type: np.ndarray, seeds: np.ndarray, k: int) -> np.ndarray:
-    n = len(t)
+def _places(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All places of the ranges ``begin`` to ``end``, range by range."""
+    count = end - begin
+    ends = count.cumsum()
+    total = int(ends[-1])
+    return (_COUNTING[:total] if total <= len(_COUNTING) else np.arange(total)) + (begin - ends + count).repeat(count)
+
+
+def _induce(t: np.ndarray, s_type: np.ndarray, seeds: np.ndarray, k: int) -> np.ndarray:
+    """All suffixes in order, from ``seeds``: leftmost S-type places, bucket by bucket and in order inside each.
+
+    A step takes neighbouring buckets of about 1.5 sqrt(n) suffixes.  Should one of them lead into a bucket of the
+    same step, the step ends before that bucket; runs of one symbol lead into their own bucket and are
+    written out from their lengths.
+    """
+    n, seeds = len(t), seeds.astype(np.int32)
     starts = np.flatnonzero(np.append(True, t[1:] != t[:-1]))
     run = np.arange(n, dtype=np.int32) - np.repeat(starts, np.diff(np.append(starts, n))).astype(np.int32) + 1
-    size = np.bincount(t, minlength=k)
-    begin = np.concatenate([[0], np.cumsum(size)])
-    l_count = np.bincount(t[~s_type], minlength=k)
-    used = np.flatnonzero(size)
+    begin = np.concatenate([[0], np.cumsum(np.bincount(t, minlength=k))])
+    l_end = begin[:-1] + np.bincount(t[~s_type], minlength=k)
+    step = max(64, int(STEP * n**0.5))
+    l_type = ~s_type
     sa = np.empty(n, np.int32)
-    seed_symbol = t[seeds]
-    seed_at = np.searchsorted(seed_symbol, np.arange(k + 1))
+    seed_at = np.searchsorted(t[seeds], np.arange(k + 1))
     head = begin[:-1].copy()
     _spread(np.array([n - 1], np.int32), t, sa, head, False)
-    for c in used.tolist():
+    c = 0
+    while c < k:
+        z = max(c + 1, int(np.searchsorted(begin, begin[c] + step, side="right")) - 1)  # buckets c to z - 1
+        if z > c + 1:
+            own = sa[_places(begin[c:z], head[c:z])]
+            both = np.concatenate([own, seeds[seed_at[c] : seed_at[z]]])
+            symbol = t[both]
+            by = symbol.argsort(kind="stable")
+            left = both[by] - 1
+            ok = l_type[left] & (left >= 0)
+            left = left[ok]
+            stop = int(t[left].min()) if len(left) else z
+            if stop > c:
+                if stop < z:
+                    left = left[symbol[by][ok] < stop]
+                _spread(left, t, sa, head, False)
+                c = min(stop, z)
+                continue
         lo = begin[c]
         chain, first = _chains(sa[lo : head[c]], run)
         sa[lo : lo + len(chain)] = chain
         head[c] = lo + len(chain)
-        seed = seeds[seed_at[c] : seed_at[c + 1]]
-        left = np.concatenate([chain[first], seed]) - 1
+        left = np.concatenate([chain[first], seeds[seed_at[c] : seed_at[c + 1]]]) - 1
         left = left[left >= 0]
         _spread(left[~s_type[left]], t, sa, head, False)
+        c += 1
     tail = begin[1:] - 1
-    for c in used[::-1].tolist():
+    c = k - 1
+    while c >= 0:
+        z = min(c - 1, int(np.searchsorted(begin, begin[c + 1] - step, side="left")) - 1)  # buckets c down to z + 1
+        if z < c - 1:
+            # from the back: S-type places of a bucket, then its L-type ones
+            places = _places(np.column_stack([begin[z + 1 : c + 1], tail[z + 1 : c + 1] + 1]).ravel(), np.column_stack([l_end[z + 1 : c + 1], begin[z + 2 : c + 2]]).ravel())
+            both = sa[places[::-1]]
+            left = both - 1
+            ok = s_type[left]  # the last place of a text is L-type, so -1 is never taken
+            left, both = left[ok], both[ok]
+            ok = t[left] <= t[both]
+            left, both = left[ok], both[ok]
+            stop = int(t[left].max()) if len(left) else z
+            if stop < c:
+                if stop > z:
+                    left = left[t[both] > stop]
+                _spread(left, t, sa, tail, True)
+                c = max(stop, z)
+                continue
         hi = begin[c + 1] - 1
         chain, first = _chains(sa[tail[c] + 1 : hi + 1][::-1], run)
         sa[hi + 1 - len(chain) : hi + 1] = chain[::-1]
         tail[c] = hi - len(chain)
-        left = np.concatenate([chain[first], sa[begin[c] : begin[c] + l_count[c]][::-1]]) - 1
+        left = np.concatenate([chain[first], sa[begin[c] : l_end[c]][::-1]]) - 1
         left = left[left >= 0]
         # an L-type suffix of this bucket is preceded by an S-type one only across a smaller symbol
         _spread(left[s_type[left] & (t[left] < c)], t, sa, tail, True)
+        c -= 1
     return sa
 
 
-def _induce_by_loop(t: np.ndarray, s_type: np.ndarray, seeds: np.ndarray, k: int) -> np.ndarray:
-    n = len(t)
-    text, small = t.tolist(), s_type.tolist()
-    begin = np.concatenate([[0], np.cumsum(np.bincount(t, minlength=k))])
-    sa = [-1] * n
-    place = begin[1:] - 1
-    symbol = t[seeds]
-    count = np.bincount(symbol, minlength=k)
-    first = np.cumsum(count) - count
-    at = (place[symbol] - count[symbol] + 1 + np.arange(len(seeds)) - first[symbol]).tolist()
-    for a, s in zip(at, seeds.tolist()):
-        sa[a] = s
-    head = begin[:-1].tolist()
-    j = n - 1
-    c = text[j]
-    sa[head[c]] = j
-    head[c] += 1
-    for j in sa:  # the list is read while it is filled, always ahead of the reader
-        if j > 0:
-            j -= 1
-            if not small[j]:
-                c = text[j]
-                sa[head[c]] = j
-                head[c] += 1
-    tail = (begin[1:] - 1).tolist()
-    for i in range(n - 1, -1, -1):
-        j = sa[i]
-        if j > 0:
-            j -= 1
-            if small[j]:
-                c = text[j]
-                sa[tail[c]] = j
-                tail[c] -= 1
-    return np.array(sa, np.int32)
-
-
-def _induce(t, s_type, seeds, k):
-    seeds = seeds.astype(np.int32)
-    return (_induce_by_bucket if len(t) >= FEW * k else _induce_by_loop)(t, s_type, seeds, k)
-
-
 def _same_next(t: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Whether the ``length`` symbols at ``a`` and ``b`` agree, pair by pair."""
     same = np.ones(len(a), bool)
@@ -181,19 +195,19 @@ def permuted_common_prefixes(text: np.ndarray, sa: np.ndarray) -> np.ndarray:
     """
     n = len(text)
     if not n:
-        return np.zeros(0, np.int64)
-    before = np.full(n, -1, np.int64)
+        return np.zeros(0, np.int32)
+    before = np.full(n, -1, np.int32)
     before[sa[1:]] = sa[:-1]
-    i = np.arange(n)
+    i = np.arange(n, dtype=np.int32)
     told = (i > 0) & (before > 0)
     told[told] = text[i[told] - 1] == text[before[told] - 1]
     told[1:] &= before[:-1] >= 0
     wide = np.zeros(n + 16, np.uint8)
     wide[:n] = text
     eight = np.lib.stride_tricks.sliding_window_view(wide, 8)
-    out = np.zeros(n, np.int64)
+    out = np.zeros(n, np.int32)
     todo = np.flatnonzero(~told & (before >= 0))
-    x, y = todo.copy(), before[todo]
+    x, y = todo.copy(), before[todo].astype(np.int64)
     while len(todo):
         left = np.ascontiguousarray(eight[x]).view("<u8").ravel() ^ np.ascontiguousarray(eight[y]).view("<u8").ravel()
         # lowest set byte: trailing zero bits over eight
@@ -202,5 +216,5 @@ def permuted_common_prefixes(text: np.ndarray, sa: np.ndarray) -> np.ndarray:
         out[todo] += same
         go = (same == 8) & (np.maximum(x, y) + 8 < n)
         todo, x, y = todo[go], x[go] + 8, y[go] + 8
-    last = np.maximum.accumulate(np.where(told, -1, i))
+    last = np.maximum.accumulate(np.where(told, np.int32(-1), i))
     return np.maximum(out[last] - (i - last), 0)
