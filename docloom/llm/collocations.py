@@ -12,9 +12,9 @@ blocks of text are merged entry by entry.  One merged structure answers everythi
 No phrase can be frequent unless both its parts are, so each level looks only at places where two
 frequent phrases meet, and nothing is lost.
 
-Scale: a block of text is one row (numbers of the phrase at each place).  A block sends its own stripes, cut
-into slices of ``slice`` neighbouring numbers; merging streams over rows sorted by (prefix, slice), so a
-stripe of a common word lies in many slices and no task holds a stripe whole.  What is frequent goes back
+Scale: a block of text is one row (numbers of the phrase at each place).  A block sends its own stripes; the
+stripe of a phrase that occurs more than ``slice`` times is cut into slices by the follower, so a stripe of a
+common word lies in many slices and no task holds it whole.  Merging streams over rows sorted by (prefix, slice).  What is frequent goes back
 only to blocks that have it, by a join on (prefix, slice) and a grouping by block.  Nothing is broadcast.
 """
 
@@ -37,13 +37,13 @@ from docloom.operators.skew import top_per_key
 @dataclass(frozen=True)
 class PhraseOptions:
     """``words``: longest phrase; ``min_count``: least frequency; ``top``: phrases of a language;
-    ``block_bytes``: text of a block; ``slice``: phrase numbers of a slice of a stripe."""
+    ``block_bytes``: text of a block; ``slice``: occurrences of a slice of a stripe."""
 
     words: int = 5
     min_count: int = 100
     top: int = 2000
     block_bytes: int = 8 << 20
-    slice: int = 4096
+    slice: int = 1 << 16
 
 
 _CUT = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
@@ -51,6 +51,18 @@ NONE = -1  # no frequent phrase starts here, or a piece ends here
 BLOCKS = "block long, langs array<string>, lang array<int>, words array<binary>, counts array<long>, places binary"
 
 
+def _new_numbers(first: int, count: np.ndarray, options: PhraseOptions) -> np.ndarray:
+    """Numbers for phrases with these counts: the power of two of their slices, then the task, then a running number."""
+    power = np.maximum(0, np.ceil(np.log2(np.maximum(count, 1) / options.slice))).astype(np.int64)
+    return (power << 56) | np.arange(first, first + len(count))
+
+
+def _slice_of(prefix: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Slice of a follower in the stripe of a prefix."""
+    mixed = after.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(32)) & ((np.uint64(1) << (prefix >> 56).astype(np.uint64)) - np.uint64(1))).astype(np.int64)
+
+
 def _packed(x: np.ndarray) -> bytes:
     return zlib.compress(np.ascontiguousarray(x).tobytes(), 1)
 
@@ -131,7 +143,9 @@ def _stripes(options: PhraseOptions):
                 if not len(pair):
                     continue
                 prefix, after = ids[pair // len(ids)], ids[pair % len(ids)]
-                part = after // options.slice
+                part = _slice_of(prefix, after)
+                by = np.lexsort((part, prefix))
+                prefix, after, part, count = prefix[by], after[by], part[by], count[by]
                 first = np.flatnonzero(np.append(True, (prefix[1:] != prefix[:-1]) | (part[1:] != part[:-1])))
                 ends = pa.array(np.append(first, len(pair)), pa.int32())
                 for lo in range(0, len(first), 1 << 15):
@@ -154,7 +168,7 @@ def _flat(b: pa.RecordBatch, names: list[str]) -> tuple[np.ndarray, list[np.ndar
     return np.repeat(np.arange(b.num_rows), lengths), [x.flatten().to_numpy() for x in lists]
 
 
-def _merged(min_count: int):
+def _merged(options: PhraseOptions):
     """Stripes sorted by prefix and slice, to the frequent phrases: prefix, follower, count and a new number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,8 +187,8 @@ def _merged(min_count: int):
 
         def emit(x: np.ndarray):
             nonlocal number
-            x = x[x[:, 3] >= min_count]
-            ids = np.arange(number, number + len(x))
+            x = x[x[:, 3] >= options.min_count]
+            ids = _new_numbers(number, x[:, 3], options)
             number += len(x)
             return pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1]), pa.array(x[:, 2]), pa.array(x[:, 3]), pa.array(ids)], names=["prefix", "slice", "suffix", "c", "id"])
 
@@ -197,12 +211,19 @@ def _merged(min_count: int):
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A block's slice of a stripe next to the frequent entries of that slice: those that the block has."""
     for b in batches:
-        for block, prefix, own, frequent, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3), b.column(4)):
-            own, frequent, ids = own.values.to_numpy(), frequent.values.to_numpy(), ids.values.to_numpy()
-            here = np.isin(frequent, own)
-            if here.any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block]), pa.array([prefix]), pa.array([frequent[here]], pa.list_(pa.int64())), pa.array([ids[here]], pa.list_(pa.int64()))], names=["block", "prefix", "next", "ids"])
+        if not b.num_rows:
+            continue
+        own_row, (own,) = _flat(b, ["own"])
+        row, (frequent, ids) = _flat(b, ["frequent", "ids"])
+        known, code = np.unique(np.concatenate([own, frequent]), return_inverse=True)
+        own_key, key = own_row * len(known) + code[: len(own)], row * len(known) + code[len(own) :]
+        here = _find(np.sort(own_key), key) >= 0
+        count = np.bincount(row[here], minlength=b.num_rows)
+        some = np.flatnonzero(count)
+        ends = pa.array(np.append(0, np.cumsum(count[some])), pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0).take(pa.array(some)), b.column(1).take(pa.array(some)), pa.ListArray.from_arrays(ends, pa.array(frequent[here])), pa.ListArray.from_arrays(ends, pa.array(ids[here]))],
+            names=["block", "prefix", "next", "ids"])
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -248,13 +269,17 @@ def _word_places(key, blocks: pa.Table, words: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["block", "places"])
 
 
-def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyspark import TaskContext
+def _numbered(options: PhraseOptions):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
 
-    number = TaskContext.get().partitionId() << 40
-    for b in batches:
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.arange(number, number + b.num_rows))], names=["lang", "word", "c", "id"])
-        number += b.num_rows
+        number = TaskContext.get().partitionId() << 40
+        for b in batches:
+            ids = _new_numbers(number, b.column(2).to_numpy(), options)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids)], names=["lang", "word", "c", "id"])
+            number += b.num_rows
+
+    return run
 
 
 def frequent_phrases(docs: DataFrame, options: PhraseOptions = PhraseOptions()) -> tuple[DataFrame, DataFrame]:
@@ -271,7 +296,7 @@ def frequent_phrases(docs: DataFrame, options: PhraseOptions = PhraseOptions())
     counted = stored(words.groupBy("lang", "word").agg(F.sum("c").alias("c")), "phrases-words")
     n = counted.groupBy("lang").agg(F.sum("c").alias("n"))
     frequent = counted.filter(F.col("c") >= options.min_count).select("lang", "word", "c")
-    frequent = stored(frequent.mapInArrow(_numbered, "lang string, word binary, c long, id long"), "phrases-frequent")
+    frequent = stored(frequent.mapInArrow(_numbered(options), "lang string, word binary, c long, id long"), "phrases-frequent")
     mine = words.select("block", "own", "lang", "word").join(frequent.select("lang", "word", "id"), ["lang", "word"]).select(F.col("block").alias("of"), "own", "id")
     places = blocks.select("block", "places").groupBy("block").cogroup(mine.groupBy("of")).applyInArrow(_word_places, "block long, places binary")
     word = F.col("word").cast("string")
@@ -282,7 +307,7 @@ def frequent_phrases(docs: DataFrame, options: PhraseOptions = PhraseOptions())
         stripes = stored(places.mapInArrow(_stripes(options), STRIPES), f"phrases-stripes{m}")
         # a slice lies in one task, which reads it row by row
         rows = stripes.select("prefix", "slice", "next", "count").repartition("prefix", "slice").sortWithinPartitions("prefix", "slice")
-        found = stored(rows.mapInArrow(_merged(options.min_count), "prefix long, slice long, suffix long, c long, id long"), f"phrases-merged{m}")
+        found = stored(rows.mapInArrow(_merged(options), "prefix long, slice long, suffix long, c long, id long"), f"phrases-merged{m}")
         covers += [found.select(F.col("prefix").alias("id"), "c", F.lit(m - 1).alias("m")), found.select(F.col("suffix").alias("id"), "c", F.lit(m - 1).alias("m"))]
         head = level.select(F.col("id").alias("prefix"), "lang", F.col("phrase").alias("begin"), "heads")
         tail = level.select(F.col("id").alias("suffix"), "last", "tails")
