@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.operators.skew import running_row_number
-from docloom.session import checkpoint
+from docloom.session import checkpoint, stored
 
 
 def breadth_first(
@@ -62,3 +65,52 @@ def open_hosts(links: DataFrame, host: str, seq: str, max_hosts: int) -> DataFra
     first = links.groupBy(host).agg(F.min(seq).alias("pertama"), F.count("*").alias("tautan"))
     ranked = first.orderBy("pertama", host)
     return ranked.limit(max_hosts) if max_hosts > 0 else ranked
+
+
+def crawl_within_budget(
+    seeds: DataFrame, edges: DataFrame, site_budget: int, run_budget: int = 0, max_depth: int = -1, buckets: int | None = None
+) -> DataFrame:
+    """(url, site, depth, diambil): breadth-first rounds that stop where the page budget is spent.
+
+    ``seeds`` (url, site); ``edges`` (src, dst, site) with the site of ``dst``.  In each round a site takes new
+    addresses in order of address until it has ``site_budget`` pages, and all sites together until
+    ``run_budget`` (0: no limit).  Only taken pages are expanded.  Addresses met beyond the budget are in the
+    result with ``diambil`` false, at the depth where they were first met.
+
+    What was met is a table hashed by address into buckets once, to which rounds append: a round shuffles its own new
+    addresses, never the visited ones.
+    """
+    spark = seeds.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    e = stored(edges.select("src", "dst", F.col("site").alias("to")).distinct(), "crawl-edges")
+    name, met = f"docloom_visited_{uuid.uuid4().hex}", seeds.select("url", "site").dropDuplicates(["url"])
+    pages = spark.createDataFrame([], "site string, n long")
+    parts, depth, spent = [], 0, 0
+    try:
+        while True:
+            new = met if depth == 0 else met.join(spark.table(name).select("url"), "url", "left_anti")
+            new = stored(new, "crawl-met")
+            # ranked in two levels; a hot site is no single task
+            ranked = running_row_number(new, ["site"], [F.col("url")], "rn").join(pages, "site", "left")
+            ranked = ranked.withColumn("ok", (F.col("rn") + F.coalesce("n", F.lit(0)) <= site_budget) if site_budget > 0 else F.lit(True))
+            if run_budget > 0:
+                ranked = stored(ranked.withColumn("late", F.when(F.col("ok"), 0).otherwise(1)).withColumn("one", F.lit(1)), "crawl-ranked")
+                ranked = running_row_number(ranked, ["one"], [F.col("late"), F.col("url")], "all")
+                ranked = ranked.withColumn("ok", F.col("ok") & (F.col("all") + spent <= run_budget))
+            done = stored(ranked.select("url", "site", F.lit(depth).alias("depth"), F.col("ok").alias("diambil")), "crawl-round")
+            parts.append(done)
+            done.select("url").write.bucketBy(n, "url").mode("append").format("parquet").saveAsTable(name)
+            taken = done.filter("diambil")
+            spent += taken.count()
+            pages = checkpoint(pages.unionByName(taken.groupBy("site").agg(F.count("*").alias("n"))).groupBy("site").agg(F.sum("n").alias("n")))
+            depth += 1
+            met = taken.select(F.col("url").alias("src")).join(e, "src").groupBy(F.col("dst").alias("url")).agg(F.min("to").alias("site"))
+            if (0 <= max_depth < depth) or (run_budget > 0 and spent >= run_budget) or met.isEmpty() or done.isEmpty():
+                return reduce(DataFrame.unionByName, parts)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def depth_allowed(depth, max_depth: int) -> Column:
+    """Whether links of a page at ``depth`` are followed; below zero there is no limit."""
+    return F.lit(True) if max_depth < 0 else F.col(depth) < max_depth if isinstance(depth, str) else depth < max_depth

@@ -6,7 +6,7 @@ import importlib
 
 MODULES = [
     "text_queries", "page_queries", "clean_queries", "chunk_queries", "dedupe_queries", "report_queries",
-    "crawl_queries", "flow_queries", "decision_queries",
+    "crawl_queries", "flow_queries", "decision_queries", "harvest_queries",
 ]
 
 

@@ -19,10 +19,10 @@ def doc_url():
     )
 
 
-def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select(
-        "doc_id", "source", "text", doc_url().alias("url")
-    )
+def documents(spark: SparkSession, sf: str, rows: DataFrame | None = None) -> DataFrame:
+    """The documents table, or ``rows`` of it (a stream), with addresses."""
+    rows = table(spark, sf, "documents") if rows is None else rows
+    return rows.select("doc_id", "source", "text", doc_url().alias("url"))
 
 
 def page_hosts(spark: SparkSession, sf: str) -> DataFrame:

@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 from docloom.operators import chunk as C, dedupe as D
 from docloom.plans import ingest as I, sqltext as S
 from docloom.plans.chunk_queries import _CLEAN, OVERLAP, SIZE, windows_sql
-from docloom.plans.dedupe_queries import GREEDY_SQL
+from docloom.plans.dedupe_queries import GREEDY_SQL, NO_LIMIT, greedy_sql
 from docloom.plans.derived import LOG_SQL, documents, log_lines
 from docloom.plans.registry import query
 from docloom.session import table
 from docloom.sources.services import add_vectors
-from docloom.streaming import live
+from docloom.streaming import live, near
 
 
 @query("ingest_summary")
@@ -85,3 +85,18 @@ def stream_first_texts(spark, sf):
     s = live.first_seen_texts(docs.select("source", "text"), "source", "text").drop("text")
     rows = live.run_to_end(s, "append", "texts")
     return rows.groupBy("source", "fingerprint").agg(F.count("*").alias("jumlah"))
+
+
+@query(
+    "stream_near_duplicates",
+    f"""WITH RECURSIVE {greedy_sql(NO_LIMIT, NO_LIMIT)}
+    SELECT f.doc_id, f.accepted, f.jenis, p.doc_id AS pertama, f.skor FROM f LEFT JOIN s p ON p.source = f.source AND p.i = f.pertama
+    WHERE f.doc_id IS NOT NULL""",
+)
+def stream_near_duplicates(spark, sf):
+    """The stream twin of ``near_dup_greedy_unlimited``: state per site instead of a graph."""
+    path = os.path.join(sf, "documents.parquet*")
+    docs = documents(spark, sf, spark.readStream.schema(table(spark, sf, "documents").schema).parquet(path))
+    rows = live.run_to_end(near.near_duplicates(docs, "source", "doc_id", "url", "text"), "append", "near", once=True)
+    first = F.regexp_extract("url_pertama", "([0-9]+)$", 1).try_cast("long")
+    return rows.select(F.col("seq").alias("doc_id"), "accepted", "jenis", first.alias("pertama"), "skor")

@@ -35,13 +35,17 @@ def activity_sessions(events: DataFrame, site: str, ts: str, late: str = "10 min
     )
 
 
-def first_seen_texts(docs: DataFrame, site: str, text: str) -> DataFrame:
+def first_seen_texts(docs: DataFrame, site: str, text: str, ts: str | None = None, keep: str | None = None) -> DataFrame:
     """Documents whose text is new for their site.
 
     State holds one hash per distinct text, partitioned by (site, hash): the copies of a hot
-    text meet one key but keep no rows.
+    text meet one key but keep no rows.  With an event time ``ts`` a hash is forgotten ``keep`` after the
+    watermark has passed it; without one it is kept for good.
     """
-    return docs.withColumn("fingerprint", content_sha1(text)).dropDuplicates([site, "fingerprint"])
+    d = docs.withColumn("fingerprint", content_sha1(text))
+    if ts is None:
+        return d.dropDuplicates([site, "fingerprint"])
+    return d.withWatermark(ts, keep).dropDuplicatesWithinWatermark([site, "fingerprint"])
 
 
 def _folder(spark: SparkSession, name: str) -> str:
@@ -49,22 +53,46 @@ def _folder(spark: SparkSession, name: str) -> str:
     return os.path.join(spark.sparkContext.getCheckpointDir(), f"{name}-{uuid.uuid4().hex}")
 
 
-def run_to_end(stream: DataFrame, mode: str, name: str) -> DataFrame:
+#: Keeps state in files of the executors and not on their heap; operators with several kinds of state need it.
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def state_sizes(query) -> list[dict]:
+    """Rows and bytes of state after each micro-batch, as the engine reports them."""
+    return [
+        {"batch": p["batchId"], "rows": sum(o["numRowsTotal"] for o in p["stateOperators"]), "bytes": sum(o["memoryUsedBytes"] for o in p["stateOperators"])}
+        for p in query.recentProgress
+    ]
+
+
+def run_to_end(stream: DataFrame, mode: str, name: str, sizes: list | None = None, once: bool = False) -> DataFrame:
     """Process what the source holds now and return the rows.
 
     Complete mode overwrites its result with every batch, append mode adds files; both go to
-    the shared checkpoint folder together with the query's own state.
+    the shared checkpoint folder together with the query's own state.  ``sizes`` gets the size of the state
+    after each micro-batch.  ``once``: one micro-batch; state that expires by the clock asks for another batch for ever.
     """
     spark = stream.sparkSession
     base = _folder(spark, name)
     out = os.path.join(base, "rows")
     writer = stream.writeStream.option("checkpointLocation", os.path.join(base, "state"))
-    writer = writer.outputMode(mode).trigger(availableNow=True)
-    if mode == "complete":
-        q = writer.foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(out)).start()
-    else:
-        q = writer.format("parquet").option("path", out).start()
-    q.awaitTermination()
+    writer = writer.outputMode(mode).trigger(**({"once": True} if once else {"availableNow": True}))
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)  # read while the query is planned
+    try:
+        if mode == "complete":
+            q = writer.foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(out)).start()
+        else:
+            q = writer.format("parquet").option("path", out).start()
+        q.awaitTermination()
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, before)
+    if sizes is not None:
+        sizes += state_sizes(q)
     return spark.read.schema(stream.schema).parquet(out)
 
 
