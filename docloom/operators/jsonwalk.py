@@ -66,6 +66,26 @@ def flatten_json(json_text, max_depth: int | None = 4, max_parts: int | None = N
     return flat(col(json_text))
 
 
+def dig_text(json_text, path) -> Column:
+    """All text and numbers below a dotted path, which may be a column; '' for broken JSON or a missing step."""
+
+    def one(text, steps):
+        try:
+            value = json.loads(text)
+            for k in (k.strip() for k in steps.split(".")):
+                if k:
+                    value = value[int(k)] if isinstance(value, list) else value[k]
+        except (TypeError, ValueError, LookupError, AttributeError):
+            return ""
+        return _texts(value, 0, None, None)
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series, paths: pd.Series) -> pd.Series:
+        return pd.Series([one(t, p) for t, p in zip(texts, paths)])
+
+    return run(col(json_text), col(path))
+
+
 def _string_fields(value, max_depth: int | None) -> list[list[tuple[str, str]]]:
     """Per object or list, in document order, a node before its children: its fields that hold text."""
     out, todo = [], [(value, 0)]

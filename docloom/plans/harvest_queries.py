@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docloom.functions import urls as U
-from docloom.operators import frontier as FR, harvest as H, jobstates as J
+from docloom.operators import contentapi as A, frontier as FR, harvest as H, jobstates as J
 from docloom.plans import sqltext as S
 from docloom.plans.derived import documents
 from docloom.plans.registry import query
@@ -154,3 +154,63 @@ def job_transitions(spark, sf):
         .otherwise(F.when(v < 20, "ping").otherwise("fail")))
     e = table(spark, sf, "events").select(F.col("user_id").alias("job"), F.col("event_id").alias("seq"), event.alias("event"))
     return J.job_transitions(e, "job", "seq", "event")
+
+
+_API_SQL = f"""p AS (SELECT page_id, url, {S.host('url')} AS host, {S.path('url')} AS path FROM pages),
+    u AS (SELECT page_id, url, host, path, regexp_replace(string_split(rtrim(path, '/'), '/')[-1], '[.][A-Za-z0-9]{{1,5}}$', '') AS slug, {S.ext('path', '^/([a-z]+)/')} AS bahasa,
+      {S.ext('path', '^/[a-z]+/([0-9]+)')} AS nomor, length(host) % 4 AS bentuk FROM p),
+    r AS (SELECT *, CASE WHEN bentuk = 0 THEN 1 WHEN bentuk = 1 AND regexp_matches(url, '/(en|fr)/[0-9]+') THEN 1
+        WHEN bentuk = 2 AND contains(path, '/de/') THEN 1 WHEN bentuk = 2 AND regexp_matches(url, '/fr/[0-9]+$') THEN 2 WHEN bentuk = 2 THEN 3 END AS rule_no FROM u),
+    e AS (SELECT *, 'https://api.' || host || CASE WHEN bentuk = 1 THEN '/' || bahasa || '/' || nomor ELSE '/isi/' || slug END AS endpoint,
+      (bentuk = 1) AS berjson FROM r WHERE rule_no IS NOT NULL)"""
+
+
+@query(
+    "rule_table",
+    f"""WITH {_API_SQL} SELECT page_id, rule_no, endpoint FROM e""",
+)
+def rule_table(spark, sf):
+    """Each host configures its services in another shape; the first rule of each page and the endpoint it names."""
+    pages, rules, _ = _services(spark, sf)
+    m = A.first_rules(pages, rules.withColumn("nomor", F.col("rule_no")), "page_id", "url").join(pages.select("page_id", "url"), "page_id")
+    return m.select("page_id", F.col("rule.nomor").alias("rule_no"), A.fill_endpoint(F.col("rule.url"), "url", "groups").alias("endpoint"))
+
+
+def _services(spark, sf):
+    pages = table(spark, sf, "pages").select("page_id", "url", U.host("url").alias("site"))
+    api = F.concat(F.lit("https://api."), "site")
+    isi, kind = F.concat(api, F.lit("/isi/{slug}")), F.length("site") % 4
+    config = (
+        F.when(kind == 0, isi)
+        .when(kind == 1, F.concat(F.lit('{"match": "/(en|fr)/([0-9]+)", "endpoint": "'), api, F.lit('/{1}/{2}", "field": "data.isi", "titleField": "data.judul", "format": "text", "min_length": "14"}')))
+        .when(kind == 2, F.concat(
+            F.lit('{"rules": [{"match": "/de/", "url": "'), isi, F.lit('"}, 7, {"match": "("}, {"url_pattern": "/fr/[0-9]+$", "url": "'), isi,
+            F.lit('", "format": "text"}, {"url": "'), isi, F.lit('", "format": "text"}]}')))
+        .otherwise(F.lit('{"enabled": false, "url": "https://mati.example/"}')))
+    sites = pages.select("site").distinct().select("site", config.alias("config"))
+    last = F.element_at(F.split(F.rtrim(U.path("url"), F.lit("/")), "/"), -1)
+    slug = F.regexp_replace(last, "[.][A-Za-z0-9]{1,5}$", "")
+    part = F.regexp_extract(U.path("url"), "^/([a-z]+)/", 1)
+    number = F.regexp_extract(U.path("url"), "^/[a-z]+/([0-9]+)", 1)
+    plain = pages.select(F.concat(api, F.lit("/isi/"), slug).alias("endpoint"), slug.alias("k"), F.concat(F.lit("Isi <b>"), slug, F.lit("</b> &amp; lain")).alias("body"))
+    found = pages.select(
+        F.concat(api, F.lit("/"), part, F.lit("/"), number).alias("endpoint"), number.alias("k"),
+        F.concat(F.lit('{"data": {"isi": ["Teks <i>nomor</i>", '), number, F.lit('], "judul": "Judul  '), part, F.lit('"}}')).alias("body"))
+    answers = plain.unionByName(found).dropDuplicates(["endpoint"])
+    answers = answers.select("endpoint", F.when(F.try_to_number("k", F.lit("999999999")) % 5 == 0, 404).otherwise(200).alias("http"), "body")
+    return pages, A.api_rules(sites, "site", "config"), answers
+
+
+@query(
+    "content_api",
+    f"""WITH {_API_SQL},
+    t AS (SELECT page_id, endpoint, berjson, try_cast(CASE WHEN berjson THEN nomor ELSE slug END AS BIGINT) % 5 = 0 AS hilang, bahasa,
+      CASE WHEN berjson THEN 'Teks nomor' || chr(10) || chr(10) || nomor WHEN bentuk = 0 OR rule_no = 1 THEN 'Isi **' || slug || '** & lain' ELSE 'Isi ' || slug || ' & lain' END AS md FROM e),
+    g AS (SELECT *, CASE WHEN hilang THEN 'HTTP 404' WHEN berjson AND length(md) < 14 THEN 'isi terlalu pendek (' || length(md) || ' < 14 karakter)' END AS galat FROM t)
+    SELECT page_id, endpoint, CASE WHEN galat IS NULL THEN md END AS markdown, CASE WHEN galat IS NULL THEN CASE WHEN berjson THEN 'Judul ' || bahasa ELSE '' END END AS title,
+      CASE WHEN berjson THEN 'data.isi' ELSE '<badan>' END AS field, galat FROM g""",
+)
+def content_api(spark, sf):
+    """Page texts from the services their hosts configure: four shapes of rules, plain and JSON answers, some missing."""
+    pages, rules, answers = _services(spark, sf)
+    return A.content_pages(pages, rules, answers, "page_id", "url")
