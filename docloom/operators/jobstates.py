@@ -48,7 +48,7 @@ def _slice_rows(b: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Event numbers, maps and first rows of jobs of a slice in order; a job's first row forgets what was before."""
     kinds = b["event"].combine_chunks().dictionary_encode()
     number = np.array([EVENTS.get(k, 0) for k in kinds.dictionary.to_pylist()] or [0], np.int64)
-    event = number[kinds.indices.fill_null(0).to_numpy()] if b.num_rows else np.zeros(0, np.int64)
+    event = np.where(kinds.indices.is_null().to_numpy(zero_copy_only=False), 0, number[kinds.indices.fill_null(0).to_numpy()])
     job = b["job"].combine_chunks().dictionary_encode().indices.to_numpy()
     first = np.append(True, job[1:] != job[:-1])
     moves = AFTER[event].copy()
