@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docloom.functions.text import col
+from docloom.functions.urls import registrable_domain
 from docloom.operators.skew import running_row_number
 from docloom.session import checkpoint, stored
 
@@ -113,4 +115,22 @@ def crawl_within_budget(
 
 def depth_allowed(depth, max_depth: int) -> Column:
     """Whether links of a page at ``depth`` are followed; below zero there is no limit."""
-    return F.lit(True) if max_depth < 0 else F.col(depth) < max_depth if isinstance(depth, str) else depth < max_depth
+    return F.lit(True) if max_depth < 0 else col(depth) < max_depth
+
+
+def admit_hosts(links: DataFrame, starts: DataFrame, host: str, seq: str, mode: str = "off", max_hosts: int = 0) -> DataFrame:
+    """Add ``boleh`` to links: their host is a start host, or one that ``mode`` opens.
+
+    ``off`` opens no other host, ``family`` those under a registrable domain of a start host, ``all`` every one; of
+    these the first ``max_hosts`` by arrival (0: all).  Hosts are settled as one row each and joined back.
+    """
+    if mode not in ("off", "family", "all"):
+        raise ValueError(f"unknown mode {mode}")
+    own = starts.select(F.col(host).alias("__own")).distinct()
+    others = links.join(own, F.col(host) == F.col("__own"), "left_anti").filter(F.lit(mode != "off") & (F.col(host) != ""))
+    if mode == "family":
+        domains = own.select(registrable_domain("__own").alias("__dom")).filter("__dom <> ''").distinct()
+        others = others.join(domains, registrable_domain(host) == F.col("__dom"), "left_semi")
+    opened = open_hosts(others, host, seq, max_hosts).select(F.col(host).alias("__own"))
+    known = own.unionByName(opened).distinct()
+    return links.join(known, F.col(host) == F.col("__own"), "left").withColumn("boleh", F.col("__own").isNotNull()).drop("__own")

@@ -102,7 +102,7 @@ def host_gate(spark, sf):
 )
 def depth_gate(spark, sf):
     li = table(spark, sf, "lineitem").groupBy(F.col("l_linenumber").alias("depth")).agg(F.count("*").alias("tautan"))
-    return li.withColumn("boleh", F.col("depth") < 4)
+    return li.withColumn("boleh", FR.depth_allowed("depth", 4))
 
 
 @query(

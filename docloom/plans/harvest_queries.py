@@ -214,3 +214,21 @@ def content_api(spark, sf):
     """Page texts from the services their hosts configure: four shapes of rules, plain and JSON answers, some missing."""
     pages, rules, answers = _services(spark, sf)
     return A.content_pages(pages, rules, answers, "page_id", "url")
+
+
+@query(
+    "host_modes",
+    f"""WITH h AS (SELECT page_id, {S.host('url')} AS host, array_to_string(string_split({S.host('url')}, '.')[-2:], '.') AS dom FROM pages),
+    own AS (SELECT DISTINCT host, dom FROM h WHERE host LIKE 'm.%'),
+    rest AS (SELECT host, dom, min(page_id) AS pertama FROM h WHERE host NOT IN (SELECT host FROM own) GROUP BY 1, 2),
+    opened AS (SELECT 'all' AS mode, host FROM (SELECT * FROM rest ORDER BY pertama, host LIMIT 15)
+      UNION ALL SELECT 'family', host FROM (SELECT * FROM rest WHERE dom IN (SELECT dom FROM own) ORDER BY pertama, host LIMIT 15)),
+    m(mode) AS (VALUES ('off'), ('family'), ('all'))
+    SELECT mode, page_id, h.host, h.host IN (SELECT host FROM own) OR (mode, h.host) IN (SELECT (mode, host) FROM opened) AS boleh FROM h, m""",
+)
+def host_modes(spark, sf):
+    """Mobile hosts are where a crawl starts; what each mode opens besides them, fifteen hosts at most."""
+    p = table(spark, sf, "pages").select("page_id", U.host("url").alias("host"))
+    starts = p.filter(F.col("host").startswith("m.")).select("host")
+    modes = [FR.admit_hosts(p, starts, "host", "page_id", m, 15).select(F.lit(m).alias("mode"), "page_id", "host", "boleh") for m in ("off", "family", "all")]
+    return modes[0].unionByName(modes[1]).unionByName(modes[2])
