@@ -14,8 +14,9 @@ frequent phrases meet, and nothing is lost.
 
 Scale: a block of text is one row (numbers of the phrase at each place).  A block sends its own stripes; the
 stripe of a phrase that occurs more than ``slice`` times is cut into slices by the follower, so a stripe of a
-common word lies in many slices and no task holds it whole.  Merging streams over rows sorted by (prefix, slice).  What is frequent goes back
-only to blocks that have it, by a join on (prefix, slice) and a grouping by block.  Nothing is broadcast.
+common word lies in many slices and no task holds it whole.  Merging streams over rows sorted by (prefix, slice);
+a slice in memory has at most an entry for each block and follower.  What is frequent goes back only to the
+blocks that have it, grouped by block.  Nothing is broadcast.
 """
 
 from __future__ import annotations
@@ -168,64 +169,62 @@ def _flat(b: pa.RecordBatch, names: list[str]) -> tuple[np.ndarray, list[np.ndar
     return np.repeat(np.arange(b.num_rows), lengths), [x.flatten().to_numpy() for x in lists]
 
 
+MERGED = "block long, prefix array<long>, next array<long>, ids array<long>, count array<long>"
+
+
 def _merged(options: PhraseOptions):
-    """Stripes sorted by prefix and slice, to the frequent phrases: prefix, follower, count and a new number."""
+    """Stripes sorted by prefix and slice, to rows of frequent phrases (prefix, follower, new number, count; no block)
+    and, for each block, to the frequent phrases that it has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId() << 40
-        held = np.zeros((0, 4), np.int64)  # prefix, slice, follower, count
+        held = np.zeros((0, 5), np.int64)  # prefix, slice, follower, count, block
 
-        def merge(x: np.ndarray) -> np.ndarray:
-            by = np.lexsort((x[:, 2], x[:, 0]))
-            x = x[by]
-            first = np.flatnonzero(np.append(True, (x[1:, 0] != x[:-1, 0]) | (x[1:, 2] != x[:-1, 2])))
-            out = x[first]
-            out[:, 3] = np.add.reduceat(x[:, 3], first)
-            return out
+        def lists(key: np.ndarray, values: list[np.ndarray], count: np.ndarray | None):
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            ends = pa.array(np.append(first, len(key)), pa.int32())
+            columns = [pa.ListArray.from_arrays(ends, pa.array(v)) for v in values]
+            none = pa.nulls(len(first), pa.int64())
+            last = pa.nulls(len(first), pa.list_(pa.int64())) if count is None else pa.ListArray.from_arrays(ends, pa.array(count))
+            return pa.RecordBatch.from_arrays([none if count is not None else pa.array(key[first]), *columns, last], names=["block", "prefix", "next", "ids", "count"])
 
         def emit(x: np.ndarray):
             nonlocal number
-            x = x[x[:, 3] >= options.min_count]
-            ids = _new_numbers(number, x[:, 3], options)
-            number += len(x)
-            return pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1]), pa.array(x[:, 2]), pa.array(x[:, 3]), pa.array(ids)], names=["prefix", "slice", "suffix", "c", "id"])
+            x = x[np.lexsort((x[:, 2], x[:, 0]))]
+            new = np.append(True, (x[1:, 0] != x[:-1, 0]) | (x[1:, 2] != x[:-1, 2]))
+            first = np.flatnonzero(new)
+            count = np.add.reduceat(x[:, 3], first)
+            often = count >= options.min_count
+            if not often.any():
+                return
+            ids = np.full(len(first), NONE, np.int64)
+            ids[often] = _new_numbers(number, count[often], options)
+            number += int(often.sum())
+            found = first[often]
+            yield lists(np.zeros(len(found), np.int64), [x[found, 0], x[found, 2], ids[often]], count[often])
+            of = ids[np.cumsum(new) - 1]
+            x, of = x[of != NONE], of[of != NONE]
+            by = np.argsort(x[:, 4], kind="stable")
+            yield lists(x[by, 4], [x[by, 0], x[by, 2], of[by]], None)
 
         for b in batches:
             if not b.num_rows:
                 continue
             row, (after, count) = _flat(b, ["next", "count"])
-            own = np.column_stack([b.column(0).to_numpy()[row], b.column(1).to_numpy()[row], after, count])
-            held = merge(np.concatenate([held, own]))
-            done = (held[:, 0] != held[-1, 0]) | (held[:, 1] != b.column(1)[-1].as_py())
-            if done.any():
-                yield emit(held[done])
+            keys = [b.column(i).to_numpy() for i in range(3)]
+            held = np.concatenate([held, np.column_stack([keys[0][row], keys[1][row], after, count, keys[2][row]])])
+            done = (held[:, 0] != keys[0][-1]) | (held[:, 1] != keys[1][-1])
+            if done.sum() >= 1 << 18:
+                yield from emit(held[done])
                 held = held[~done]
         if len(held):
-            yield emit(held)
+            yield from emit(held)
 
     return run
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A block's slice of a stripe next to the frequent entries of that slice: those that the block has."""
-    for b in batches:
-        if not b.num_rows:
-            continue
-        own_row, (own,) = _flat(b, ["own"])
-        row, (frequent, ids) = _flat(b, ["frequent", "ids"])
-        known, code = np.unique(np.concatenate([own, frequent]), return_inverse=True)
-        own_key, key = own_row * len(known) + code[: len(own)], row * len(known) + code[len(own) :]
-        here = _find(np.sort(own_key), key) >= 0
-        count = np.bincount(row[here], minlength=b.num_rows)
-        some = np.flatnonzero(count)
-        ends = pa.array(np.append(0, np.cumsum(count[some])), pa.int32())
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0).take(pa.array(some)), b.column(1).take(pa.array(some)), pa.ListArray.from_arrays(ends, pa.array(frequent[here])), pa.ListArray.from_arrays(ends, pa.array(ids[here]))],
-            names=["block", "prefix", "next", "ids"])
-
-
 def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Places of ``wanted`` in sorted ``keys``, -1 where absent."""
     if not len(keys):
@@ -237,11 +236,7 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 def _next_places(key, blocks: pa.Table, found: pa.Table) -> pa.Table:
     """A block with phrase numbers of one level, and its frequent longer phrases, to the numbers of the next level."""
     rows = []
-    table = found.combine_chunks()
-    parts = [_flat(b, ["next", "ids"]) + (b.column(b.schema.get_field_index("prefix")).to_numpy(),) for b in table.to_batches()]
-    prefix = np.concatenate([p[row] for row, _, p in parts]) if parts else np.zeros(0, np.int64)
-    after = np.concatenate([x[0] for _, x, _ in parts]) if parts else prefix
-    ids = np.concatenate([x[1] for _, x, _ in parts]) if parts else prefix
+    prefix, after, ids = (found[n].combine_chunks().flatten().to_numpy() for n in ("prefix", "next", "ids"))
     for packed in blocks["places"]:
         at = _unpacked(packed.as_py(), np.int64)
         known = np.unique(np.concatenate([prefix, after]))
@@ -306,8 +301,11 @@ def frequent_phrases(docs: DataFrame, options: PhraseOptions = PhraseOptions())
         places = stored(places, f"phrases-places{m - 1}")
         stripes = stored(places.mapInArrow(_stripes(options), STRIPES), f"phrases-stripes{m}")
         # a slice lies in one task, which reads it row by row
-        rows = stripes.select("prefix", "slice", "next", "count").repartition("prefix", "slice").sortWithinPartitions("prefix", "slice")
-        found = stored(rows.mapInArrow(_merged(options), "prefix long, slice long, suffix long, c long, id long"), f"phrases-merged{m}")
+        rows = places.mapInArrow(_stripes(options), STRIPES).repartition("prefix", "slice").sortWithinPartitions("prefix", "slice")
+        merged = stored(rows.select("prefix", "slice", "block", "next", "count").mapInArrow(_merged(options), MERGED), f"phrases-merged{m}")
+        zipped = F.arrays_zip("prefix", "next", "ids", "count")
+        found = merged.filter("block is null").select(F.explode(zipped).alias("x"))
+        found = found.select("x.prefix", F.col("x.next").alias("suffix"), F.col("x.count").alias("c"), F.col("x.ids").alias("id"))
         covers += [found.select(F.col("prefix").alias("id"), "c", F.lit(m - 1).alias("m")), found.select(F.col("suffix").alias("id"), "c", F.lit(m - 1).alias("m"))]
         head = level.select(F.col("id").alias("prefix"), "lang", F.col("phrase").alias("begin"), "heads")
         tail = level.select(F.col("id").alias("suffix"), "last", "tails")
@@ -317,10 +315,7 @@ def frequent_phrases(docs: DataFrame, options: PhraseOptions = PhraseOptions())
                 F.concat("heads", F.array("c")).alias("heads"), F.concat("tails", F.array("c")).alias("tails")), f"phrases-level{m}")
         levels.append(level)
         if m < options.words:
-            entries = found.groupBy("prefix", "slice").agg(F.collect_list(F.struct("suffix", "id")).alias("x"))
-            own = stripes.select("block", "prefix", "slice", F.col("next").alias("own")).join(entries, ["prefix", "slice"])
-            own = own.select("block", "prefix", "own", F.col("x.suffix").alias("frequent"), F.col("x.id").alias("ids"))
-            shared = own.mapInArrow(_shared, "block long, prefix long, next array<long>, ids array<long>").withColumnRenamed("block", "of")
+            shared = merged.filter("block is not null").select(F.col("block").alias("of"), "prefix", "next", "ids")
             places = places.groupBy("block").cogroup(shared.groupBy("of")).applyInArrow(_next_places, "block long, places binary")
     longest = covers[0]
     for c in covers[1:]:
