@@ -349,9 +349,13 @@ def blocks(t: DataFrame, key: str) -> DataFrame:
 
 
 def html_to_markdown(
-    pages: DataFrame, key: str = "page_id", html: str = "html", strip_navigation: bool = True
+    pages: DataFrame, key: str = "page_id", html: str = "html", strip_navigation: bool = True, keep: dict[str, Column] | None = None
 ) -> DataFrame:
-    """(key, title, markdown) for every page; pages without content get ''."""
+    """(key, title, markdown) for every page; pages without content get ''.
+
+    ``keep``: further columns by name, read in the scan that reads the titles.
+    """
+    keep = keep or {}
     t = _content_tokens(tokens(pages, key, html), key, strip_navigation)
     b = blocks(_pieces(t, key), key)
     md = b.groupBy(key).agg(
@@ -365,7 +369,7 @@ def html_to_markdown(
             )
         ).alias("markdown")
     )
-    heads = pages.select(key, document_title(html).alias("title"))
+    heads = pages.select(key, document_title(html).alias("title"), *[c.alias(n) for n, c in keep.items()])
     return heads.join(md, key, "left").select(
-        key, "title", F.coalesce("markdown", F.lit("")).alias("markdown")
+        key, "title", *keep, F.coalesce("markdown", F.lit("")).alias("markdown")
     )

@@ -38,8 +38,8 @@ def prepared_documents(pages: DataFrame, o: IngestOptions = IngestOptions()) ->
     ``pages`` has page_id (arrival order), url and html.  The rendered markdown is written
     once, as Parquet: duplicate detection, titles and chunking read the columns they need.
     """
-    base = pages.select("page_id", "url", hostname("url").alias("site"), html_title("html").alias("page_title"))
-    d = base.join(html_to_markdown(pages.select("page_id", "html")).drop("title"), "page_id")
+    head = {"url": F.col("url"), "site": hostname("url"), "page_title": html_title("html")}
+    d = html_to_markdown(pages.select("page_id", "url", "html"), keep=head).drop("title")
     if o.clean:
         d = cleaned_or_fallback(d, "markdown", "markdown", o.chunk.min_length)
     d = d.withColumn("heading", first_heading("markdown"))
