@@ -41,9 +41,9 @@ class RepeatOptions:
     ``block_bytes``: text that is hashed at once."""
 
     window: int = 200
-    anchor: int = 32
+    anchor: int = 48
     hot_bytes: int = 2 << 20
-    shard_bytes: int = 4 << 20
+    shard_bytes: int = 2 << 20
     block_bytes: int = 1 << 20
 
 

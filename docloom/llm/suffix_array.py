@@ -25,11 +25,10 @@ _COUNTING = np.arange(1 << 14)
 STEP = 1.5  # suffixes of a step, times the root of the length
 
 
-def _spread(entries: np.ndarray, t: np.ndarray, sa: np.ndarray, at: np.ndarray, back: bool) -> None:
+def _spread(entries: np.ndarray, symbol: np.ndarray, sa: np.ndarray, at: np.ndarray, back: bool) -> None:
     """Append entries to the buckets of their symbols, in order; ``at`` holds the next free place of each."""
     if not len(entries):
         return
-    symbol = t[entries]
     by = symbol.argsort(kind="stable")
     entries, symbol = entries[by], symbol[by]
     new = np.empty(len(symbol), bool)
@@ -79,65 +78,72 @@ def _induce(t: np.ndarray, s_type: np.ndarray, seeds: np.ndarray, k: int) -> np.
     begin = np.concatenate([[0], np.cumsum(np.bincount(t, minlength=k))])
     l_end = begin[:-1] + np.bincount(t[~s_type], minlength=k)
     step = max(64, int(STEP * n**0.5))
-    l_type = ~s_type
+    # by place: the bucket that the suffix before it goes to in the first and in the second scan, -1 for none
+    to_l, to_s = np.full(n, -1, np.int32), np.full(n, -1, np.int32)
+    to_l[1:] = np.where(s_type[:-1], -1, t[:-1])
+    to_s[1:] = np.where(s_type[:-1], t[:-1], -1)
     sa = np.empty(n, np.int32)
     seed_at = np.searchsorted(t[seeds], np.arange(k + 1))
     head = begin[:-1].copy()
-    _spread(np.array([n - 1], np.int32), t, sa, head, False)
+    _spread(np.array([n - 1], np.int32), t[n - 1 :], sa, head, False)
     c = 0
     while c < k:
-        z = max(c + 1, int(np.searchsorted(begin, begin[c] + step, side="right")) - 1)  # buckets c to z - 1
+        z = max(c + 1, int(begin.searchsorted(begin[c] + step, side="right")) - 1)  # buckets c to z - 1
         if z > c + 1:
-            own = sa[_places(begin[c:z], head[c:z])]
-            both = np.concatenate([own, seeds[seed_at[c] : seed_at[z]]])
-            symbol = t[both]
-            by = symbol.argsort(kind="stable")
-            left = both[by] - 1
-            ok = l_type[left] & (left >= 0)
-            left = left[ok]
-            stop = int(t[left].min()) if len(left) else z
+            both = np.concatenate([sa[_places(begin[c:z], head[c:z])], seeds[seed_at[c] : seed_at[z]]])
+            own = t[both]
+            by = own.argsort(kind="stable")
+            both = both[by]
+            to = to_l[both]
+            go = (to >= 0).nonzero()[0]
+            to = to[go]
+            stop = int(to.min()) if len(go) else z
             if stop > c:
                 if stop < z:
-                    left = left[symbol[by][ok] < stop]
-                _spread(left, t, sa, head, False)
+                    short = own[by[go]] < stop
+                    go, to = go[short], to[short]
+                _spread(both[go] - 1, to, sa, head, False)
                 c = min(stop, z)
                 continue
         lo = begin[c]
         chain, first = _chains(sa[lo : head[c]], run)
         sa[lo : lo + len(chain)] = chain
         head[c] = lo + len(chain)
-        left = np.concatenate([chain[first], seeds[seed_at[c] : seed_at[c + 1]]]) - 1
-        left = left[left >= 0]
-        _spread(left[~s_type[left]], t, sa, head, False)
+        both = np.concatenate([chain[first], seeds[seed_at[c] : seed_at[c + 1]]])
+        to = to_l[both]
+        go = to >= 0
+        _spread(both[go] - 1, to[go], sa, head, False)
         c += 1
     tail = begin[1:] - 1
     c = k - 1
     while c >= 0:
-        z = min(c - 1, int(np.searchsorted(begin, begin[c + 1] - step, side="left")) - 1)  # buckets c down to z + 1
+        z = min(c - 1, int(begin.searchsorted(begin[c + 1] - step, side="left")) - 1)  # buckets c down to z + 1
         if z < c - 1:
             # from the back: S-type places of a bucket, then its L-type ones
-            places = _places(np.column_stack([begin[z + 1 : c + 1], tail[z + 1 : c + 1] + 1]).ravel(), np.column_stack([l_end[z + 1 : c + 1], begin[z + 2 : c + 2]]).ravel())
-            both = sa[places[::-1]]
-            left = both - 1
-            ok = s_type[left]  # the last place of a text is L-type, so -1 is never taken
-            left, both = left[ok], both[ok]
-            ok = t[left] <= t[both]
-            left, both = left[ok], both[ok]
-            stop = int(t[left].max()) if len(left) else z
+            edges = np.empty((2, c - z, 2), np.int64)
+            edges[0, :, 0], edges[1, :, 0] = begin[z + 1 : c + 1], l_end[z + 1 : c + 1]
+            edges[0, :, 1], edges[1, :, 1] = tail[z + 1 : c + 1] + 1, begin[z + 2 : c + 2]
+            both = sa[_places(edges[0].ravel(), edges[1].ravel())[::-1]]
+            to = to_s[both]
+            go = (to >= 0).nonzero()[0]
+            both, to = both[go], to[go]
+            stop = int(to.max()) if len(go) else z
             if stop < c:
                 if stop > z:
-                    left = left[t[both] > stop]
-                _spread(left, t, sa, tail, True)
+                    short = t[both] > stop
+                    both, to = both[short], to[short]
+                _spread(both - 1, to, sa, tail, True)
                 c = max(stop, z)
                 continue
         hi = begin[c + 1] - 1
         chain, first = _chains(sa[tail[c] + 1 : hi + 1][::-1], run)
         sa[hi + 1 - len(chain) : hi + 1] = chain[::-1]
         tail[c] = hi - len(chain)
-        left = np.concatenate([chain[first], sa[begin[c] : l_end[c]][::-1]]) - 1
-        left = left[left >= 0]
-        # an L-type suffix of this bucket is preceded by an S-type one only across a smaller symbol
-        _spread(left[s_type[left] & (t[left] < c)], t, sa, tail, True)
+        both = np.concatenate([chain[first], sa[begin[c] : l_end[c]][::-1]])
+        to = to_s[both]
+        # runs of the bucket's own symbol are written out already
+        go = (to >= 0) & (to < c)
+        _spread(both[go] - 1, to[go], sa, tail, True)
         c -= 1
     return sa
 
