@@ -55,17 +55,18 @@ def line_id(line: str) -> int:
 def _lines(o: LineOptions):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            docs, numbers, ids, sizes = [], [], [], []
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
+            docs, rows, numbers, ids, sizes = [], [], [], [], []
+            for doc, text, row in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
                 for i, line in enumerate(lines_of(text.as_py())):
                     if len(line) >= o.min_chars:
                         docs.append(doc)
+                        rows.append(row)
                         numbers.append(i)
                         ids.append(line_id(line))
                         sizes.append(len(line))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(docs, pa.int64()), pa.array(numbers, pa.int32()), pa.array(ids, pa.int64()), pa.array(sizes, pa.int32())],
-                names=["doc_id", "line_no", "id", "n_chars"],
+                [pa.array(docs, pa.int64()), pa.array(rows, pa.int64()), pa.array(numbers, pa.int32()), pa.array(ids, pa.int64()), pa.array(sizes, pa.int32())],
+                names=["doc_id", "row", "line_no", "id", "n_chars"],
             )
 
     return run
@@ -428,28 +429,30 @@ def edit_links(texts: DataFrame, options: LineOptions = LineOptions()) -> DataFr
 
 
 def near_lines(docs: DataFrame, options: LineOptions = LineOptions()) -> DataFrame:
-    """``doc_id, line_no, n_chars, class_id, n_links, first``: a row for each line long enough to have duplicates.
+    """``doc_id, row, line_no, n_chars, class_id, n_links, first``: a row for each line long enough to have duplicates.
 
     ``line_no`` counts from 0; ``class_id`` is the least id of the lines linked directly or by a chain;
     ``n_links`` the number of other line texts linked directly; ``first`` marks the line that stays: the
-    one of the smallest document id and line number of its class.  Null and empty texts have no lines.  Rows
-    of one id are one document: lines at the same place share their fate.  Null ids come last.
+    one of the smallest document id and line number of its class.  Null and empty texts have no lines.  ``row`` is a hash
+    of the text: rows of one id (or without one) with other texts are other documents, in the order of ``row``; rows equal in
+    id and text share their fate.  Null ids come last.
     No rows give no rows; further columns are ignored.
     """
     d = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    lines = stored(d.mapInArrow(_lines(options), "doc_id long, line_no int, id long, n_chars int"), "lines")
+    marked = d.withColumn("row", F.xxhash64("text"))
+    lines = stored(marked.mapInArrow(_lines(options), "doc_id long, row long, line_no int, id long, n_chars int"), "lines")
     found = stored(edit_links(d.select("text"), options), "line-links")
     roots = components(found.filter("b is not null").select("a", "b"))
     counts = found.filter("n is not null").groupBy(F.col("a").alias("linked")).agg(F.sum("n").alias("n_links"))
     # least place of each distinct line, then of each class: combined before the shuffle
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line_no")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "line_no")
     distinct = lines.groupBy("id").agg(F.min(place).alias("place"))
     distinct = distinct.join(roots, F.col("id") == F.col("node"), "left").join(counts, F.col("id") == F.col("linked"), "left")
     distinct = stored(distinct.select("id", "place", F.coalesce("root", "id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "line-classes")
     least = distinct.groupBy(F.col("class_id").alias("of_class")).agg(F.min("place").alias("least"))
     known = distinct.join(least, F.col("class_id") == F.col("of_class")).select(F.col("id").alias("of"), "class_id", "n_links", "least")
     first = place.eqNullSafe(F.col("least"))
-    return lines.join(known, F.col("id") == F.col("of")).select("doc_id", "line_no", "n_chars", "class_id", "n_links", first.alias("first"))
+    return lines.join(known, F.col("id") == F.col("of")).select("doc_id", "row", "line_no", "n_chars", "class_id", "n_links", first.alias("first"))
 
 
 def drop_repeated_lines(docs: DataFrame, options: LineOptions = LineOptions()) -> DataFrame:
@@ -458,9 +461,11 @@ def drop_repeated_lines(docs: DataFrame, options: LineOptions = LineOptions()) -
     A text whose lines all go becomes empty; texts that lose nothing stay as they are, null too.  A
     column ``n_chars`` follows the text.
     """
-    gone = near_lines(docs, options).filter(~F.col("first")).groupBy(F.col("doc_id").alias("__gone_id")).agg(F.collect_set("line_no").alias("__gone"))
-    d = docs.join(gone, docs["doc_id"].eqNullSafe(gone["__gone_id"]), "left")
-    kept = F.filter(F.split(F.col("text"), "\n"), lambda line, i: ~F.array_contains(F.col("__gone"), i))
+    gone = near_lines(docs, options).filter(~F.col("first"))
+    gone = gone.groupBy(F.col("doc_id").alias("__gone_id"), F.col("row").alias("__gone_row")).agg(F.collect_set("line_no").alias("__gone"))
+    d = docs.join(gone, docs["doc_id"].eqNullSafe(gone["__gone_id"]) & (F.xxhash64(docs["text"].cast("string")) == gone["__gone_row"]), "left")
+    lines = F.split(F.col("text"), "\n")
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone")), lambda i: F.get(lines, i))
     text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     out = d.withColumn("text", text)
     if "n_chars" in docs.columns:
@@ -470,4 +475,4 @@ def drop_repeated_lines(docs: DataFrame, options: LineOptions = LineOptions()) -
 
 @query("op4_line_dedup")
 def op4_line_dedup(spark, sf):
-    return near_lines(read(spark, sf, "documents"))
+    return near_lines(read(spark, sf, "documents")).drop("row")

@@ -93,6 +93,22 @@ def test_line_dedup(spark, docs):
         assert by_id[3].text is None and by_id[5].text == TEXTS[4][1] and by_id[6].text == LONG
 
 
+def test_line_dedup_of_repeated_ids(spark):
+    """Rows that share an id, or have none, lose only what stands elsewhere; order of equal ids follows the text's hash."""
+    repeated, unique, other = "a line that stands in two of the rows", "a line that stands in one row only", "another line of its own, nowhere else"
+    rows = [(7, repeated), (7, unique), (3, repeated), (None, other + "\n" + repeated), (None, unique + " too, but it is longer")]
+    got = line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.text for r in got) == sorted(["", unique, repeated, other, unique + " too, but it is longer"])
+
+
+def test_line_dedup_of_very_many_lines(spark):
+    lines = [f"line number {i} of a long text" for i in range(20_000)]
+    rows = [(1, "\n".join(lines[:10_000])), (2, "\n".join(lines))]
+    options = line_dedup.LineOptions(edit_chars=1000)  # equal lines only
+    got = {r.doc_id: r.text for r in line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"), options).collect()}
+    assert got[1] == rows[0][1] and got[2] == "\n".join(lines[10_000:])
+
+
 def test_quality_rules(spark, docs):
     marks = quality_rules.ledger(docs)
     rows = marks.collect()
