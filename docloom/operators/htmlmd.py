@@ -7,6 +7,8 @@ serves every one of them.  A group never exceeds one page.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -15,6 +17,9 @@ from docloom import constants as K
 from docloom.functions.html import COMMENT, attribute, document_title
 from docloom.functions.text import decode_entities, normalize_whitespace, trim
 
+#: Pages whose tokens one task sorts, about.
+PAGES_PER_TASK = 1000
+
 _TOKEN = r"<[!/?a-zA-Z][^>]*>|<|[^<]+"
 _DROP = set(K.DROP_TAGS) | set(K.NAVIGATION_TAGS)
 # elements whose end tag is commonly left out never open a dropped region
@@ -356,7 +361,12 @@ def html_to_markdown(
     ``keep``: further columns by name, read in the scan that reads the titles.
     """
     keep = keep or {}
-    t = _content_tokens(tokens(pages, key, html), key, strip_navigation)
+    t = tokens(pages, key, html)
+    # one hash partitioning serves all windows; its tasks follow the pages, so none sorts more of them on a larger table
+    n = math.ceil(pages.count() / PAGES_PER_TASK)
+    if n > int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        t = t.repartition(n, key)
+    t = _content_tokens(t, key, strip_navigation)
     b = blocks(_pieces(t, key), key)
     md = b.groupBy(key).agg(
         normalize_whitespace(

@@ -8,10 +8,12 @@ from __future__ import annotations
 
 import hashlib
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,6 +92,10 @@ def hash_vectors(texts: list[str], dimension: int = 64) -> list[list[float]]:
     return out
 
 
+#: Vectors that leave a worker at a time.
+ANSWER_ROWS = 512
+
+
 def add_vectors(
     chunks: DataFrame,
     text: str,
@@ -102,7 +108,7 @@ def add_vectors(
     A request whose answer has another length gives NULL vectors, not shifted ones.
     """
 
-    def requests(texts: list[str]) -> Iterator[list[str]]:
+    def requests(texts: Iterable[str]) -> Iterator[list[str]]:
         batch: list[str] = []
         size = 0
         for t in texts:
@@ -114,12 +120,17 @@ def add_vectors(
         if batch:
             yield batch
 
-    @F.pandas_udf("array<double>")
-    def vectors(texts: pd.Series) -> pd.Series:
-        out: list = []
-        for batch in requests(texts.fillna("").tolist()):
+    def embedded(texts: Iterator[str]) -> Iterator[list[float] | None]:
+        for batch in requests(texts):
             answer = model(batch)
-            out += answer if len(answer) == len(batch) else [None] * len(batch)
-        return pd.Series(out)
+            yield from answer if len(answer) == len(batch) else [None] * len(batch)
+
+    # requests run over the whole of a batch; their answers leave the worker a few hundred at a time
+    @F.arrow_udf("array<double>")
+    def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for b in batches:
+            answers = embedded(v.as_py() or "" for v in b)
+            while part := list(islice(answers, ANSWER_ROWS)):
+                yield pa.array(part, pa.list_(pa.float64()))
 
     return chunks.withColumn("embedding", vectors(text))
