@@ -17,8 +17,8 @@ COUNTERS = [
 
 
 def split_blocks(text: Column) -> Column:
-    t = F.btrim(text, F.lit("\n"))
-    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, "\n{2,}"))
+    none = F.array().cast("array<string>")
+    return let(F.btrim(text, F.lit("\n")), lambda t: F.when(t == "", none).otherwise(F.split(t, "\n{2,}")))
 
 
 def flag_lines(text: Column) -> Column:

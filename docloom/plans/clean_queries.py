@@ -80,7 +80,8 @@ nav AS (SELECT *, (jenis = 'label' OR coalesce(bobot >= {K.NAV_RUN_MIN}, false))
 )
 def block_kinds(spark, sf):
     d = _text_steps(_service(spark, sf))
-    d = d.select("page_id", F.posexplode("__b").alias("i", "b"))
+    # not outer, a filter on the array is put below, and works all blocks out a second time
+    d = d.select("page_id", F.posexplode_outer("__b").alias("i", "b")).filter(F.col("i").isNotNull())
     return d.select(
         "page_id", (F.col("i") + 1).alias("no"), M.block_kind("b").alias("jenis"),
         (F.regexp_count("b", F.lit("\n")) + 1).alias("baris"),
