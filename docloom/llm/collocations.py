@@ -14,13 +14,15 @@ frequent phrases meet, and nothing is lost.
 
 Scale: a block of text is one row (numbers of the phrase at each place).  A block sends its own stripes; the
 stripe of a phrase that occurs more than ``slice`` times is cut into slices by the follower, so a stripe of a
-common word lies in many slices and no task holds it whole.  Merging streams over rows sorted by (prefix, slice);
-a slice in memory has at most an entry for each block and follower.  What is frequent goes back only to the
-blocks that have it, grouped by block.  Nothing is broadcast.
+common word lies in many slices and no task holds it whole.  Slices are dealt into buckets, as many as the places of
+the table ask for, and the slices of a bucket travel from a block as one compressed row.  Merging reads bucket by
+bucket; the merged bucket answers each block that sent to it with the numbers of what is frequent, again one row.
+Words are merged like phrases, so nothing is joined back to places.  Nothing is broadcast.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,18 +40,21 @@ from docloom.operators.skew import top_per_key
 @dataclass(frozen=True)
 class PhraseOptions:
     """``words``: longest phrase; ``min_count``: least frequency; ``top``: phrases of a language;
-    ``block_bytes``: text of a block; ``slice``: occurrences of a slice of a stripe."""
+    ``block_bytes``: text of a block; ``slice``: occurrences of a slice of a stripe; ``bucket``: places that a bucket
+    of slices stands for, about."""
 
     words: int = 5
     min_count: int = 100
     top: int = 2000
     block_bytes: int = 8 << 20
     slice: int = 1 << 16
+    bucket: int = 1 << 20
 
 
 _CUT = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
 NONE = -1  # no frequent phrase starts here, or a piece ends here
-BLOCKS = "block long, langs array<string>, lang array<int>, words array<binary>, counts array<long>, places binary"
+BLOCKS = "block long, langs array<string>, totals array<long>, words binary, entries binary, places binary"
+FEWEST_BUCKETS, MOST_BUCKETS = 256, 1 << 16
 
 
 def _new_numbers(first: int, count: np.ndarray, options: PhraseOptions) -> np.ndarray:
@@ -64,12 +69,21 @@ def _slice_of(prefix: np.ndarray, after: np.ndarray) -> np.ndarray:
     return ((mixed >> np.uint64(32)) & ((np.uint64(1) << (prefix >> 56).astype(np.uint64)) - np.uint64(1))).astype(np.int64)
 
 
-def _packed(x: np.ndarray) -> bytes:
-    return zlib.compress(np.ascontiguousarray(x).tobytes(), 1)
+def _packed(*columns: np.ndarray) -> bytes:
+    """Whole numbers of equal lengths, compressed byte by byte; the first of several as steps, small ones where it is sorted."""
+    x = np.array(columns, np.int64)
+    if len(x) > 1:
+        x[0] = np.diff(x[0], prepend=0)
+    return zlib.compress(x.view(np.uint8).reshape(len(columns), -1, 8).transpose(0, 2, 1).tobytes(), 1)
 
 
-def _unpacked(x: bytes, kind) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(x), kind)
+def _unpacked(x: bytes, columns: int = 1) -> np.ndarray:
+    """The columns as rows of one array."""
+    planes = np.frombuffer(zlib.decompress(x), np.uint8).reshape(columns, 8, -1)
+    out = planes.transpose(0, 2, 1).copy().view(np.int64).reshape(columns, -1)
+    if columns > 1:
+        out[0] = np.cumsum(out[0])
+    return out
 
 
 def _blocks(block_bytes: int):
@@ -93,11 +107,15 @@ def _blocks(block_bytes: int):
                 ids += own.values()
             order = np.argsort(ids)
             counts = np.bincount(at[at >= 0], minlength=known)
+            lang = np.array(lang, np.int32)[order]
+            totals = np.bincount(lang, counts, minlength=len(langs)).astype(np.int64)  # a block's counts are exact in a double
+            words = [words[i] for i in order.tolist()]
+            entries = _packed(lang, counts, np.fromiter(map(len, words), np.int64, len(words)))
             columns = [
-                pa.array([block], pa.int64()), pa.array([langs], pa.list_(pa.string())), pa.array([np.array(lang, np.int32)[order]], pa.list_(pa.int32())),
-                pa.array([[words[i] for i in order.tolist()]], pa.list_(pa.binary())), pa.array([counts], pa.list_(pa.int64())), pa.array([_packed(at)], pa.binary()),
+                pa.array([block], pa.int64()), pa.array([langs], pa.list_(pa.string())), pa.array([totals], pa.list_(pa.int64())),
+                pa.array([zlib.compress(b"".join(words), 1)], pa.binary()), pa.array([entries], pa.binary()), pa.array([_packed(at)], pa.binary()),
             ]
-            return pa.RecordBatch.from_arrays(columns, names=["block", "langs", "lang", "words", "counts", "places"])
+            return pa.RecordBatch.from_arrays(columns, names=["block", "langs", "totals", "words", "entries", "places"])
 
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
@@ -128,103 +146,163 @@ def _blocks(block_bytes: int):
     return run
 
 
-STRIPES = "block long, prefix long, slice long, next array<long>, count array<long>"
+WORD_STRIPES = "bucket int, block long, langs array<string>, entries binary, words binary"
+STRIPES = "bucket int, block long, entries binary"
 
 
-def _stripes(options: PhraseOptions):
-    """Blocks ``block, places`` (phrase numbers) to their stripes."""
+def _runs(key: np.ndarray) -> list[tuple[int, int]]:
+    """Begin and end of the runs of equal neighbours."""
+    edge = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]]).tolist()
+    return list(zip(edge[:-1], edge[1:])) if len(key) else []
+
+
+def _words(text: bytes, length: np.ndarray) -> pa.LargeBinaryArray:
+    """Words that lie one after the other."""
+    at = np.concatenate([[0], np.cumsum(length)]).astype(np.int64)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(length), [None, pa.py_buffer(at), pa.py_buffer(text)])
+
+
+def _word_stripes(buckets: int):
+    """Blocks ``block, langs, words, entries`` to the words of each bucket: number in the block, language, count, length."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for block, langs, text, entries in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3)):
+                lang, counts, length = _unpacked(entries.as_buffer(), 3)
+                if not len(length):
+                    continue
+                words = _words(zlib.decompress(text.as_buffer()), length)
+                bucket = (np.fromiter(map(zlib.crc32, words.to_pylist()), np.int64, len(words)) % buckets).astype(np.uint16)
+                own = np.argsort(bucket, kind="stable")
+                bucket, lang, counts, length = bucket[own], lang[own], counts[own], length[own]
+                at = np.concatenate([[0], np.cumsum(length)]).tolist()
+                data = memoryview(b"".join(words.take(pa.array(own)).to_pylist()))
+                runs = _runs(bucket)
+                columns = [
+                    pa.array([bucket[a] for a, _ in runs], pa.int32()), pa.array([block] * len(runs), pa.int64()), pa.array([langs] * len(runs), pa.list_(pa.string())),
+                    pa.array([_packed(own[a:z], lang[a:z], counts[a:z], length[a:z]) for a, z in runs], pa.binary()),
+                    pa.array([zlib.compress(data[at[a]:at[z]], 1) for a, z in runs], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["bucket", "block", "langs", "entries", "words"])
+
+    return run
+
+
+def _stripes(buckets: int):
+    """Blocks ``block, places`` (phrase numbers) to their stripes by bucket: prefix, follower, count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for block, packed in zip(b.column(0).to_pylist(), b.column(1)):
-                at = _unpacked(packed.as_buffer(), np.int64)
+                at = _unpacked(packed.as_buffer())[0]
                 ids, code = np.unique(at, return_inverse=True)
                 both = (at[:-1] >= 0) & (at[1:] >= 0)
                 pair, count = np.unique(code[:-1][both] * len(ids) + code[1:][both], return_counts=True)
                 if not len(pair):
                     continue
                 prefix, after = ids[pair // len(ids)], ids[pair % len(ids)]
-                part = _slice_of(prefix, after)
-                by = np.lexsort((part, prefix))
-                prefix, after, part, count = prefix[by], after[by], part[by], count[by]
-                first = np.flatnonzero(np.append(True, (prefix[1:] != prefix[:-1]) | (part[1:] != part[:-1])))
-                ends = pa.array(np.append(first, len(pair)), pa.int32())
-                for lo in range(0, len(first), 1 << 15):
-                    rows = slice(lo, lo + (1 << 15))
-                    own = first[rows]
-                    edge = ends.slice(lo, len(own) + 1)
-                    a, z = edge[0].as_py(), edge[-1].as_py()
-                    edge = pa.array(edge.to_numpy() - a, pa.int32())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(own), block)), pa.array(prefix[own]), pa.array(part[own]), pa.ListArray.from_arrays(edge, pa.array(after[a:z])), pa.ListArray.from_arrays(edge, pa.array(count[a:z]))],
-                        names=["block", "prefix", "slice", "next", "count"])
+                mixed = (prefix + (_slice_of(prefix, after) << 20)).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+                bucket = ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.uint16)
+                by = np.argsort(bucket, kind="stable")
+                bucket, prefix, after, count = bucket[by], prefix[by], after[by], count[by]
+                runs = _runs(bucket)
+                entries = [_packed(prefix[a:z], after[a:z], count[a:z]) for a, z in runs]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([bucket[a] for a, _ in runs], pa.int32()), pa.array([block] * len(runs), pa.int64()), pa.array(entries, pa.binary())],
+                    names=["bucket", "block", "entries"])
 
     return run
 
 
-def _flat(b: pa.RecordBatch, names: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Row of each entry of list columns of equal lengths, and their entries."""
-    lists = [b.column(b.schema.get_field_index(n)) for n in names]
-    lengths = np.diff(lists[0].offsets.to_numpy())
-    return np.repeat(np.arange(b.num_rows), lengths), [x.flatten().to_numpy() for x in lists]
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """Rows of each bucket, from rows sorted by bucket."""
+    held: list[tuple] = []
+    for b in batches:
+        for row in zip(*(c.to_pylist() for c in b.columns)):
+            if held and held[-1][0] != row[0]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
 
 
-MERGED = "block long, prefix array<long>, next array<long>, ids array<long>, count array<long>"
+MERGED_WORDS = "block long, entries binary, lang array<string>, word array<binary>, ids array<long>, count array<long>"
+MERGED = "block long, entries binary, prefix array<long>, next array<long>, ids array<long>, count array<long>"
 
 
-def _merged(options: PhraseOptions):
-    """Stripes sorted by prefix and slice, to rows of frequent phrases (prefix, follower, new number, count; no block)
-    and, for each block, to the frequent phrases that it has."""
+def _merging(options: PhraseOptions, names: list[str], kinds: list[pa.DataType], read, found):
+    """Stripes sorted by bucket, to a row of the frequent phrases of a bucket (two parts, new number, count; no block)
+    and to rows of the blocks that have them.
+
+    ``read``: rows of a bucket to the number of the phrase of each entry, the entry's count and block, the columns that go
+    back and something for ``found``, which names the parts of phrases by their first entry.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId() << 40
-        held = np.zeros((0, 5), np.int64)  # prefix, slice, follower, count, block
-
-        def lists(key: np.ndarray, values: list[np.ndarray], count: np.ndarray | None):
-            first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-            ends = pa.array(np.append(first, len(key)), pa.int32())
-            columns = [pa.ListArray.from_arrays(ends, pa.array(v)) for v in values]
-            none = pa.nulls(len(first), pa.int64())
-            last = pa.nulls(len(first), pa.list_(pa.int64())) if count is None else pa.ListArray.from_arrays(ends, pa.array(count))
-            return pa.RecordBatch.from_arrays([none if count is not None else pa.array(key[first]), *columns, last], names=["block", "prefix", "next", "ids", "count"])
-
-        def emit(x: np.ndarray):
-            nonlocal number
-            x = x[np.lexsort((x[:, 2], x[:, 0]))]
-            new = np.append(True, (x[1:, 0] != x[:-1, 0]) | (x[1:, 2] != x[:-1, 2]))
-            first = np.flatnonzero(new)
-            count = np.add.reduceat(x[:, 3], first)
-            often = count >= options.min_count
+        for rows in _by_bucket(batches):
+            phrase, count, row, back, more = read(rows)
+            total = np.zeros(int(phrase.max()) + 1, np.int64)
+            np.add.at(total, phrase, count)
+            often = total >= options.min_count
             if not often.any():
-                return
-            ids = np.full(len(first), NONE, np.int64)
-            ids[often] = _new_numbers(number, count[often], options)
-            number += int(often.sum())
-            found = first[often]
-            yield lists(np.zeros(len(found), np.int64), [x[found, 0], x[found, 2], ids[often]], count[often])
-            of = ids[np.cumsum(new) - 1]
-            x, of = x[of != NONE], of[of != NONE]
-            by = np.argsort(x[:, 4], kind="stable")
-            yield lists(x[by, 4], [x[by, 0], x[by, 2], of[by]], None)
-
-        for b in batches:
-            if not b.num_rows:
                 continue
-            row, (after, count) = _flat(b, ["next", "count"])
-            keys = [b.column(i).to_numpy() for i in range(3)]
-            held = np.concatenate([held, np.column_stack([keys[0][row], keys[1][row], after, count, keys[2][row]])])
-            done = (held[:, 0] != keys[0][-1]) | (held[:, 1] != keys[1][-1])
-            if done.sum() >= 1 << 18:
-                yield from emit(held[done])
-                held = held[~done]
-        if len(held):
-            yield from emit(held)
+            ids = np.full(len(total), NONE, np.int64)
+            ids[often] = _new_numbers(number, total[often], options)
+            number += int(often.sum())
+            first = np.zeros(len(total), np.int64)
+            first[phrase[::-1]] = np.arange(len(phrase) - 1, -1, -1)
+            mine = np.flatnonzero(often[phrase])  # entries lie block by block
+            row, ids_back, back = row[mine], ids[phrase[mine]], [x[mine] for x in back]
+            runs = _runs(row)
+            packed = [None, *(_packed(*(x[a:z] for x in back), ids_back[a:z]) for a, z in runs)]
+            columns = [pa.array([None, *(rows[row[a]][1] for a, _ in runs)], pa.int64()), pa.array(packed, pa.binary())]
+            for x, kind in zip([*found(first[often], more), ids[often], total[often]], kinds):
+                columns.append(pa.array([x, *[None] * len(runs)], pa.list_(kind)))
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "entries", *names])
 
     return run
 
 
+def _merged_words(options: PhraseOptions):
+    def entries(rows: list[tuple]):
+        parts = [_unpacked(r[3], 4) for r in rows]
+        langs: dict[str, int] = {}
+        lang = np.concatenate([np.array([langs.setdefault(x, len(langs)) for x in r[2]], np.int64)[p[1]] for r, p in zip(rows, parts)])
+        own, _, count, length = np.concatenate(parts, axis=1)
+        words = _words(b"".join(zlib.decompress(r[4]) for r in rows), length)
+        code = words.dictionary_encode().indices.to_numpy().astype(np.int64)
+        phrase = np.unique(code * len(langs) + lang, return_inverse=True)[1]
+        row = np.repeat(np.arange(len(rows)), [p.shape[1] for p in parts])
+        return phrase, count, row, [own], (list(langs), lang, words)
+
+    def found(first: np.ndarray, more):
+        langs, lang, words = more
+        return [langs[i] for i in lang[first]], words.take(pa.array(first)).to_pylist()
+
+    return _merging(options, ["lang", "word", "ids", "count"], [pa.string(), pa.binary(), pa.int64(), pa.int64()], entries, found)
+
+
+def _merged(options: PhraseOptions):
+    def entries(rows: list[tuple]):
+        parts = [_unpacked(r[2], 3) for r in rows]
+        prefix, after, count = np.concatenate(parts, axis=1)
+        by = np.lexsort((after, prefix))
+        new = (np.diff(prefix[by], prepend=NONE) != 0) | (np.diff(after[by], prepend=NONE) != 0)
+        phrase = np.empty(len(by), np.int64)
+        phrase[by] = np.cumsum(new) - 1
+        row = np.repeat(np.arange(len(rows)), [p.shape[1] for p in parts])
+        return phrase, count, row, [prefix, after], (prefix, after)
+
+    def found(first: np.ndarray, more):
+        return more[0][first], more[1][first]
+
+    return _merging(options, ["prefix", "next", "ids", "count"], [pa.int64()] * 4, entries, found)
+
+
 def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Places of ``wanted`` in sorted ``keys``, -1 where absent."""
     if not len(keys):
@@ -233,12 +311,23 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[i] == wanted, i, -1)
 
 
+def _entries(found: pa.Table, columns: int) -> np.ndarray:
+    return np.concatenate([np.zeros((columns, 0), np.int64), *(_unpacked(x.as_buffer(), columns) for x in found["entries"])], axis=1)
+
+
+PLACES = "block long, places binary"
+
+
+def _place_rows(rows: list[tuple]) -> pa.Table:
+    return pa.Table.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["block", "places"])
+
+
 def _next_places(key, blocks: pa.Table, found: pa.Table) -> pa.Table:
     """A block with phrase numbers of one level, and its frequent longer phrases, to the numbers of the next level."""
     rows = []
-    prefix, after, ids = (found[n].combine_chunks().flatten().to_numpy() for n in ("prefix", "next", "ids"))
+    prefix, after, ids = _entries(found, 3)
     for packed in blocks["places"]:
-        at = _unpacked(packed.as_py(), np.int64)
+        at = _unpacked(packed.as_buffer())[0]
         known = np.unique(np.concatenate([prefix, after]))
         code = _find(known, at)
         pair = _find(known, prefix) * len(known) + _find(known, after)
@@ -249,32 +338,19 @@ def _next_places(key, blocks: pa.Table, found: pa.Table) -> pa.Table:
         new[both[hit >= 0]] = ids[by][hit[hit >= 0]]
         if (new >= 0).any():
             rows.append((key[0].as_py(), _packed(new)))
-    return pa.Table.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["block", "places"])
+    return _place_rows(rows)
 
 
 def _word_places(key, blocks: pa.Table, words: pa.Table) -> pa.Table:
     """A block with its own word numbers, and the numbers of its frequent words, to the numbers of level 1."""
     rows = []
-    own, ids = words["own"].to_numpy(), words["id"].to_numpy()
+    own, ids = _entries(words, 2)
     for packed in blocks["places"]:
-        at = _unpacked(packed.as_py(), np.int32)
+        at = _unpacked(packed.as_buffer())[0]
         new = np.full(int(max(at.max(), own.max(initial=0))) + 2, NONE, np.int64)
         new[own] = ids
         rows.append((key[0].as_py(), _packed(new[at])))  # place -1 reads the last entry, which is NONE
-    return pa.Table.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["block", "places"])
-
-
-def _numbered(options: PhraseOptions):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        number = TaskContext.get().partitionId() << 40
-        for b in batches:
-            ids = _new_numbers(number, b.column(2).to_numpy(), options)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids)], names=["lang", "word", "c", "id"])
-            number += b.num_rows
-
-    return run
+    return _place_rows(rows)
 
 
 def frequent_phrases(docs: DataFrame, options: PhraseOptions = PhraseOptions()) -> tuple[DataFrame, DataFrame]:
@@ -285,27 +361,27 @@ def frequent_phrases(docs: DataFrame, options: PhraseOptions = PhraseOptions())
     """
     d = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     blocks = stored(d.mapInArrow(_blocks(options.block_bytes), BLOCKS), "phrases-blocks")
-    pairs = F.arrays_zip("lang", "words", "counts")
-    words = blocks.select("block", "langs", F.posexplode(pairs).alias("own", "x"))
-    words = words.select("block", "own", F.element_at("langs", F.col("x.lang") + 1).alias("lang"), F.col("x.words").alias("word"), F.col("x.counts").alias("c"))
-    counted = stored(words.groupBy("lang", "word").agg(F.sum("c").alias("c")), "phrases-words")
-    n = counted.groupBy("lang").agg(F.sum("c").alias("n"))
-    frequent = counted.filter(F.col("c") >= options.min_count).select("lang", "word", "c")
-    frequent = stored(frequent.mapInArrow(_numbered(options), "lang string, word binary, c long, id long"), "phrases-frequent")
-    mine = words.select("block", "own", "lang", "word").join(frequent.select("lang", "word", "id"), ["lang", "word"]).select(F.col("block").alias("of"), "own", "id")
-    places = blocks.select("block", "places").groupBy("block").cogroup(mine.groupBy("of")).applyInArrow(_word_places, "block long, places binary")
+    n = blocks.select(F.explode(F.arrays_zip("langs", "totals")).alias("x")).groupBy(F.col("x.langs").alias("lang")).agg(F.sum("x.totals").alias("n"))
+    n_places = n.agg(F.sum("n")).first()[0] or 0
+    buckets = min(max(math.ceil(n_places / options.bucket), FEWEST_BUCKETS), MOST_BUCKETS)
+
+    def merge(rows: DataFrame, merged, schema: str, name: str) -> tuple[DataFrame, DataFrame]:
+        """What is frequent, row by row, and the answers to blocks; a bucket lies in one task."""
+        x = stored(rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merged(options), schema), name)
+        zipped = F.arrays_zip(*x.columns[2:])
+        return x.filter("block is null").select(F.explode(zipped).alias("x")).select("x.*"), x.filter("block is not null").select(F.col("block").alias("of"), "entries")
+
+    rows = blocks.select("block", "langs", "words", "entries").mapInArrow(_word_stripes(buckets), WORD_STRIPES)
+    frequent, mine = merge(rows, _merged_words, MERGED_WORDS, "phrases-words")
+    frequent = frequent.select("lang", "word", F.col("count").alias("c"), F.col("ids").alias("id"))
+    places = blocks.select("block", "places").groupBy("block").cogroup(mine.groupBy("of")).applyInArrow(_word_places, PLACES)
     word = F.col("word").cast("string")
     level = frequent.select("lang", F.lit(1).alias("m"), "id", word.alias("phrase"), word.alias("last"), F.col("c").alias("a"), F.array("c").alias("heads"), F.array("c").alias("tails"))
     levels, covers = [level], []
     for m in range(2, options.words + 1):
         places = stored(places, f"phrases-places{m - 1}")
-        stripes = stored(places.mapInArrow(_stripes(options), STRIPES), f"phrases-stripes{m}")
-        # a slice lies in one task, which reads it row by row
-        rows = places.mapInArrow(_stripes(options), STRIPES).repartition("prefix", "slice").sortWithinPartitions("prefix", "slice")
-        merged = stored(rows.select("prefix", "slice", "block", "next", "count").mapInArrow(_merged(options), MERGED), f"phrases-merged{m}")
-        zipped = F.arrays_zip("prefix", "next", "ids", "count")
-        found = merged.filter("block is null").select(F.explode(zipped).alias("x"))
-        found = found.select("x.prefix", F.col("x.next").alias("suffix"), F.col("x.count").alias("c"), F.col("x.ids").alias("id"))
+        found, shared = merge(places.mapInArrow(_stripes(buckets), STRIPES), _merged, MERGED, f"phrases-merged{m}")
+        found = found.select("prefix", F.col("next").alias("suffix"), F.col("count").alias("c"), F.col("ids").alias("id"))
         covers += [found.select(F.col("prefix").alias("id"), "c", F.lit(m - 1).alias("m")), found.select(F.col("suffix").alias("id"), "c", F.lit(m - 1).alias("m"))]
         head = level.select(F.col("id").alias("prefix"), "lang", F.col("phrase").alias("begin"), "heads")
         tail = level.select(F.col("id").alias("suffix"), "last", "tails")
@@ -315,8 +391,7 @@ def frequent_phrases(docs: DataFrame, options: PhraseOptions = PhraseOptions())
                 F.concat("heads", F.array("c")).alias("heads"), F.concat("tails", F.array("c")).alias("tails")), f"phrases-level{m}")
         levels.append(level)
         if m < options.words:
-            shared = merged.filter("block is not null").select(F.col("block").alias("of"), "prefix", "next", "ids")
-            places = places.groupBy("block").cogroup(shared.groupBy("of")).applyInArrow(_next_places, "block long, places binary")
+            places = places.groupBy("block").cogroup(shared.groupBy("of")).applyInArrow(_next_places, PLACES)
     longest = covers[0]
     for c in covers[1:]:
         longest = longest.unionByName(c)

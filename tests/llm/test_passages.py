@@ -134,6 +134,29 @@ def test_collocations(spark, options):
     assert got == phrases_of(docs, options.min_count, options.top, options.words)
 
 
+def test_collocations_join_no_words(spark, monkeypatch):
+    """Words and stripes travel as a row a bucket and come back the same way: only frequent phrases are joined."""
+    staged = {}
+
+    def recorded(df, name):
+        staged[name] = df._jdf.queryExecution().toString()
+        return stored(df, name)
+
+    stored = CO.stored
+    monkeypatch.setattr(CO, "stored", recorded)
+    docs = [(i, " ".join(f"w{i % 7}x{k}" for k in range(60)), "en", "s") for i in range(40)]
+    got = sorted(tuple(r) for r in CO.collocations(table(spark, docs), CO.PhraseOptions(min_count=5, block_bytes=900)).select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect())
+    assert got == phrases_of(docs, 5, 2000) and got
+    joins = [name for name, plan in staged.items() if "Join" in plan and not name.startswith("phrases-level")]
+    assert not joins and not [name for name in staged if name.startswith("phrases-stripes")]
+
+
+def test_packed_columns():
+    rng = np.random.default_rng(3)
+    for columns in ([rng.integers(-1, 1 << 60, 500)], [np.sort(rng.integers(0, 1 << 58, 500)), rng.integers(0, 9, 500), np.full(500, -1)], [np.array([7]), np.array([-1])], [np.zeros(0, np.int64)] * 2):
+        assert (CO._unpacked(CO._packed(*columns), len(columns)) == np.array(columns)).all()
+
+
 def test_collocations_of_documents(spark, sf):
     docs = [(r.doc_id, r.text, r.lang, r.source) for r in read(spark, sf, "documents").collect()]
     got = sorted(tuple(r) for r in CO.collocations(read(spark, sf, "documents"), CO.PhraseOptions(min_count=12)).select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect())
