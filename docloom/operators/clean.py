@@ -131,8 +131,10 @@ def cleaned_or_fallback(
 ) -> DataFrame:
     """The text the later stages use: cleaned, or without boilerplate when too little is left."""
     df = with_clean_markdown(df, text, "__full")
-    df = with_boilerplate_dropped(df, text, "__soft", "__n")
-    return df.withColumn(
-        out,
-        F.when(F.length("__full") >= max(1, min_length), F.col("__full")).otherwise(F.col("__soft")),
-    ).drop("__full", "__soft", "__n", *COUNTERS)
+    enough = F.length("__full") >= max(1, min_length)
+    # only texts that need the fallback go through its rules
+    df = df.withColumn("__short", F.when(enough, F.lit(None)).otherwise(F.col(text)))
+    df = with_boilerplate_dropped(df, "__short", "__soft", "__n")
+    return df.withColumn(out, F.when(enough, F.col("__full")).otherwise(F.col("__soft"))).drop(
+        "__full", "__short", "__soft", "__n", *COUNTERS
+    )

@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 
 from docloom import constants as K
 from docloom.functions.html import COMMENT, attribute, document_title
-from docloom.functions.text import decode_entities, normalize_whitespace, trim
+from docloom.functions.text import decode_entities, let, normalize_whitespace, replace_where, trim
 
 #: Pages whose tokens one task sorts, about.
 PAGES_PER_TASK = 1000
 
+_SPACES = r"\s{2,}|[^\S ]"  # runs of white space that are not one space already
 _TOKEN = r"<[!/?a-zA-Z][^>]*>|<|[^<]+"
 _DROP = set(K.DROP_TAGS) | set(K.NAVIGATION_TAGS)
 # elements whose end tag is commonly left out never open a dropped region
@@ -51,16 +52,21 @@ def body_html(html) -> Column:
 
 
 def tokens(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """(key, pos, tag, closing, void, raw, text): one row per tag or text run."""
+    """(key, pos, tag, closing, void, noisy, piece, head, tail, n, w): one row per tag or text run.
+
+    ``piece`` is the inline text that the token adds.  Of a text run: ``head`` and ``tail`` tell that no space begins and
+    ends it, ``n`` and ``w`` count its non-space characters and words.  What follows sorts these rows many times, so the
+    markup itself, and whatever else needs it, stays behind here.
+    """
     t = pages.select(key, body_html(html).alias("__body"))
     t = t.select(
         key, F.posexplode(F.regexp_extract_all("__body", F.lit(_TOKEN), F.lit(0))).alias("pos", "raw")
     )
-    is_tag = F.col("raw").rlike("^<[!/?a-zA-Z]")
-    tag = F.lower(F.regexp_extract("raw", r"^</?([a-zA-Z][a-zA-Z0-9]*)", 1))
-    t = t.withColumn("tag", F.when(is_tag, tag))
+    is_tag = F.col("raw").startswith("<") & (F.col("raw") != "<")
+    name = F.lower(F.regexp_extract("raw", r"^</?([a-zA-Z][a-zA-Z0-9]*)", 1))
+    t = t.withColumn("tag", F.when(is_tag, name))
     t = t.filter(F.col("tag").isNull() | (F.col("tag") != ""))
-    return t.select(
+    t = t.select(
         key,
         "pos",
         "tag",
@@ -69,6 +75,46 @@ def tokens(pages: DataFrame, key: str, html: str) -> DataFrame:
         F.when(F.col("tag").isNotNull(), F.col("raw")).alias("raw"),
         F.when(F.col("tag").isNull(), decode_entities("raw")).alias("text"),
     )
+    tag, closing, raw, text = F.col("tag"), F.col("closing"), F.col("raw"), F.coalesce("text", F.lit(""))
+    label = F.when(
+        raw.rlike(r"(?i)[\s\"'/](?:id|class)\s*="),
+        trim(F.concat(attribute("raw", "id"), F.lit(" "), attribute("raw", "class"))),
+    )
+    noisy = F.coalesce(~closing & raw.isNotNull() & label.rlike("(?i)" + K.NOISE_ATTRIBUTE), F.lit(False))
+    t = t.select(
+        key,
+        "pos",
+        "tag",
+        "closing",
+        "void",
+        noisy.alias("noisy"),
+        _piece(tag, closing, raw, F.col("text")).alias("piece"),
+        F.when(text != "", ~text.rlike(r"^\s")).alias("head"),
+        # a space at the end stands before one line end at most
+        F.when(text != "", ~F.substring(text, -2, 2).rlike(r"\s$")).alias("tail"),
+        F.btrim(F.regexp_replace(text, _SPACES, " "), F.lit(" ")).alias("__words"),
+    )
+    t = t.withColumn("n", F.length(F.replace("__words", F.lit(" "), F.lit(""))))
+    spaces = F.length("__words") - F.col("n")
+    return t.withColumn("w", F.when(F.col("n") == 0, 0).otherwise(spaces + 1)).drop("__words")
+
+
+def _piece(tag: Column, closing: Column, raw: Column, text: Column) -> Column:
+    """The inline text of a token; the end tag of a link renders the address of the last start tag."""
+    href, src = trim(attribute(raw, "href")), trim(attribute(raw, "src"))
+    alt = trim(decode_entities(attribute(raw, "alt")))
+    linked = let(
+        href,
+        lambda h: F.when((h != "") & ~h.rlike("(?i)^(#|javascript:)"), F.concat(F.lit(_A1), h, F.lit(_A2))),
+    )
+    image = let(src, lambda v: F.when(v != "", F.concat(F.lit("!["), alt, F.lit("]("), v, F.lit(")"))))
+    piece = F.when(tag.isNull(), text)
+    piece = piece.when(tag == "br", F.lit("\n")).when(tag == "img", image)
+    piece = piece.when(tag == "a", F.when(closing, F.lit(_A3)).otherwise(linked))
+    for name, family in _FAMILY.items():
+        start, stop, _ = _INLINE[family]
+        piece = piece.when(tag == name, F.when(closing, F.lit(stop)).otherwise(F.lit(start)))
+    return F.coalesce(piece, F.lit(""))
 
 
 def _with_depths(df: DataFrame, key: str, depths: dict[str, list[str]]) -> DataFrame:
@@ -87,6 +133,11 @@ def _with_depths(df: DataFrame, key: str, depths: dict[str, list[str]]) -> DataF
     return df.select("*", *[c.alias(n) for n, c in depth.items()]).drop(*sums)
 
 
+def _following(name: str) -> Column:
+    """The next value of a column that is not null, as a window function."""
+    return F.expr(f"lead(`{name}`) IGNORE NULLS")
+
+
 def _with_spans(df: DataFrame, key: str) -> DataFrame:
     """Add ``end`` and ``chars`` of each element and ``page_chars`` of the whole page.
 
@@ -97,25 +148,20 @@ def _with_spans(df: DataFrame, key: str) -> DataFrame:
     """
     w = W.partitionBy(key).orderBy("pos")
     before = w.rowsBetween(W.unboundedPreceding, -1)
-    after = W.partitionBy(key).orderBy(F.desc("pos")).rowsBetween(W.unboundedPreceding, -1)
-    text = F.coalesce(F.col("text"), F.lit(""))
-    df = df.select(
-        "*",
-        F.when(text != "", ~text.rlike(r"^\s")).alias("__head"),
-        F.when(text != "", ~text.rlike(r"\s$")).alias("__tail"),
-        F.length(F.regexp_replace(text, r"\s+", "")).alias("__n"),
-        F.regexp_count(text, F.lit(r"\S+")).alias("__w"),
-    )
-    df = df.withColumn(
-        "__next", F.coalesce(F.last("__head", ignorenulls=True).over(after), F.lit(False))
-    )
+    # all that goes by position alone is worked out in one order of the rows
     df = df.select(
         "*",
-        F.coalesce(F.last("__tail", ignorenulls=True).over(before), F.lit(False)).alias("__open"),
-        F.sum("__n").over(w).alias("__cn"),
+        F.coalesce(_following("head").over(w), F.lit(False)).alias("__next"),
+        F.coalesce(F.last("tail", ignorenulls=True).over(before), F.lit(False)).alias("__open"),
+        F.sum("n").over(w).alias("__cn"),
     )
-    joined = (F.coalesce("__head", F.lit(False)) & F.col("__open")).cast("int")
-    df = df.withColumn("__cw", F.sum(F.col("__w") - joined).over(w))
+    joined = (F.coalesce("head", F.lit(False)) & F.col("__open")).cast("int")
+    df = df.withColumn("__cw", F.sum(F.col("w") - joined).over(w))
+    sums = F.struct("pos", "__cn", "__cw")
+    is_boundary = F.coalesce(F.col("tag").isin(_BOUNDARY), F.lit(False))
+    df = df.withColumn("__edge", F.when(is_boundary, sums))
+    df = df.withColumn("__bound", _following("__edge").over(w))
+    df = df.withColumn("__all", F.max(sums).over(W.partitionBy(key)))
 
     by_tag = W.partitionBy(key, "tag").orderBy("pos")
     element = F.col("tag").isNotNull() & ~F.col("void")
@@ -125,11 +171,7 @@ def _with_spans(df: DataFrame, key: str) -> DataFrame:
     df = df.withColumn("__d", F.col("__s") - F.least(F.min("__s").over(by_tag), F.lit(0)))
     df = df.withColumn("__level", F.col("__d") + F.col("closing").cast("int"))
     level = W.partitionBy(key, "tag", "__level").orderBy("pos")
-    sums = F.struct("pos", "__cn", "__cw")
     df = df.withColumn("__pair", F.lead(F.when(F.col("closing"), sums)).over(level))
-    is_boundary = F.coalesce(F.col("tag").isin(_BOUNDARY), F.lit(False))
-    df = df.withColumn("__bound", F.last(F.when(is_boundary, sums), ignorenulls=True).over(after))
-    df = df.withColumn("__all", F.max(sums).over(W.partitionBy(key)))
     past_end = F.struct(
         (F.col("__all.pos") + 1).alias("pos"), F.col("__all.__cn"), F.col("__all.__cw")
     )
@@ -148,7 +190,7 @@ def _with_spans(df: DataFrame, key: str) -> DataFrame:
     df = df.withColumn(
         "page_chars", F.when(total == 0, 0).otherwise(total + F.col("__all.__cw") - 1)
     )
-    return df.drop(*[c for c in df.columns if c.startswith("__") and c != "__noisy"])
+    return df.drop(*[c for c in df.columns if c.startswith("__")])
 
 
 def _content_tokens(t: DataFrame, key: str, strip_navigation: bool) -> DataFrame:
@@ -159,23 +201,12 @@ def _content_tokens(t: DataFrame, key: str, strip_navigation: bool) -> DataFrame
     t = t.drop("drop")
     w = W.partitionBy(key).orderBy("pos")
     if strip_navigation:
-        label = F.when(
-            F.col("raw").rlike(r"(?i)[\s\"'/](?:id|class)\s*="),
-            trim(F.concat(attribute("raw", "id"), F.lit(" "), attribute("raw", "class"))),
-        )
-        t = t.withColumn(
-            "__noisy",
-            F.coalesce(
-                ~F.col("closing") & F.col("raw").isNotNull() & label.rlike("(?i)" + K.NOISE_ATTRIBUTE),
-                F.lit(False),
-            ),
-        )
         t = _with_spans(t, key)
-        bad = F.col("__noisy") & (F.col("chars") < K.NOISE_ELEMENT_CHARS)
+        bad = F.col("noisy") & (F.col("chars") < K.NOISE_ELEMENT_CHARS)
         t = t.withColumn("__cover", F.max(F.when(bad, F.col("end"))).over(w))
         t = t.filter(F.coalesce(F.col("pos") > F.col("__cover"), F.lit(True)))
-        t = t.drop("__noisy", "__cover", "end", "chars", "page_chars")
-    t = _with_spans(t, key)
+        t = t.drop("__cover", "end", "chars", "page_chars")
+    t = _with_spans(t.drop("noisy"), key)
     page = W.partitionBy(key)
     limit = F.floor(F.col("page_chars") * K.ROOT_SHARE)
     fits = (
@@ -186,11 +217,11 @@ def _content_tokens(t: DataFrame, key: str, strip_navigation: bool) -> DataFrame
     root = F.min(F.when(fits, F.struct("chars", "pos", "end"))).over(page)
     t = t.withColumn("__root", root)
     inside = (F.col("pos") > F.col("__root.pos")) & (F.col("pos") < F.col("__root.end"))
-    return t.filter(F.col("__root").isNull() | inside).drop("__root", "end", "chars", "page_chars")
+    return t.filter(F.col("__root").isNull() | inside).select(key, "pos", "tag", "closing", "void", "piece")
 
 
 def _pieces(t: DataFrame, key: str) -> DataFrame:
-    """Annotate tokens with the block they belong to and the inline text they add."""
+    """Annotate tokens with the block they belong to."""
     w = W.partitionBy(key).orderBy("pos")
     t = _with_depths(
         t,
@@ -223,40 +254,28 @@ def _pieces(t: DataFrame, key: str) -> DataFrame:
     items = W.partitionBy(key, "list_depth", "__list.pos").orderBy("pos")
     t = t.withColumn("item_no", F.sum(((tag == "li") & ~closing).cast("int")).over(items))
     t = t.withColumn("ordered", F.col("__list.tag") == "ol")
-    # links: the end tag renders the address of the last start tag
-    href = trim(attribute("raw", "href"))
-    t = t.withColumn("__href", F.when((tag == "a") & ~closing, href))
-    linked = (F.col("__href") != "") & ~F.col("__href").rlike("(?i)^(#|javascript:)")
-    piece = F.when(tag.isNull(), F.col("text"))
-    piece = piece.when(tag == "br", F.lit("\n"))
-    src = trim(attribute("raw", "src"))
-    piece = piece.when(
-        (tag == "img") & (src != ""),
-        F.concat(F.lit("!["), trim(decode_entities(attribute("raw", "alt"))), F.lit("]("), src, F.lit(")")),
-    )
-    piece = piece.when((tag == "a") & ~closing & linked, F.concat(F.lit(_A1), F.col("__href"), F.lit(_A2)))
-    piece = piece.when((tag == "a") & closing, F.lit(_A3))
-    for name, family in _FAMILY.items():
-        start, stop, _ = _INLINE[family]
-        piece = piece.when(tag == name, F.when(closing, F.lit(stop)).otherwise(F.lit(start)))
-    return t.withColumn("piece", F.coalesce(piece, F.lit("")))
+    # a token without text counts only where it begins a block
+    return t.filter((F.col("piece") != "") | F.col("__cut") | (F.col("block") == 0))
 
 
 def _squeeze(c: Column) -> Column:
-    return trim(F.regexp_replace(c, r"\s+", " "))
+    return trim(F.regexp_replace(c, _SPACES, " "))
 
 
 def _finish_inline(c: Column) -> Column:
     """Turn control characters into markdown, innermost constructs first."""
-    c = F.regexp_replace(c, f"{_A1}[^{_A2}]*{_A2}\\s*{_A3}", "")
-    c = F.regexp_replace(
-        c, f"{_A1}([^{_A2}]*){_A2}\\s*([^{_A1}{_A3}]*?)\\s*{_A3}", "[$2]($1)"
-    )
-    c = F.regexp_replace(c, f"{_A1}[^{_A2}]*{_A2}|{_A3}", "")
+    links = [
+        (f"{_A1}[^{_A2}]*{_A2}\\s*{_A3}", ""),
+        (f"{_A1}([^{_A2}]*){_A2}\\s*([^{_A1}{_A3}]*?)\\s*{_A3}", "[$2]($1)"),
+        (f"{_A1}[^{_A2}]*{_A2}|{_A3}", ""),
+    ]
+    # each pattern needs one of the marks; most texts have none
+    for pattern, replacement in links:
+        c = replace_where(c, pattern, replacement, _A1, _A3)
     for start, stop, mark in _INLINE.values():
-        c = F.regexp_replace(c, f"{start}\\s*({stop}|$)", "")
-        c = F.regexp_replace(c, f"{start}\\s*([^{start}{stop}]*?)\\s*({stop}|$)", f"{mark}$1{mark}")
-        c = F.regexp_replace(c, f"[{start}{stop}]", "")
+        c = replace_where(c, f"{start}\\s*({stop}|$)", "", start)
+        c = replace_where(c, f"{start}\\s*([^{start}{stop}]*?)\\s*({stop}|$)", f"{mark}$1{mark}", start)
+        c = replace_where(c, f"[{start}{stop}]", "", start, stop)
     return _squeeze(c)
 
 
@@ -304,14 +323,14 @@ def blocks(t: DataFrame, key: str) -> DataFrame:
     )
     # a table is one block of rows of cells; every other block is a single row with one cell
     is_cell = F.col("kind") == "cell"
-    g = g.filter(is_cell | (trim(F.col("body")) != "")).select(
+    g = g.select(
         key,
-        "kind",
         F.when(is_cell, F.col("c.table_no")).otherwise(-F.col("block") - 1).alias("unit"),
         F.when(is_cell, F.col("c.row_no")).otherwise(0).alias("row_no"),
         "block",
         (F.col("c.quote") > 0).alias("quoted"),
         F.when(is_cell, F.replace("body", F.lit("|"), F.lit("\\|")))
+        .when(trim(F.col("body")) == "", F.lit(None))
         .when(F.col("kind") == "head", F.concat(hashes, F.lit(" "), F.col("body")))
         .when(F.col("kind") == "item", F.concat(indent, mark, F.col("body")))
         .when(F.col("kind") == "pre", F.concat(F.lit("```\n"), F.col("body"), F.lit("\n```")))
@@ -325,6 +344,8 @@ def blocks(t: DataFrame, key: str) -> DataFrame:
         F.min("block").alias("block"),
         F.bool_or("quoted").alias("quoted"),
     )
+    # blocks without text go here: a filter on their text would slip below and have it rendered twice
+    rows = rows.filter((F.col("unit") >= 0) | F.get("cells", F.lit(0)).isNotNull())
     units = rows.groupBy(key, "unit").agg(
         F.transform(
             F.sort_array(F.collect_list(F.struct("row_no", "cells"))), lambda x: x["cells"]
