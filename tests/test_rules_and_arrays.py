@@ -192,7 +192,7 @@ def test_blocks_are_rendered_once_and_tokens_sorted_few_times(spark):
     rendered = [line for line in plan.split("+- ") if "\u0005\\s*(\u0006|$)" in line]
     assert len(rendered) == 1 and "Filter" not in rendered[0][:20]
     assert len(re.findall(r"\bSort \[", plan)) <= 11  # two of them for the join with the titles
-    assert {r.page_id: r.markdown for r in md.collect()} == {1: "a **b** c\n\n---\n\n|  | 1\\|2 |\n| --- | --- |\n\n## T", 2: ""}
+    assert {r.page_id: r.markdown for r in md.collect()} == {1: "a **b** c\n\n---\n\nx\n\n| | 1\\|2 |\n| --- | --- |\n\n## T", 2: ""}
 
 
 def test_headings_are_found_once(spark):
